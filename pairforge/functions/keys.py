@@ -152,7 +152,7 @@ def splitters(
         chosen.withColumn("_at", F.row_number().over(by_key))
         .where(F.col("_at") % 32 == 0)
         .groupBy("_group")
-        .agg(F.array_sort(F.collect_list("_cut")).alias("_splitters"))
+        .agg(F.sort_array(F.collect_list("_cut")).alias("_splitters"))
     )
 
 

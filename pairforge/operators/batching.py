@@ -39,7 +39,7 @@ def chunk_batches(df: DataFrame, chunk_size: int, pos: str = "pos_in_batch") ->
 def collect_chunks(df: DataFrame, columns: list[str], batch: str = "batch_id") -> DataFrame:
     """One row per chunk with its members in order; a chunk holds ``chunk_size`` rows at most."""
     member = F.struct("pos_in_chunk", *columns)
-    return df.groupBy(batch, "chunk_id").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    return df.groupBy(batch, "chunk_id").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 
 def combine_chunks(chunks: DataFrame, chunk_size: int, batch: str = "batch_id") -> DataFrame:

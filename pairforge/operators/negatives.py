@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.keys import SEED, hash_hex, hash_index, hash_long
 from pairforge.functions.text import instruction_text
 from pairforge.operators.catalogue import TASK_CATEGORY, strict_long
-from pairforge.session import written
+from pairforge.session import spread, written
 
 # List sizes, the window margin and the pool limits of the samplers.
 NUM_CANDIDATES = 100
@@ -39,27 +39,39 @@ STEP_PRIMES = (
 
 def index_universe(universe: DataFrame, seed: int = SEED) -> DataFrame:
     """``(path, idx)`` in hash order; written once, because the samplers read it several times."""
-    return written(hash_index(universe.select("path"), ["path"], seed=f"universe{seed}"), "universe")
+    distinct = written(universe.select("path"), "paths")
+    return written(hash_index(distinct, ["path"], seed=f"universe{seed}"), "universe")
 
 
 def _size(universe: DataFrame) -> Column:
     return universe.agg(F.count(F.lit(1))).scalar()
 
 
-def draw_positions(query_id: str, size: Column, n: int, seed: int = SEED) -> Column:
-    """min(n, size) distinct positions below ``size``: start + k * step with a step coprime to it.
+def draw_positions(queries: DataFrame, query_id: str, size: Column, n: int, seed: int = SEED) -> DataFrame:
+    """min(n, size) rows per query: its k-th position ``start + k * step`` below ``size``, as ``_k, idx``.
 
-    Every position is equally likely to be drawn; the positions of one query lie on one progression.
+    The step is coprime to the size, so the positions are distinct; every position is equally likely to
+    be drawn, and those of one query lie on one progression. Start and step are hashed once per query,
+    below the explode.
     """
-    start = F.pmod(hash_long(query_id, seed=f"start{seed}"), size)
     steps = F.filter(
-        F.array(*[F.lit(p).cast("long") for p in STEP_PRIMES]), lambda p: size % p != 0
+        F.array(*[F.lit(p).cast("long") for p in STEP_PRIMES]), lambda p: F.col("_size") % p != 0
     )
-    step = F.element_at(
-        steps, (F.pmod(hash_long(query_id, seed=f"step{seed}"), F.size(steps)) + 1).cast("int")
+    pick = F.pmod(hash_long(query_id, seed=f"step{seed}"), F.size("_steps")) + 1
+    progressions = (
+        queries.withColumn("_size", size)
+        .where("_size > 0")
+        .withColumn("_steps", steps)
+        .withColumn("_start", F.pmod(hash_long(query_id, seed=f"start{seed}"), F.col("_size")))
+        .withColumn("_step", F.element_at("_steps", pick.cast("int")))
+        .drop("_steps")
+    )
+    ks = F.sequence(F.lit(0).cast("long"), F.least(F.lit(n).cast("long"), F.col("_size")) - 1)
+    return (
+        progressions.withColumn("_k", F.explode(ks))
+        .withColumn("idx", F.pmod(F.col("_start") + F.col("_k") * F.col("_step"), F.col("_size")))
+        .drop("_size", "_start", "_step")
     )
-    ks = F.sequence(F.lit(0).cast("long"), F.least(F.lit(n).cast("long"), size) - 1)
-    return F.transform(ks, lambda k: F.pmod(start + k * step, size))
 
 
 def _drop_truth(paths: Column, truth: Column, n: int) -> Column:
@@ -79,19 +91,14 @@ def uniform_negatives(
     ``universe`` is an indexed universe. One spare position is drawn, so dropping the ground truth
     leaves n without looking it up.
     """
-    size = F.col("_size")
-    drawn = (
-        queries.select(id_col, truth)
-        .withColumn("_size", _size(universe))
-        .where(size > 0)
-        .select(id_col, truth, F.posexplode(draw_positions(id_col, size, n + 1, seed)).alias("_k", "idx"))
-    )
+    # Spread before the rows multiply: with a broadcast universe the lookup then needs no other exchange.
+    drawn = draw_positions(spread(queries.select(id_col), id_col), id_col, _size(universe), n + 1, seed)
     found = (
         drawn.join(universe, "idx")
         .groupBy(id_col)
         .agg(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("_k", "path"))), lambda c: c["path"]
+                F.sort_array(F.collect_list(F.struct("_k", "path"))), lambda c: c["path"]
             ).alias("_paths"),  # n + 1 entries at most
         )
     )
@@ -113,7 +120,7 @@ def pool_heads(universe: DataFrame, n: int, num_pools: int = NUM_POOLS, seed: in
     )
     return heads.groupBy("pool").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("_rank", "path"))), lambda c: c["path"]
+            F.sort_array(F.collect_list(F.struct("_rank", "path"))), lambda c: c["path"]
         ).alias("_head")
     )
 
@@ -167,7 +174,7 @@ def rolling_negatives(
         universe.withColumn("_window", F.expr(f"idx div {width}"))
         .groupBy("_window")
         .agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("idx", "path"))), lambda c: c["path"])
+            F.transform(F.sort_array(F.collect_list(F.struct("idx", "path"))), lambda c: c["path"])
             .alias("_paths")  # one window: width entries
         )
     )
@@ -204,7 +211,7 @@ def candidate_lists(
 ) -> DataFrame:
     """Ground truth and negatives in hash order, and the zero-based place of the ground truth."""
     paths = F.concat(F.array(F.col(truth)), F.col("negatives"))
-    shuffled = F.array_sort(
+    shuffled = F.sort_array(
         F.transform(
             paths,
             lambda p: F.struct(hash_hex(F.col(id_col), p, seed=f"shuffle{seed}").alias("h"), p.alias("path")),

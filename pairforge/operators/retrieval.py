@@ -166,19 +166,21 @@ def expected_random_accuracy(samples: DataFrame, num_candidates: str = "num_cand
 # -- batch losses -----------------------------------------------------------------------------------
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    vectors = column.combine_chunks()
-    width = len(vectors[0]) if len(vectors) else 0
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+def _tile_scores(group_cols: list[str], scale: float):
+    """Scores of one tile: a row per query, never a row per pair.
 
+    Returned as a closure without references to this module, so workers need not have it installed.
+    """
 
-def _tile_scores(group_cols: list[str], scale: float):
-    """Scores of one tile: a row per query, never a row per pair."""
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        vectors = column.combine_chunks()
+        width = len(vectors[0]) if len(vectors) else 0
+        return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
     def run(table: pa.Table) -> pa.Table:
         is_query = table.column("is_query").to_numpy()
         positions = table.column("pos").to_numpy()
-        reps = _matrix(table.column("vec"))
+        reps = matrix(table.column("vec"))
         q_at, t_at = np.flatnonzero(is_query), np.flatnonzero(~is_query)
         t_at = t_at[np.argsort(positions[t_at], kind="stable")]
         t_pos = positions[t_at]

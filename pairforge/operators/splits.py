@@ -87,7 +87,10 @@ def _split_cuts(df, id_col, category, val_ratio, test_ratio, stratify, seed, dig
         F.coalesce(F.col(category).cast("string"), F.lit("")).alias("category"),
         F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id")).alias("key"),
     ).withColumn("bucket", F.substring("key.h", 1, digits))
-    histogram = keys.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    # At most 16 ** digits rows per class; written because the quotas and the cuts both start from it.
+    histogram = written(
+        keys.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("n")), "split_histogram"
+    )
     quotas = split_quotas(
         histogram.groupBy("category").agg(F.sum("n").alias("n")), val_ratio, test_ratio, stratify
     )
@@ -98,32 +101,41 @@ def _split_cuts(df, id_col, category, val_ratio, test_ratio, stratify, seed, dig
         F.expr("if(stratified, train, n_train)").alias("last_train"),
         F.expr("if(stratified, train + val, n_train + n_val)").alias("last_val"),
     )
-    upto = Window.partitionBy("pool").orderBy("bucket").rangeBetween(Window.unboundedPreceding, 0)
-    of_bucket = Window.partitionBy("pool", "bucket")
-    cut_buckets = (
+    # Where each pool's cuts fall: a bucket and the place of the last row within it.
+    upto = Window.partitionBy("pool").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    places = (
         histogram.join(pooled, "category")
+        .groupBy("pool", "bucket")
+        .agg(F.sum("n").alias("n"), F.max("last_train").alias("train"), F.max("last_val").alias("val"))
         .withColumn("upto", F.sum("n").over(upto))
-        .withColumn("before", F.col("upto") - F.sum("n").over(of_bucket))
-        .select(
-            "category", "bucket", "pool", "before", "upto",
-            F.explode(F.expr("array(struct('train' as cut, last_train as at), struct('val' as cut, last_val as at))")),
-        )
-        .select("category", "bucket", "pool", "col.cut", (F.col("col.at") - F.col("before")).alias("local"),
-                (F.col("upto") - F.col("before")).alias("size"))
-        .where("local between 1 and size")
+        .groupBy("pool")
+        .agg(*[
+            F.max(
+                F.when(
+                    (F.col(cut) > F.col("upto") - F.col("n")) & (F.col(cut) <= F.col("upto")),
+                    F.struct("bucket", (F.col(cut) - F.col("upto") + F.col("n")).alias("local")),
+                )
+            ).alias(f"{cut}_at")
+            for cut in ("train", "val")
+        ])
     )
-    in_bucket = Window.partitionBy("pool", "cut").orderBy("key")
-    cut_keys = (
-        keys.join(written(cut_buckets, "cut_buckets"), ["category", "bucket"])
+    classes = written(pooled.select("category", "pool").join(places, "pool"), "split_places")
+
+    # Sort only the rows of those buckets.
+    in_bucket = Window.partitionBy("pool", "bucket").orderBy("key")
+    ranked = (
+        keys.join(classes, "category")
+        .where((F.col("bucket") == F.col("train_at.bucket")) | (F.col("bucket") == F.col("val_at.bucket")))
         .withColumn("rank", F.row_number().over(in_bucket))
-        .where("rank = local")
-        .groupBy("pool")
-        .agg(
-            F.max(F.when(F.col("cut") == "train", F.col("key"))).alias("train_key"),
-            F.max(F.when(F.col("cut") == "val", F.col("key"))).alias("val_key"),
-        )
     )
-    return pooled.join(cut_keys, "pool", "left").select(
+    cut_keys = ranked.groupBy("pool").agg(*[
+        F.max(
+            F.when(F.struct("bucket", F.col("rank").cast("long")) == F.struct(f"{cut}_at.bucket", f"{cut}_at.local"),
+                   F.col("key"))
+        ).alias(f"{cut}_key")
+        for cut in ("train", "val")
+    ])
+    return classes.join(cut_keys, "pool", "left").select(
         F.col("category").alias("_category"), "train_key", "val_key"
     )
 

@@ -201,7 +201,7 @@ REPS = """reps AS (
   FROM embeddings)"""
 
 CANDIDATES = """cand_draws AS (
-  SELECT vec_id AS query_id, unnest(list_concat([vec_id + 1], list_transform(range(1, 10), k ->
+  SELECT vec_id AS query_id, unnest(list_concat([vec_id + 1], list_transform(range(1, 10), lambda k:
     (vec_id // 2 + 1 + (('0x' || substr(md5('cand|' || vec_id), 1, 8))::BIGINT + k) % (n - 1)) % n * 2 + 1))) AS target_id
   FROM embeddings, (SELECT count(*) // 2 AS n FROM embeddings) WHERE vec_id % 2 = 0),
 cands AS (

@@ -266,8 +266,8 @@ def _plain(counts):
 
 def j2_stream(spark, sf):
     """The same counts from a stream over the table's files."""
-    path = f"{sf}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = X.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     target = scratch_path(spark, "windows")
     throughput.run_windowed_counts(events, target, scratch_path(spark, "windows-state")).awaitTermination()
     return _plain(spark.read.parquet(target))

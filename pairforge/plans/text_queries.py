@@ -135,20 +135,20 @@ def f1(spark, sf):
     return expand_candidates(eval_records(mined))
 
 
-def _line_rows(columns: dict) -> dict:
-    """One row per line of each text."""
-    out = {"doc_id": [], "line_no": [], "line": []}
-    for doc, text in zip(columns["doc_id"], columns["text"]):
-        for i, line in enumerate(text.split("\n")):
-            out["doc_id"].append(doc)
-            out["line_no"].append(i)
-            out["line"].append(line)
-    return out
+def k1(spark, sf):
+    """One row per line of each text, by a function over batches of rows."""
 
+    def line_rows(columns: dict) -> dict:
+        out = {"doc_id": [], "line_no": [], "line": []}
+        for doc, text in zip(columns["doc_id"], columns["text"]):
+            for i, line in enumerate(text.split("\n")):
+                out["doc_id"].append(doc)
+                out["line_no"].append(i)
+                out["line"].append(line)
+        return out
 
-def k1(spark, sf):
     docs = X.table(spark, sf, "documents").select("doc_id", "text")
-    return map_batches(docs, _line_rows, "doc_id bigint, line_no bigint, line string")
+    return map_batches(docs, line_rows, "doc_id bigint, line_no bigint, line string")
 
 
 QUERIES = {

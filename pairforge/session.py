@@ -56,3 +56,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into the session's number of shuffle partitions.
+
+    For narrow rows that are about to be multiplied: their own size says nothing about the work that
+    follows, so the partitions must not be merged by size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

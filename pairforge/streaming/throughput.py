@@ -15,8 +15,17 @@ def throughput(df: DataFrame, ts: str = "ts", by: list[str] | None = None) -> Da
     return counted.withColumn("rate", rate)
 
 
-def _hour(ts: str, width: str) -> Column:
-    return F.window(ts, width).alias("window")
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _as_utc(ts: str) -> Column:
+    """A timestamp without zone read as UTC, whatever the session's zone is."""
+    return F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def _without_zone(ts: str) -> Column:
+    """The UTC wall-clock of a timestamp."""
+    return F.expr(f"{EPOCH} + make_dt_interval(0, 0, 0, unix_micros({ts}) / 1000000BD)")
 
 
 def windowed_counts(
@@ -24,14 +33,24 @@ def windowed_counts(
 ) -> DataFrame:
     """Rows per window and type; works on a table and, with its watermark, on a stream.
 
-    Windows follow the wall-clock values of a timestamp without zone. A watermark needs a timestamp, so
-    those values are read as UTC, whatever the session's zone is.
+    Windows follow the wall-clock of a timestamp without zone. A watermark needs a zone, so on a stream
+    such values are read as UTC and the window bounds are returned without zone again.
     """
-    stamped = events.withWatermark(ts, lateness) if events.isStreaming else events
-    counts = stamped.groupBy(_hour(ts, width), kind).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    zoneless = dict(events.dtypes)[ts] == "timestamp_ntz"
+    stamped = events
+    if events.isStreaming:
+        if zoneless:
+            stamped = stamped.withColumn(ts, _as_utc(ts))
+        stamped = stamped.withWatermark(ts, lateness)
+    counts = stamped.groupBy(F.window(ts, width).alias("window"), kind).agg(F.count(F.lit(1)).alias("n"))
+    bounds = counts.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), kind, "n"
     )
+    if not (events.isStreaming and zoneless):
+        return bounds
+    return bounds.select(
+        *[_without_zone(c).alias(c) for c in ("window_start", "window_end")], kind, "n"
+    )
 
 
 def run_windowed_counts(
