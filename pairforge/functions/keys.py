@@ -71,31 +71,34 @@ def bucketed_index(
     expression. The row side is exchanged once: the window and the offset join share one key.
     """
     # A struct key equates NULL groups with each other, unlike a plain equi-join.
-    keyed = df.withColumn("_group", F.struct(*[F.col(c) for c in group_by], F.lit(0).alias("_all")))
-    keyed = keyed.withColumn("_bucket", bucket)
-    keyed = keyed.withColumn("_key", F.struct("_group", "_bucket"))
-    within = Window.partitionBy("_key").orderBy(*order_by)
-    ranked = keyed.withColumn("_rank", F.row_number().over(within).cast("long") - 1)
-
-    sizes = keyed.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *([F.sum(running).alias("_total")] if running is not None else []),
+    clash = [c for c in df.columns if c.startswith(("_ix_key", "_ix_group", "_ix_bucket"))]
+    if clash:
+        raise ValueError(f"reserved column names: {clash}")
+    keyed = df.withColumn("_ix_group", _grouping(group_by))
+    keyed = keyed.withColumn("_ix_bucket", bucket)
+    keyed = keyed.withColumn("_ix_key", F.struct("_ix_group", "_ix_bucket"))
+    within = Window.partitionBy("_ix_key").orderBy(*order_by)
+    ranked = keyed.withColumn("_ix_rank", F.row_number().over(within).cast("long") - 1)
+
+    sizes = keyed.groupBy("_ix_key").agg(
+        F.count(F.lit(1)).alias("_ix_n"),
+        *([F.sum(running).alias("_ix_total")] if running is not None else []),
     )
     before = (
-        Window.partitionBy(F.col("_key._group"))
-        .orderBy(F.col("_key._bucket"))
+        Window.partitionBy(F.col("_ix_key._ix_group"))
+        .orderBy(F.col("_ix_key._ix_bucket"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sizes.select("_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-                           *([F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")]
+    offsets = sizes.select("_ix_key", F.coalesce(F.sum("_ix_n").over(before), F.lit(0)).alias("_ix_offset"),
+                           *([F.coalesce(F.sum("_ix_total").over(before), F.lit(0)).alias("_ix_base")]
                              if running is not None else []))
     if running is not None:
         earlier = within.rowsBetween(Window.unboundedPreceding, -1)
-        ranked = ranked.withColumn("_local", F.coalesce(F.sum(running).over(earlier), F.lit(0)))
-    joined = ranked.join(offsets, "_key")
-    result = [*df.columns, (F.col("_offset") + F.col("_rank")).alias(out)]
+        ranked = ranked.withColumn("_ix_local", F.coalesce(F.sum(running).over(earlier), F.lit(0)))
+    joined = ranked.join(offsets, "_ix_key")
+    result = [*df.columns, (F.col("_ix_offset") + F.col("_ix_rank")).alias(out)]
     if running is not None:
-        result.append((F.col("_base") + F.col("_local")).alias(running_out))
+        result.append((F.col("_ix_base") + F.col("_ix_local")).alias(running_out))
     return joined.select(*result)
 
 
@@ -108,11 +111,11 @@ def hash_index(
     digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """Dense index in hash order of a unique id: a reproducible shuffle."""
-    hashed = df.withColumn("_hash", hash_hex(*id_cols, seed=seed))
+    hashed = df.withColumn("_ix_hash", hash_hex(*id_cols, seed=seed))
     indexed = bucketed_index(
-        hashed, F.substring("_hash", 1, digits), ["_hash", *id_cols], group_by, out
+        hashed, F.substring("_ix_hash", 1, digits), ["_ix_hash", *id_cols], group_by, out
     )
-    return indexed.drop("_hash")
+    return indexed.drop("_ix_hash")
 
 
 def block_index(
@@ -129,30 +132,34 @@ def block_index(
     return bucketed_index(df, bucket, [position], group_by, out, running, running_out)
 
 
+def _grouping(group_by: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in group_by], F.lit(0).alias("_ix_all")).alias("_ix_group")
+
+
+def hot_groups(df: DataFrame, group_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Groups with more than ``hot_rows`` rows; at most rows / hot_rows of them."""
+    counts = df.select(_grouping(group_by)).groupBy("_ix_group").agg(F.count(F.lit(1)).alias("_ix_n"))
+    return written(counts.where(F.col("_ix_n") > hot_rows), "hot_groups")
+
+
 def splitters(
-    df: DataFrame, group_by: Sequence[str], key: str, hot_rows: int = HOT_ROWS, seed: int = SEED
+    df: DataFrame, hot: DataFrame, group_by: Sequence[str], key: str, hot_rows: int = HOT_ROWS, seed: int = SEED
 ) -> DataFrame:
-    """Cut points for the groups that hold more than ``hot_rows`` rows.
+    """Cut points for the hot groups.
 
     A group of n rows gets min(256, n / hot_rows) cut points out of about 32 times as many keys,
     chosen by hash. Only those keys are sorted, so no task sees the whole group.
     """
-    group = F.struct(*[F.col(c) for c in group_by], F.lit(0).alias("_all")).alias("_group")
-    keys = df.select(group, F.col(key).alias("_cut"))
-    hot = (
-        keys.groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .withColumn("_cuts", F.least(F.lit(MAX_SPLITTERS), F.ceil(F.col("_n") / hot_rows)))
-    )
-    chance = F.col("_cuts") * 32 / F.col("_n") * float(1 << 32)
-    chosen = keys.join(hot, "_group").where(hash_long("_cut", seed=f"cut{seed}", digits=8) < chance)
-    by_key = Window.partitionBy("_group").orderBy("_cut")
+    wanted = hot.withColumn("_ix_cuts", F.least(F.lit(MAX_SPLITTERS), F.ceil(F.col("_ix_n") / hot_rows)))
+    chance = F.col("_ix_cuts") * 32 / F.col("_ix_n") * float(1 << 32)
+    keys = df.select(_grouping(group_by), F.col(key).alias("_ix_cut"))
+    chosen = keys.join(wanted, "_ix_group").where(hash_long("_ix_cut", seed=f"cut{seed}", digits=8) < chance)
+    by_key = Window.partitionBy("_ix_group").orderBy("_ix_cut")
     return (
-        chosen.withColumn("_at", F.row_number().over(by_key))
-        .where(F.col("_at") % 32 == 0)
-        .groupBy("_group")
-        .agg(F.sort_array(F.collect_list("_cut")).alias("_splitters"))
+        chosen.withColumn("_ix_at", F.row_number().over(by_key))
+        .where(F.col("_ix_at") % 32 == 0)
+        .groupBy("_ix_group")
+        .agg(F.sort_array(F.collect_list("_ix_cut")).alias("_ix_splitters"))
     )
 
 
@@ -163,15 +170,22 @@ def ordered_index(
     out: str = "idx",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Dense index by any orderable key that is unique within its group."""
-    cuts = written(splitters(df, group_by, key, hot_rows), "splitters")
-    grouped = df.withColumn("_group", F.struct(*[F.col(c) for c in group_by], F.lit(0).alias("_all")))
-    located = grouped.join(cuts, "_group", "left").withColumn(
-        "_part",
-        F.coalesce(F.size(F.filter("_splitters", lambda s: s <= F.col(key))), F.lit(0)),
+    """Dense index by any orderable key that is unique within its group.
+
+    Without hot groups this is a plain window over the groups.
+    """
+    hot = hot_groups(df, group_by, hot_rows)
+    grouped = df.withColumn("_ix_group", _grouping(group_by))
+    if hot.isEmpty():
+        within = Window.partitionBy("_ix_group").orderBy(key)
+        return grouped.withColumn(out, F.row_number().over(within).cast("long") - 1).drop("_ix_group")
+    cuts = written(splitters(df, hot, group_by, key, hot_rows), "splitters")
+    located = grouped.join(cuts, "_ix_group", "left").withColumn(
+        "_ix_part",
+        F.coalesce(F.size(F.filter("_ix_splitters", lambda s: s <= F.col(key))), F.lit(0)),
     )
-    located = located.select(*df.columns, "_part")
-    return bucketed_index(located, F.col("_part"), [key], group_by, out).drop("_part")
+    located = located.select(*df.columns, "_ix_part")
+    return bucketed_index(located, F.col("_ix_part"), [key], group_by, out).drop("_ix_part")
 
 
 def first_by_hash(
@@ -185,20 +199,20 @@ def first_by_hash(
     if n <= 0:
         return df.limit(0)
     key = F.struct(hash_hex(*id_cols, seed=seed).alias("h"), *[F.col(c) for c in id_cols])
-    keys = df.select(key.alias("_key")).withColumn("_bucket", F.substring("_key.h", 1, digits))
-    sizes = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    keys = df.select(key.alias("_ix_key")).withColumn("_ix_bucket", F.substring("_ix_key.h", 1, digits))
+    sizes = keys.groupBy("_ix_bucket").agg(F.count(F.lit(1)).alias("_ix_n"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_ix_bucket").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
-        sizes.withColumn("_upto", F.sum("_n").over(upto))
-        .where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_n") < n))
-        .select("_bucket", (F.lit(n) - F.col("_upto") + F.col("_n")).alias("_local"))
+        sizes.withColumn("_ix_upto", F.sum("_ix_n").over(upto))
+        .where((F.col("_ix_upto") >= n) & (F.col("_ix_upto") - F.col("_ix_n") < n))
+        .select("_ix_bucket", (F.lit(n) - F.col("_ix_upto") + F.col("_ix_n")).alias("_ix_local"))
     )
-    in_bucket = Window.partitionBy("_bucket").orderBy("_key")
+    in_bucket = Window.partitionBy("_ix_bucket").orderBy("_ix_key")
     last = (
-        keys.join(F.broadcast(cut), "_bucket")  # at most one row
-        .withColumn("_rank", F.row_number().over(in_bucket))
-        .where(F.col("_rank") == F.col("_local"))
-        .agg(F.max("_key").alias("_last"))  # one row, NULL when the table has fewer than n
+        keys.join(F.broadcast(cut), "_ix_bucket")  # at most one row
+        .withColumn("_ix_rank", F.row_number().over(in_bucket))
+        .where(F.col("_ix_rank") == F.col("_ix_local"))
+        .agg(F.max("_ix_key").alias("_ix_last"))  # one row, NULL when the table has fewer than n
     )
-    kept = df.withColumn("_key", key).withColumn("_last", last.scalar())
-    return kept.where(F.col("_last").isNull() | (F.col("_key") <= F.col("_last"))).drop("_key", "_last")
+    kept = df.withColumn("_ix_key", key).withColumn("_ix_last", last.scalar())
+    return kept.where(F.col("_ix_last").isNull() | (F.col("_ix_key") <= F.col("_ix_last"))).drop("_ix_key", "_ix_last")

@@ -107,19 +107,41 @@ def candidate_logits(
 
 
 def in_example_loss(
-    logits: DataFrame, query: str = "query_id", pos: str = "cand_pos", logit: str = "logit"
+    logits: DataFrame, query: str = "query_id", pos: str = "cand_pos", logit: str = "logit", chunk: int = TILE
 ) -> DataFrame:
-    """Per query: cross entropy with candidate 0 as the target, and the predicted position."""
-    of_query = Window.partitionBy(query)
-    centred = logits.withColumn("_max", F.max(logit).over(of_query))
-    return (
-        centred.groupBy(query)
+    """Per query: cross entropy with candidate 0 as the target, and the predicted position.
+
+    Lists are reduced in chunks of ``chunk`` positions first, so no task holds a very long list.
+    """
+    keyed = logits.withColumn("_chunk", F.expr(f"`{pos}` div {chunk}"))
+    of_chunk = Window.partitionBy(query, "_chunk")
+    parts = (
+        keyed.withColumn("_max", F.max(logit).over(of_chunk))
+        .groupBy(query, "_chunk")
         .agg(
-            (F.max("_max") + F.log(F.sum(F.exp(F.col(logit) - F.col("_max"))))
-             - F.max(F.when(F.col(pos) == 0, F.col(logit)))).alias("loss"),
+            F.max("_max").alias("top"),
+            F.sum(F.exp(F.col(logit) - F.col("_max"))).alias("total"),
+            F.max(F.when(F.col(pos) == 0, F.col(logit))).alias("truth"),
             F.max_by(F.col(pos), F.struct(F.col(logit), -F.col(pos))).alias("pred"),
         )
-        .withColumn("label", F.lit(0))
+    )
+    return _merge_parts(parts, [query]).withColumn("label", F.lit(0))
+
+
+def _merge_parts(parts: DataFrame, keys: list[str], *kept: Column) -> DataFrame:
+    """Loss and prediction from the ``top, total, truth, pred`` of each part of a query's scores."""
+    merged = parts.groupBy(*keys).agg(
+        *kept,
+        F.max_by("pred", F.struct(F.col("top"), -F.col("pred"))).alias("pred"),
+        F.max("top").alias("_top"),
+        F.collect_list(F.struct("top", "total")).alias("_parts"),  # one entry per chunk or tile
+        F.max("truth").alias("_truth"),
+    )
+    total = F.aggregate(
+        "_parts", F.lit(0.0), lambda s, p: s + p["total"] * F.exp(p["top"] - F.col("_top"))
+    )
+    return merged.withColumn("loss", F.col("_top") + F.log(total) - F.col("_truth")).drop(
+        "_top", "_parts", "_truth"
     )
 
 
@@ -252,18 +274,8 @@ def in_batch_loss(
         .groupBy(*keys, "q_tile", "t_tile")
         .applyInArrow(_tile_scores(keys, float(scale)), schema)
     )
-    merged = parts.groupBy(*keys, "pos").agg(
-        F.max("label").alias("label"),
-        F.max_by("pred", F.struct(F.col("top"), -F.col("pred"))).alias("pred"),
-        F.max("top").alias("_top"),
-        F.collect_list(F.struct("top", "total")).alias("_parts"),  # one entry per target tile
-        F.max("truth").alias("_truth"),
-    )
-    total = F.aggregate(
-        "_parts", F.lit(0.0), lambda s, p: s + p["total"] * F.exp(p["top"] - F.col("_top"))
-    )
-    return merged.select(
-        *keys, "pos", "label", "pred", (F.col("_top") + F.log(total) - F.col("_truth")).alias("loss")
+    return _merge_parts(parts, [*keys, "pos"], F.max("label").alias("label")).select(
+        *keys, "pos", "label", "pred", "loss"
     )
 
 

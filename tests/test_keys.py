@@ -50,9 +50,15 @@ def test_ordered_index_with_a_hot_group(spark, hot_rows):
         assert [members[k] for k in sorted(members)] == list(range(len(members)))
 
 
+def test_reserved_names_are_refused(spark):
+    with pytest.raises(ValueError, match="reserved"):
+        K.hash_index(spark.range(3).withColumn("_ix_key", F.lit(1)), ["id"])
+
+
 def test_splitters_spread_a_hot_group(spark):
     df = spark.range(20_000).select(F.lit("all").alias("g"), F.format_string("%08d", "id").alias("k"))
-    cuts = K.splitters(df, ["g"], "k", hot_rows=1000).first()["_splitters"]
+    hot = K.hot_groups(df, ["g"], 1000)
+    cuts = K.splitters(df, hot, ["g"], "k", hot_rows=1000).first()["_ix_splitters"]
     assert len(cuts) >= 15 and cuts == sorted(cuts)
     edges = ["", *cuts, "~"]
     keys = [f"{i:08d}" for i in range(20_000)]
