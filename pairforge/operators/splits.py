@@ -81,16 +81,25 @@ def split_quotas(
     )
 
 
-def _split_cuts(df, id_col, category, val_ratio, test_ratio, stratify, seed, digits) -> DataFrame:
-    """Per class, the (hash, id) key of the last train row and of the last train-or-val row."""
-    keys = df.select(
+def _split_keys(df: DataFrame, id_col: str, category: str, seed: int, digits: int) -> DataFrame:
+    return df.select(
         F.coalesce(F.col(category).cast("string"), F.lit("")).alias("category"),
         F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id")).alias("key"),
     ).withColumn("bucket", F.substring("key.h", 1, digits))
-    # At most 16 ** digits rows per class; written because the quotas and the cuts both start from it.
-    histogram = written(
-        keys.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("n")), "split_histogram"
-    )
+
+
+def split_histogram(
+    df: DataFrame, id_col: str = "style_id", category: str = "master_category", seed: int = SEED,
+    digits: int = BUCKET_DIGITS,
+) -> DataFrame:
+    """Rows per class and hash prefix: at most 16 ** digits rows per class, written once."""
+    keys = _split_keys(df, id_col, category, seed, digits)
+    return written(keys.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("n")), "split_histogram")
+
+
+def _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits) -> DataFrame:
+    """Per class, the (hash, id) key of the last train row and of the last train-or-val row."""
+    keys = _split_keys(df, id_col, category, seed, digits)
     quotas = split_quotas(
         histogram.groupBy("category").agg(F.sum("n").alias("n")), val_ratio, test_ratio, stratify
     )
@@ -149,10 +158,16 @@ def assign_splits(
     stratify: bool | None = None,
     seed: int = SEED,
     digits: int = BUCKET_DIGITS,
+    histogram: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``split`` in {train, val, test}; ids must be unique."""
+    """Add ``split`` in {train, val, test}; ids must be unique.
+
+    A histogram of the same rows from :func:`split_histogram` saves the first of three passes.
+    """
+    if histogram is None:
+        histogram = split_histogram(df, id_col, category, seed, digits)
     cuts = written(
-        _split_cuts(df, id_col, category, val_ratio, test_ratio, stratify, seed, digits), "split_cuts"
+        _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits), "split_cuts"
     )
     key = F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id"))
     keyed = df.withColumn("_category", F.coalesce(F.col(category).cast("string"), F.lit("")))

@@ -6,22 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.functions.keys import SEED
-from pairforge.operators.catalogue import MIN_SUPPORT, clean, image_universe, train_records
+from pairforge.operators.catalogue import MIN_SUPPORT, drop_incomplete, image_universe, train_records
 from pairforge.operators.negatives import (
     NUM_CANDIDATES,
     eval_records,
     index_universe,
     mine_candidates,
 )
-from pairforge.operators.splits import assign_splits
+from pairforge.operators.splits import assign_splits, split_histogram
+from pairforge.session import written
 from pairforge.sources.files import read_catalogue
 from pairforge.sources.sinks import split_is_complete, split_manifest, write_split, write_splits
 
 EVAL_SPLITS = ("val", "test")
 
 
-def split_catalogue(catalogue: DataFrame, min_support: int = MIN_SUPPORT, seed: int = SEED) -> DataFrame:
-    return assign_splits(clean(catalogue, min_support), seed=seed)
+def clean_and_split(
+    catalogue: DataFrame, min_support: int = MIN_SUPPORT, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned catalogue, and the same rows with their split.
+
+    One histogram of classes and hash prefixes serves the support filter and the split quotas.
+    """
+    complete = drop_incomplete(catalogue)
+    histogram = split_histogram(complete, seed=seed)
+    support = histogram.groupBy("category").agg(F.sum("n").alias("total")).where(F.col("total") >= min_support)
+    kept = written(support.select(F.col("category").alias("master_category")), "categories")
+    cleaned = complete.join(kept, "master_category", "left_semi").select(*catalogue.columns)
+    counted = histogram.join(kept.withColumnRenamed("master_category", "category"), "category", "left_semi")
+    return cleaned, assign_splits(cleaned, seed=seed, histogram=counted)
 
 
 def build_splits(
@@ -39,8 +52,7 @@ def build_splits(
     mined and written in one pass.
     """
     spark = catalogue.sparkSession
-    cleaned = clean(catalogue, min_support)
-    assigned = assign_splits(cleaned, seed=seed)
+    cleaned, assigned = clean_and_split(catalogue, min_support, seed)
     write_split(train_records(assigned.where("split = 'train'")), out, "train", "train" in skip)
     due = [s for s in EVAL_SPLITS if not (s in skip and split_is_complete(spark, out, s))]
     if due:
@@ -53,4 +65,7 @@ def build_splits(
 
 def build_from_csv(spark: SparkSession, path: str, out: str, sample_size: int | None = None,
                    multi_line: bool = True, **options) -> DataFrame:
-    return build_splits(read_catalogue(spark, path, sample_size, multi_line=multi_line), out, **options)
+    """Build from a CSV file, which is parsed once: the passes that follow read only their own columns of
+    its complete rows."""
+    catalogue = drop_incomplete(read_catalogue(spark, path, sample_size, multi_line=multi_line))
+    return build_splits(written(catalogue, "catalogue"), out, **options)
