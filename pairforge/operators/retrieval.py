@@ -17,6 +17,7 @@ from pairforge.functions.joins import salted_lookup
 from pairforge.functions.keys import HOT_ROWS, SEED, block_index, hash_index, hash_long
 from pairforge.functions.text import full_query_text
 from pairforge.functions.vectors import as_double, dot, l2_normalize, truncate_dims
+from pairforge.session import written
 
 # The two temperature conventions.
 TEMPERATURE = 0.02  # logits are divided by it
@@ -228,26 +229,30 @@ def _tile_scores(group_cols: list[str], scale: float):
     return run
 
 
+def batch_sizes(queries: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Queries and targets per batch."""
+    sides = queries.select(*keys, F.lit(1).alias("_q"), F.lit(0).alias("_t")).unionByName(
+        targets.select(*keys, F.lit(0).alias("_q"), F.lit(1).alias("_t"))
+    )
+    return sides.groupBy(*keys).agg(F.sum("_q").alias("n_queries"), F.sum("_t").alias("n_targets"))
+
+
 def in_batch_loss(
     queries: DataFrame,
     targets: DataFrame,
     batch: str | list[str] = "batch_id",
     scale: float = 1 / TEMPERATURE,
     tile: int = TILE,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Per query of a batch: cross entropy against all targets of the batch, label and prediction.
 
     Both sides are ``(batch, pos, vec)`` with dense zero-based positions. With t targets per query the
-    positive of query i is target i * t.
+    positive of query i is target i * t. ``sizes`` are known :func:`batch_sizes`.
     """
     keys = [batch] if isinstance(batch, str) else list(batch)
-    sizes = (
-        queries.select(*keys, F.lit(1).alias("_q"), F.lit(0).alias("_t"))
-        .unionByName(targets.select(*keys, F.lit(0).alias("_q"), F.lit(1).alias("_t")))
-        .groupBy(*keys)
-        .agg(F.sum("_q").alias("n_queries"), F.sum("_t").alias("n_targets"))
-        .where("n_queries > 0 and n_targets >= n_queries")
-    )
+    counted = batch_sizes(queries, targets, keys) if sizes is None else sizes
+    sizes = counted.where("n_queries > 0 and n_targets >= n_queries")
 
     def tiles(n: str) -> Column:
         return F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {tile}"))
@@ -308,7 +313,8 @@ def global_batch_loss(
 ) -> DataFrame:
     """Loss over the batches of all shards of a step, optionally multiplied by the number of shards."""
     per_query = in_batch_loss(
-        global_positions(queries, step, shard), global_positions(targets, step, shard), step, scale, tile
+        global_positions(queries, step, shard), global_positions(targets, step, shard), step, scale, tile,
+        sizes=batch_sizes(queries, targets, [step]),
     )
     return batch_loss(per_query, step, world_size or 1)
 
@@ -328,22 +334,27 @@ def routed_loss(
     results return at the original position.
     """
     keys = [batch, loss_name]
-    grouped = block_index(queries, "pos", keys, out="_at", block=1 << 16)
-    sizes = queries.groupBy(batch).agg(F.count(F.lit(1)).alias("_nq")).join(
-        targets.groupBy(batch).agg(F.count(F.lit(1)).alias("_nt")), batch
-    ).select(batch, F.expr("_nt div _nq").alias("_t"))
-    slots = grouped.select(*keys, F.col("pos").alias("_query"), "_at")
+    # Places of the queries within their group: narrow, and read several times below.
+    slots = written(
+        block_index(queries.select(*keys, F.col("pos").alias("_query")), "_query", keys, out="_at", block=1 << 16),
+        "loss_slots",
+    )
+    per_batch = batch_sizes(queries, targets, [batch]).withColumn("_t", F.expr("n_targets div n_queries"))
     owned = (
-        targets.join(sizes, batch)
+        targets.join(per_batch.select(batch, "_t"), batch)
         .withColumn("_query", F.expr("pos div _t"))
         .withColumn("_slot", F.expr("pos % _t"))
         .join(slots, [batch, "_query"])
     )
     in_batch = F.col(loss_name).isin("inbatch_contrastive", "distributed_inbatch_contrastive")
+    group_sizes = slots.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_queries")).join(
+        per_batch.select(batch, "_t"), batch
+    ).select(*keys, "n_queries", (F.col("n_queries") * F.col("_t")).alias("n_targets"))
     scored = in_batch_loss(
-        grouped.where(in_batch).select(*keys, F.col("_at").alias("pos"), "vec"),
+        queries.where(in_batch).withColumnRenamed("pos", "_query").join(slots, [*keys, "_query"])
+        .select(*keys, F.col("_at").alias("pos"), "vec"),
         owned.where(in_batch).select(*keys, (F.col("_at") * F.col("_t") + F.col("_slot")).alias("pos"), "vec"),
-        keys, scale, tile,
+        keys, scale, tile, sizes=group_sizes.where(in_batch),
     ).withColumnRenamed("pos", "_at")
     batchwise = scored.join(slots, [*keys, "_at"]).select(
         *keys, F.col("_query").alias("pos"), "label", "pred", "loss"

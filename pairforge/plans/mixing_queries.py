@@ -9,6 +9,7 @@ from pairforge.operators import mixing as M
 from pairforge.operators.catalogue import drop_incomplete
 from pairforge.operators.thinning import thin_groups
 from pairforge.plans import fixtures as X
+from pairforge.session import written
 
 WEIGHTS = (("pairs_a", "en", 3.0), ("pairs_b", "fr", 2.0), ("pairs_c", "de", 1.0))
 WORLD = 3
@@ -26,8 +27,13 @@ def _mixed(spark, sf, strategy="all_exhausted"):
     return M.interleave(_sources(spark, sf), "style_id", strategy)
 
 
+def _feed(spark, sf):
+    """The mix, written once: sharding and batching need its size as well as its rows."""
+    return written(_mixed(spark, sf).select("draw", "global_dataset_name", "style_id"), "mixed")
+
+
 def _batched(spark, sf, drop_last=True):
-    return B.assign_batches(_mixed(spark, sf), BATCH, drop_last=drop_last)
+    return B.assign_batches(_feed(spark, sf), BATCH, drop_last=drop_last)
 
 
 def e1(spark, sf):
@@ -50,7 +56,7 @@ def e3(spark, sf):
 
 
 def e4(spark, sf):
-    return M.shard_rows(_mixed(spark, sf), WORLD).select("draw", "style_id", "shard", "shard_idx")
+    return M.shard_rows(_feed(spark, sf), WORLD).select("draw", "style_id", "shard", "shard_idx")
 
 
 def e5(drop_last):
@@ -113,11 +119,11 @@ def e9(spark, sf):
 
 
 def e10(spark, sf):
-    return B.packing_offsets(_padded(spark, sf)).select("batch_id", "pos_in_batch", "seqlen", "cu_seqlen", "max_seqlen")
+    return B.packing_offsets(written(_padded(spark, sf), "padded")).select("batch_id", "pos_in_batch", "seqlen", "cu_seqlen", "max_seqlen")
 
 
 def e10_positions(spark, sf):
-    return B.packed_positions(_padded(spark, sf))
+    return B.packed_positions(written(_padded(spark, sf), "padded"))
 
 
 def c6(spark, sf):

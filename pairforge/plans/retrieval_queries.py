@@ -11,6 +11,7 @@ from pairforge.plans import fixtures as X
 
 NDIM = 16
 SHARDS = 4
+BIG_BATCH = 10_000
 
 
 def _side(spark, sf, query: bool, *columns, repeat: bool = False):
@@ -79,12 +80,10 @@ def f4(spark, sf):
 
 
 def f4_unit_tiled(spark, sf):
-    """The whole table as one batch with two targets per query, in tiles of 100, unit scale."""
-    reps = X.reps(spark, sf)
-    queries = reps.where("is_query").select(
-        F.lit(0).cast("long").alias("batch_id"), F.expr("vec_id div 2").alias("pos"), "vec"
-    )
-    targets = reps.select(F.lit(0).cast("long").alias("batch_id"), F.col("vec_id").alias("pos"), "vec")
+    """Batches of 10,000 vectors with two targets per query, in tiles of 100, unit scale."""
+    reps = X.reps(spark, sf).withColumn("batch_id", F.expr(f"vec_id div {BIG_BATCH}"))
+    queries = reps.where("is_query").select("batch_id", F.expr(f"vec_id % {BIG_BATCH} div 2").alias("pos"), "vec")
+    targets = reps.select("batch_id", F.expr(f"vec_id % {BIG_BATCH}").alias("pos"), "vec")
     scored = R.in_batch_loss(queries, targets, scale=R.UNIT_SCALE, tile=100)
     return _rounded(R.batch_loss(scored))
 
@@ -140,7 +139,11 @@ def f8(spark, sf):
 
 
 def f9(spark, sf):
-    samples = _predictions(spark, sf).drop("predicted_index")
+    """The control needs the lists only, no vectors."""
+    samples = X.candidates(spark, sf).groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("num_candidates"),
+        F.max(F.when(F.col("target_id") == F.col("query_id") + 1, F.col("cand_pos"))).alias("ground_truth_index"),
+    )
     guessed = R.ranking_accuracy(R.random_predictions(samples))
     expected = R.expected_random_accuracy(samples).scalar()
     return guessed.select(
@@ -239,10 +242,11 @@ SELECT query_id, CAST(cand_pos AS INTEGER) AS cand_pos, target_id, round(logit,
     "f4_in_batch_queries": f"WITH {_F4} SELECT batch_id, pos, label, pred, round(loss, 4) AS loss FROM losses",
     "f4_single_batch_tiled": f"""WITH {X.REPS},
 pairs AS (
-  SELECT 0 AS batch_id, q.vec_id // 2 AS pos, t.vec_id AS t_pos, {_DOT} AS logit, t.vec_id = q.vec_id AS is_truth
-  FROM reps q, reps t WHERE q.is_query),
+  SELECT q.vec_id // {BIG_BATCH} AS batch_id, q.vec_id // 2 AS pos, t.vec_id AS t_pos, {_DOT} AS logit,
+         t.vec_id = q.vec_id AS is_truth
+  FROM reps q JOIN reps t ON t.vec_id // {BIG_BATCH} = q.vec_id // {BIG_BATCH} WHERE q.is_query),
 {_loss_sql('batch_id', '')}
-SELECT CAST(batch_id AS BIGINT) AS batch_id, round(avg(loss), 4) AS loss,
+SELECT batch_id, round(avg(loss), 4) AS loss,
        avg(CASE WHEN pred = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS accuracy, count(*) AS n
 FROM losses GROUP BY batch_id""",
     "f5_global_batch_loss": f"""WITH {X.REPS},
