@@ -16,14 +16,16 @@ def salted_lookup(
     salt_by: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` with a ``table`` that has one row per key.
 
     Keys with more than ``hot_rows`` rows are counted first; their rows are spread over n / hot_rows
     salts and only their table rows are repeated. All other keys join as usual. ``salt_by`` are columns
-    that tell the rows of one key apart.
+    that tell the rows of one key apart. When ``rows`` is itself the result of a join, ``count_in`` names
+    a cheaper table with the same number of rows per key.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    counts = (rows if count_in is None else count_in).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
     hot = written(
         counts.where(F.col(key).isNotNull()).select(key, F.ceil(F.col("_n") / hot_rows).alias("_salts")),
         "hot_keys",

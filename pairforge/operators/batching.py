@@ -12,17 +12,23 @@ from pairforge.functions.keys import block_index
 IGNORED_LABEL = -100  # fixed value: labels that do not count
 
 
-def assign_batches(df: DataFrame, batch_size: int, idx: str = "draw", drop_last: bool = True) -> DataFrame:
-    """Sequential batches over a dense index; an incomplete last batch is dropped on request."""
+def assign_batches(
+    df: DataFrame, batch_size: int, idx: str = "draw", drop_last: bool = True, shard: str | None = None
+) -> DataFrame:
+    """Sequential batches over a dense index; an incomplete last batch is dropped on request.
+
+    With ``shard``, every shard is batched on its own by its dense index.
+    """
     out = df.withColumn("batch_id", F.expr(f"`{idx}` div {batch_size}")).withColumn(
         "pos_in_batch", F.expr(f"cast(`{idx}` % {batch_size} as int)")
     )
     if not drop_last:
         return out
-    n = df.agg(F.count(F.lit(1))).scalar()
-    return out.withColumn("_n", n).where(
-        F.col(idx) < F.col("_n") - F.col("_n") % F.lit(batch_size)
-    ).drop("_n")
+    if shard is None:
+        sized = out.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
+    else:  # one row per shard
+        sized = out.join(F.broadcast(df.groupBy(shard).agg(F.count(F.lit(1)).alias("_n"))), shard)
+    return sized.where(F.col(idx) < F.col("_n") - F.col("_n") % F.lit(batch_size)).drop("_n")
 
 
 def batch_composition(df: DataFrame, name: str = "global_dataset_name") -> DataFrame:

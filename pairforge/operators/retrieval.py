@@ -101,7 +101,7 @@ def candidate_logits(
     )
     with_both = salted_lookup(
         with_target, query_reps.select(query, F.col("vec").alias("_q")), query, ["cand_pos", target],
-        hot_rows=hot_rows,
+        hot_rows=hot_rows, count_in=cands,
     )
     logit = dot(as_double(truncate_dims("_q", ndim)), as_double(truncate_dims("_t", ndim))) * F.lit(scale)
     return with_both.withColumn("logit", logit).drop("_q", "_t")

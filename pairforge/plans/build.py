@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.functions.keys import SEED
@@ -53,14 +53,23 @@ def build_splits(
     """
     spark = catalogue.sparkSession
     cleaned, assigned = clean_and_split(catalogue, min_support, seed)
-    write_split(train_records(assigned.where("split = 'train'")), out, "train", "train" in skip)
+    # Rows are counted while they are written.
+    rows, counted = {}, Observation()
+    train = train_records(assigned.where("split = 'train'")).observe(counted, F.count(F.lit(1)).alias("train"))
+    if write_split(train, out, "train", "train" in skip):
+        rows |= counted.get
     due = [s for s in EVAL_SPLITS if not (s in skip and split_is_complete(spark, out, s))]
     if due:
         universe = index_universe(image_universe(cleaned), seed)
         queries = assigned.where(F.col("split").isin(*EVAL_SPLITS))
         mined = mine_candidates(queries, universe, num_candidates, sampler, seed)
-        write_splits(eval_records(mined, keep=["split"]), out, due)
-    return split_manifest(spark, out)
+        counted = Observation()
+        records = eval_records(mined, keep=["split"]).observe(
+            counted, *[F.count_if(F.col("split") == s).alias(s) for s in due]
+        )
+        write_splits(records, out, due)
+        rows |= counted.get
+    return split_manifest(spark, out, rows=rows)
 
 
 def build_from_csv(spark: SparkSession, path: str, out: str, sample_size: int | None = None,

@@ -91,18 +91,16 @@ def b12(spark, sf):
 
 
 def b13(spark, sf):
-    turns = X.table(spark, sf, "conversations")
-    number = F.when(F.col("conv_id") % 4 == 1, F.col("turn") + 2).when(
-        (F.col("conv_id") % 4 == 2) & (F.col("turn") == 1), F.lit(1).cast("long")
-    ).otherwise(F.col("turn") + 1)
-    piece = F.concat(F.lit("<|image_"), number.cast("string"), F.lit("|> "), "text")
-    prompts = turns.groupBy("conv_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("turn", piece.alias("p")))), lambda s: s["p"]), " "
-        ).alias("prompt"),
-        (F.count(F.lit(1)) + F.max(F.when(F.col("conv_id") % 4 == 3, 1).otherwise(0))).alias("num_images"),
+    """Each turn carries as many tags as it has predecessors; some start at 2, repeat a tag or lack an image."""
+    kind, turn = F.col("conv_id") % 4, F.col("turn")
+    numbers = F.sequence(F.when(kind == 1, F.lit(2)).otherwise(F.lit(1)).cast("long"), turn + 2)
+    numbers = F.when(kind == 2, F.concat(numbers, F.array(F.lit(1).cast("long")))).otherwise(numbers)
+    tags = F.array_join(F.transform(numbers, lambda i: F.concat(F.lit("<|image_"), i.cast("string"), F.lit("|>"))), " ")
+    prompts = X.table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.concat(tags, F.lit(" "), "text").alias("prompt"),
+        (turn + 2 + F.when(kind == 3, 1).otherwise(0)).alias("num_images"),
     )
-    return prompts.select("conv_id", *T.image_tag_check("prompt", "num_images"))
+    return prompts.select("conv_id", "turn", *T.image_tag_check("prompt", "num_images"))
 
 
 def b14(spark, sf):
@@ -229,17 +227,15 @@ SELECT question_id,
        array_to_string(lettered, '|') AS options,
        '(' || chr(CAST(65 + ord AS INTEGER)) || ') ' || a AS answer, CAST(ord AS INTEGER) AS answer_index
 FROM indexed""",
-    "b13_image_tags": r"""WITH tags AS (
-  SELECT conv_id, turn, text, CASE WHEN conv_id % 4 = 1 THEN turn + 2 WHEN conv_id % 4 = 2 AND turn = 1 THEN 1 ELSE turn + 1 END AS tag
-  FROM conversations),
-found AS (
-  SELECT conv_id, tag FROM tags
-  UNION ALL SELECT conv_id, CAST(unnest(regexp_extract_all(text, '<\|image_(\d+)\|>', 1)) AS BIGINT) FROM tags),
-counted AS (SELECT conv_id, count(DISTINCT tag) AS m, min(tag) AS lo, max(tag) AS hi FROM found GROUP BY conv_id),
-wanted AS (SELECT conv_id, count(*) + CASE WHEN conv_id % 4 = 3 THEN 1 ELSE 0 END AS num_images FROM conversations GROUP BY conv_id)
-SELECT conv_id, CAST(m AS INTEGER) AS num_tags, lo = 1 AND hi = m AS consecutive, m = num_images AS count_matches,
+    "b13_image_tags": r"""WITH found AS (
+  SELECT conv_id, turn, unnest(range(CASE WHEN conv_id % 4 = 1 THEN 2 ELSE 1 END, turn + 3)) AS tag FROM conversations
+  UNION ALL
+  SELECT conv_id, turn, CAST(unnest(regexp_extract_all(text, '<\|image_(\d+)\|>', 1)) AS BIGINT) FROM conversations),
+counted AS (SELECT conv_id, turn, count(DISTINCT tag) AS m, min(tag) AS lo, max(tag) AS hi FROM found GROUP BY ALL),
+wanted AS (SELECT *, turn + 2 + CASE WHEN conv_id % 4 = 3 THEN 1 ELSE 0 END AS num_images FROM counted)
+SELECT conv_id, turn, CAST(m AS INTEGER) AS num_tags, lo = 1 AND hi = m AS consecutive, m = num_images AS count_matches,
        lo = 1 AND hi = m AND m = num_images AS valid
-FROM counted JOIN wanted USING (conv_id)""",
+FROM wanted""",
     "b14_resize_plan": f"""WITH {_SIZES}
 SELECT p_partkey, CAST(CASE p_partkey % 5 WHEN 0 THEN 1344 WHEN 1 THEN 672 WHEN 2 THEN 128 ELSE
          CASE WHEN greatest(width, height) <= 1344 THEN width WHEN width > height THEN 1344
