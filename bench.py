@@ -39,7 +39,7 @@ def products(spark, table: str):
     """A catalogue over one of the larger tables."""
     if table == "lineitem":
         rows = X.table(spark, SF_DIR, "lineitem")
-        key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        key = F.expr("((l_orderkey * 100003 + l_partkey) * 10007 + l_suppkey) * 8 + l_linenumber")  # unique
         text, image, kind = F.concat_ws(" ", "l_returnflag", "l_linestatus", "l_shipdate"), F.col("l_orderkey"), "l_returnflag"
     else:
         rows = X.table(spark, SF_DIR, "orders")

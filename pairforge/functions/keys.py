@@ -194,7 +194,7 @@ def first_by_hash(
     """The ``n`` rows with the smallest hash, without sorting or moving the table.
 
     A histogram over hash prefixes says which bucket holds the n-th row; only that bucket is sorted to
-    find the n-th key, and the rows are kept by comparing with it.
+    find the n-th key, and the rows are kept by comparing with it. Copies of an id stay together.
     """
     if n <= 0:
         return df.limit(0)
@@ -207,11 +207,15 @@ def first_by_hash(
         .where((F.col("_ix_upto") >= n) & (F.col("_ix_upto") - F.col("_ix_n") < n))
         .select("_ix_bucket", (F.lit(n) - F.col("_ix_upto") + F.col("_ix_n")).alias("_ix_local"))
     )
-    in_bucket = Window.partitionBy("_ix_bucket").orderBy("_ix_key")
+    in_bucket = (
+        Window.partitionBy("_ix_bucket").orderBy("_ix_key").rowsBetween(Window.unboundedPreceding, 0)
+    )
     last = (
         keys.join(F.broadcast(cut), "_ix_bucket")  # at most one row
-        .withColumn("_ix_rank", F.row_number().over(in_bucket))
-        .where(F.col("_ix_rank") == F.col("_ix_local"))
+        .groupBy("_ix_bucket", "_ix_key")
+        .agg(F.count(F.lit(1)).alias("_ix_n"), F.max("_ix_local").alias("_ix_local"))
+        .withColumn("_ix_upto", F.sum("_ix_n").over(in_bucket))
+        .where(F.col("_ix_upto") - F.col("_ix_n") < F.col("_ix_local"))
         .agg(F.max("_ix_key").alias("_ix_last"))  # one row, NULL when the table has fewer than n
     )
     kept = df.withColumn("_ix_key", key).withColumn("_ix_last", last.scalar())

@@ -85,7 +85,7 @@ def interleave(
     """Rows of all sources in drawn order, with ``draw`` as a dense zero-based position.
 
     Every draw picks a source by weight; its k-th draw reads row ``k mod size`` of the source, whose
-    rows are in hash order of ``key`` (unique within a source). Stops when the first source, or all
+    rows are in hash order of ``key`` (unique within a source; ``keys.with_row_id`` makes one). Stops when the first source, or all
     sources, have been read once. The sources' sizes and the stop are the only values brought to the
     driver: one number per configured source.
 

@@ -91,8 +91,10 @@ def uniform_negatives(
     ``universe`` is an indexed universe. One spare position is drawn, so dropping the ground truth
     leaves n without looking it up.
     """
-    # Spread before the rows multiply: with a broadcast universe the lookup then needs no other exchange.
-    drawn = draw_positions(spread(queries.select(id_col), id_col), id_col, _size(universe), n + 1, seed)
+    # Rows with the same id share their draws. Spread before the rows multiply: with a broadcast universe
+    # the lookup then needs no other exchange.
+    ids = spread(queries.select(id_col).distinct(), id_col)
+    drawn = draw_positions(ids, id_col, _size(universe), n + 1, seed)
     found = (
         drawn.join(universe, "idx")
         .groupBy(id_col)
@@ -181,8 +183,8 @@ def rolling_negatives(
     place = F.lit(len(split_order))
     for i, name in enumerate(split_order):
         place = F.when(F.col(split) == name, F.lit(i)).otherwise(place)
-    # Descriptions stay out of the shuffles until the last join.
-    slim = queries.select(id_col, place.alias("_place"))
+    # Descriptions stay out of the shuffles until the last join; rows with the same id share a window.
+    slim = queries.groupBy(id_col).agg(F.min(place).alias("_place"))
     ranked = hash_index(slim, [id_col], ["_place"], seed=f"roll{seed}", out="_r")
     earlier = Window.partitionBy(F.lit(0)).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -130,17 +130,22 @@ def _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify
     )
     classes = written(pooled.select("category", "pool").join(places, "pool"), "split_places")
 
-    # Sort only the rows of those buckets.
-    in_bucket = Window.partitionBy("pool", "bucket").orderBy("key")
-    ranked = (
+    # Sort only the keys of those buckets, copies of an id counted first.
+    at_cut = (
         keys.join(classes, "category")
         .where((F.col("bucket") == F.col("train_at.bucket")) | (F.col("bucket") == F.col("val_at.bucket")))
-        .withColumn("rank", F.row_number().over(in_bucket))
+        .groupBy("pool", "bucket", "key")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.max(f"{cut}_at").alias(f"{cut}_at") for cut in ("train", "val")])
+        .withColumn("upto", F.sum("n").over(
+            Window.partitionBy("pool", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+        ))
     )
-    cut_keys = ranked.groupBy("pool").agg(*[
+    cut_keys = at_cut.groupBy("pool").agg(*[
         F.max(
-            F.when(F.struct("bucket", F.col("rank").cast("long")) == F.struct(f"{cut}_at.bucket", f"{cut}_at.local"),
-                   F.col("key"))
+            F.when(
+                (F.col("bucket") == F.col(f"{cut}_at.bucket")) & (F.col("upto") - F.col("n") < F.col(f"{cut}_at.local")),
+                F.col("key"),
+            )
         ).alias(f"{cut}_key")
         for cut in ("train", "val")
     ])
@@ -160,9 +165,9 @@ def assign_splits(
     digits: int = BUCKET_DIGITS,
     histogram: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``split`` in {train, val, test}; ids must be unique.
+    """Add ``split`` in {train, val, test}.
 
-    A histogram of the same rows from :func:`split_histogram` saves the first of three passes.
+    Rows with the same id stay in one split; the quotas are exact when ids are unique. A histogram of the same rows from :func:`split_histogram` saves the first of three passes.
     """
     if histogram is None:
         histogram = split_histogram(df, id_col, category, seed, digits)

@@ -14,7 +14,7 @@ from pairforge.operators.negatives import (
     mine_candidates,
 )
 from pairforge.operators.splits import assign_splits, split_histogram
-from pairforge.session import written
+from pairforge.session import scratch_scope, written
 from pairforge.sources.files import read_catalogue
 from pairforge.sources.sinks import split_is_complete, split_manifest, write_split, write_splits
 
@@ -52,6 +52,14 @@ def build_splits(
     mined and written in one pass.
     """
     spark = catalogue.sparkSession
+    with scratch_scope(spark):
+        rows = _write_splits(catalogue, out, num_candidates, sampler, min_support, seed, skip)
+    return split_manifest(spark, out, rows=rows)
+
+
+def _write_splits(catalogue, out, num_candidates, sampler, min_support, seed, skip) -> dict[str, int]:
+    """Write the splits that are due; returns the rows written per split."""
+    spark = catalogue.sparkSession
     cleaned, assigned = clean_and_split(catalogue, min_support, seed)
     # Rows are counted while they are written.
     rows, counted = {}, Observation()
@@ -69,7 +77,7 @@ def build_splits(
         )
         write_splits(records, out, due)
         rows |= counted.get
-    return split_manifest(spark, out, rows=rows)
+    return rows
 
 
 def build_from_csv(spark: SparkSession, path: str, out: str, sample_size: int | None = None,
@@ -77,4 +85,5 @@ def build_from_csv(spark: SparkSession, path: str, out: str, sample_size: int |
     """Build from a CSV file, which is parsed once: the passes that follow read only their own columns of
     its complete rows."""
     catalogue = drop_incomplete(read_catalogue(spark, path, sample_size, multi_line=multi_line))
-    return build_splits(written(catalogue, "catalogue"), out, **options)
+    with scratch_scope(spark):
+        return build_splits(written(catalogue, "catalogue"), out, **options)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +42,32 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/pairforge/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/pairforge/{label}-{uuid.uuid4().hex}"
+    if (inside := _scope.get()) is not None:
+        inside.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Drop the intermediate tables written inside the block when it ends.
+
+    For jobs that finish their own output: nothing lazy that reads the tables may leave the block.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -141,6 +141,22 @@ def test_rolling_windows_equal_the_cursor(spark, images):
         assert got[i] == [p for p in window if p != truth[i]][:n]
 
 
+@pytest.mark.parametrize("sampler", sorted(N.SAMPLERS))
+def test_copies_of_an_id(spark, sampler):
+    """Rows that share an id, a third of them one id, are neither lost nor multiplied, and lists stay distinct."""
+    cat = _catalogue(spark, 900, 3).withColumn(
+        "style_id", F.when(F.col("style_id") % 3 == 0, F.lit(0)).otherwise(F.col("style_id") % 250)
+    )
+    split = assign_splits(cat, digits=1)
+    assert split.count() == 900
+    assert split.groupBy("style_id", "master_category").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+    universe = N.index_universe(C.image_universe(cat))
+    queries = cat.withColumn("split", F.when(F.col("style_id") % 2 == 0, "val").otherwise("test"))
+    mined = N.mine_candidates(queries, universe, 25, sampler)
+    assert mined.count() == 900
+    assert N.audit_candidates(mined, 25).count() == 0
+
+
 def test_strict_ids(spark):
     df = _catalogue(spark, 3).withColumn("style_id", F.lit(None).cast("long"))
     assert C.train_records(df, strict=False).count() == 3

@@ -99,7 +99,9 @@ def test_split_files_keep_nulls_and_restart(spark, tmp_path):
     assert sinks.read_split(spark, root, "train", schemas.TRAIN).count() == 1
 
 
-def test_build_end_to_end(spark, tmp_path):
+def test_build_end_to_end(spark, tmp_path, monkeypatch):
+    own = tmp_path / "scratch"
+    monkeypatch.setattr("pairforge.session.shared_dir", lambda _: str(own))
     rows = "\n".join(f"{i},text {i},img/{i // 2}.jpg,{'abc'[i % 3]}" for i in range(600))
     csv = _write(tmp_path / "cat.csv", "style_id,description,default_image,master_category\n" + rows + "\n")
     out = str(tmp_path / "sets")
@@ -110,6 +112,7 @@ def test_build_end_to_end(spark, tmp_path):
     ids = [r["style_id"] for s, sc in (("train", schemas.TRAIN), ("val", schemas.EVAL), ("test", schemas.EVAL))
            for r in sinks.read_split(spark, out, s, sc).collect()]
     assert sorted(ids) == list(range(600))
+    assert list((own / "pairforge").iterdir()) == []  # intermediate tables are gone
     before = os.path.getmtime(os.path.join(out, "split=train", "_SUCCESS"))
     build.build_from_csv(spark, csv, out, num_candidates=10, sampler="pooled")
     assert os.path.getmtime(os.path.join(out, "split=train", "_SUCCESS")) == before
