@@ -26,6 +26,9 @@ def build_session(app_name: str = "pairforge", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}  # by application, for local sessions without the setting
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``.
 
@@ -37,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="pairforge-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="pairforge-")
+    return _local_dirs[app]
 
 
 _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
