@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if fn.__module__.startswith("pairforge.plans")}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
