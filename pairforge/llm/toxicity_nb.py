@@ -1,9 +1,9 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are hashed character n-grams of the lower-cased text. From a bounded sample of labelled texts Spark counts
-in how many texts of each class a feature occurs; the smoothed log ratio of the two shares is its scale r. A logistic
-regression then learns a weight u per feature on the scaled frequencies r * count / length, by gradient steps whose
-sums Spark computes over the partitions of the sample. A score only uses the text.
+Features are the distinct hashed character n-grams of the lower-cased text. From a bounded sample of labelled texts
+Spark counts in how many texts of each class a feature occurs; the smoothed log ratio of the two shares is its scale r.
+A logistic regression on r / sqrt(number of features) then learns a weight per feature by gradient steps whose sums
+Spark computes over the partitions of the sample. A score only uses the text.
 """
 
 from __future__ import annotations
@@ -17,17 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairforge.llm.words import rows
+from pairforge.llm.words import Sink, rows
 from pairforge.session import written
 
 ORDERS = (3, 4, 5)
 BITS = 18
-MAX_ROWS = 4_000  # labelled rows of each class that are learnt from, chosen by hash of the id
-STEPS = 25
-RATE = 0.1
-DECAY = 1e-3
-GAIN = 40.0  # of the mean scaled feature, which is far below 1
-SMOOTHING = 1.0
+MAX_ROWS = 2_000  # labelled rows of each class that are learnt from, chosen by hash of the id
+STEPS = 30
+RATE, BIAS_RATE, MOMENTUM = 30.0, 1.0, 0.9
+SMOOTHING = 5.0  # texts, shared between the classes in proportion to their size
 _SLICE = 1 << 18
 _PARTS = 8
 
@@ -50,22 +48,30 @@ def features(text: str | None, orders=ORDERS, bits: int = BITS) -> Iterator[np.n
             yield np.concatenate(found)
 
 
+def present(text: str | None, orders=ORDERS, bits: int = BITS) -> np.ndarray:
+    """The distinct features of a whole text, in order."""
+    seen = np.zeros(1 << bits, bool)
+    for found in features(text, orders, bits):
+        seen[found] = True
+    return np.flatnonzero(seen).astype(np.int32)
+
+
+def _chance(margin: float) -> float:
+    return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+
+
 @dataclass
 class Model:
-    weights: np.ndarray  # r * u
+    weights: np.ndarray  # scale times learnt weight
     bias: float
     orders: tuple[int, ...] = ORDERS
     bits: int = BITS
 
-    def margin(self, text: str | None) -> float:
-        total, n = 0.0, 0
-        for found in features(text, self.orders, self.bits):
-            total += float(self.weights[found].sum())
-            n += len(found)
-        return self.bias + GAIN * total / max(1, n)
+    def margin(self, found: np.ndarray) -> float:
+        return self.bias + float(self.weights[found].sum()) / max(1, len(found)) ** 0.5
 
     def score(self, text: str | None) -> float:
-        return round(float(1 / (1 + np.exp(-np.clip(self.margin(text), -30, 30)))), 6)
+        return round(_chance(self.margin(present(text, self.orders, self.bits))), 6)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,82 +84,87 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
 
     Labels without id or mark are not used; repeated labels of a document are joined by the larger mark."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    known = marks.where(~held_out(F.col("doc_id")))
-    here = docs.select("doc_id").distinct()
-    known = written(known.join(here, "doc_id"), "toxic_marks")
+    known = marks.where(~held_out(F.col("doc_id"))).join(docs.select("doc_id").distinct(), "doc_id")
+    known = written(known, "toxic_marks")
     chosen = [
         known.where(F.col("toxic") == kind).orderBy(F.md5(F.concat(F.lit("toxic"), F.col("doc_id").cast("string"))), "doc_id").limit(max_rows)
         for kind in (False, True)
     ]
     ids = written(chosen[0].unionByName(chosen[1]), "toxic_ids")  # at most 2 * max_rows narrow rows
     texts = docs.select("doc_id", "text").join(ids, "doc_id").repartition(_PARTS, "doc_id").sortWithinPartitions("doc_id", "text")
-    return written(texts.select("text", F.col("toxic").cast("int").alias("toxic")), "toxic_sample")
+    return texts.select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def _class_counts(orders, bits: int):
+def _pack(orders, bits: int):
+    schema = pa.schema([("found", pa.binary()), ("toxic", pa.int32())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs = np.zeros((2, 1 << bits)), np.zeros(2)
+        sink = Sink(schema)
         for text, toxic in rows(batches, "text", "toxic"):
+            packed = present(text, orders, bits).tobytes()
+            sink.add(packed, toxic, size=len(packed) + 32)
+            if sink.full():
+                yield from sink.flush()
+        yield from sink.flush()
+
+    return run
+
+
+def _class_counts(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, docs = np.zeros((2, 1 << bits)), np.zeros(2)
+        for packed, toxic in rows(batches, "found", "toxic"):
             docs[toxic] += 1
-            seen = [np.unique(found) for found in features(text, orders, bits)]
-            if seen:
-                counts[toxic, np.unique(np.concatenate(seen))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary()), pa.array([docs.tobytes()], pa.binary())], names=["counts", "docs"])
+            counts[toxic, np.frombuffer(packed, np.int32)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()]), pa.array([docs.tobytes()])], names=["counts", "docs"])
 
     return run
 
 
-def _gradient(state, orders, bits: int):
+def _slopes(state, bits: int):
+    """Sum over a partition of the loss's slope: per weight and for the bias."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias, share = state.value
-        model = Model(weights, bias, orders, bits)
-        total, side, loss = np.zeros(1 << bits), 0.0, 0.0
-        for text, toxic in rows(batches, "text", "toxic"):
-            margin = float(np.clip(model.margin(text), -30, 30))
-            error = (1 / (1 + np.exp(-margin)) - toxic) * share[toxic]
+        model, total, side = Model(weights, bias), np.zeros(1 << bits), 0.0
+        for packed, toxic in rows(batches, "found", "toxic"):
+            found = np.frombuffer(packed, np.int32)
+            error = (_chance(model.margin(found)) - toxic) * share[toxic]
+            total[found] += error / max(1, len(found)) ** 0.5
             side += error
-            loss += share[toxic] * np.log1p(np.exp(-margin if toxic else margin))
-            parts = list(features(text, orders, bits))
-            n = sum(map(len, parts))
-            for found in parts:
-                np.add.at(total, found, error * GAIN / n) if len(found) < 2000 else total.__iadd__(np.bincount(found, minlength=1 << bits) * (error * GAIN / n))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([side]), pa.array([loss])], names=["total", "side", "loss"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([side])], names=["total", "side"])
 
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, orders=ORDERS, bits: int = BITS, steps: int = STEPS) -> Model:
-    """Fit on at most ``max_rows`` labelled documents of each class, none of them held out.
+    """Fit on at most ``max_rows`` labelled documents of each class, none of them held out; both weigh the same.
 
     Without a labelled text of both classes the model is a constant: the smoothed share of toxic texts. The driver
-    gets, per step, one vector of 2**bits from each of a fixed number of partitions.
+    gets, per step, one vector of 2**bits from each partition of the bounded sample.
     """
     spark = docs.sparkSession
-    sample = training_sample(docs, labels, max_rows)
+    packed = training_sample(docs, labels, max_rows).mapInArrow(_pack(orders, bits), "found binary, toxic int")
+    sample = written(packed, "toxic_sample")
     counts, n = np.zeros((2, 1 << bits)), np.zeros(2)
-    for r in sample.mapInArrow(_class_counts(orders, bits), "counts binary, docs binary").collect():
+    for r in sample.mapInArrow(_class_counts(bits), "counts binary, docs binary").collect():
         counts += np.frombuffer(r["counts"]).reshape(2, -1)
         n += np.frombuffer(r["docs"])
     if not n.all():
         return Model(np.zeros(1 << bits), float(np.log((n[1] + 1) / (n[0] + 1))), tuple(orders), bits)
-    shares = (counts + SMOOTHING) / (n[:, None] + 2 * SMOOTHING)
+    extra = SMOOTHING * n / n.mean()
+    shares = (counts + extra[:, None]) / (n + 2 * extra)[:, None]
     ratio = np.log(shares[1] / shares[0])
-    share = 0.5 / n  # both classes weigh the same
-    u, bias = np.ones(1 << bits), 0.0
-    first, second, b1, b2 = np.zeros(1 << bits), np.zeros(1 << bits), 0.0, 0.0
-    for step in range(1, steps + 1):
-        state = spark.sparkContext.broadcast((ratio * u, bias, share))
-        parts = sample.mapInArrow(_gradient(state, orders, bits), "total binary, side double, loss double").collect()
-        slope = sum(np.frombuffer(p["total"]) for p in parts) * ratio + DECAY * (u - 1) / len(u)
-        side = sum(p["side"] for p in parts)
+    learnt, bias, pace, side_pace = np.zeros(1 << bits), 0.0, np.zeros(1 << bits), 0.0
+    for _ in range(steps):
+        state = spark.sparkContext.broadcast((ratio * learnt, bias, 0.5 / n))
+        parts = sample.mapInArrow(_slopes(state, bits), "total binary, side double").collect()
         state.unpersist()
-        # Adam steps; the bias moves faster since it starts at none
-        first, b1 = 0.9 * first + 0.1 * slope, 0.9 * b1 + 0.1 * side
-        second, b2 = 0.99 * second + 0.01 * slope**2, 0.99 * b2 + 0.01 * side**2
-        c1, c2 = 1 - 0.9**step, 1 - 0.99**step
-        u = u - RATE * (first / c1) / (np.sqrt(second / c2) + 1e-6)
-        bias -= 3 * RATE * (b1 / c1) / (np.sqrt(b2 / c2) + 1e-9)
-    return Model((ratio * u).astype(np.float64), float(bias), tuple(orders), bits)
+        pace = MOMENTUM * pace + ratio * sum(np.frombuffer(p["total"]) for p in parts)
+        side_pace = MOMENTUM * side_pace + sum(p["side"] for p in parts)
+        learnt = learnt - RATE * pace
+        bias -= BIAS_RATE * side_pace
+    return Model(ratio * learnt, float(bias), tuple(orders), bits)
 
 
 def _score_rows(model, kept: list[str]):
