@@ -83,10 +83,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with _shuffle_files_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffle_files_dropped(spark: SparkSession):
+    """Queries started inside the block drop their shuffle files when they end: nothing reads those of a finished
+    intermediate table again, and they would stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by ``keys`` into the session's number of shuffle partitions.
 
