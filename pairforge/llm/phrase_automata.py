@@ -10,9 +10,9 @@ id. The steps:
    the candidate passages. Anchors of very many documents give single windows as segments, routed by the
    window itself, so that no route gathers a third of the corpus; equal segments are merged before and
    after the shuffle with the smallest and largest id of their documents.
-3. Per shard of routes, the windows confirmed word by word in two documents are compiled into an
-   Aho-Corasick automaton, and every segment is streamed through it. That locates each occurrence and the
-   smallest document it starts in.
+3. Per shard of routes, the phrases confirmed word by word in two documents are compiled into an Aho-Corasick
+   automaton, and every segment is streamed through it. That locates each occurrence and the smallest document
+   it starts in.
 4. Occurrences go back to their documents, and the covered words are removed.
 
 Nothing is sampled and no candidate is capped; the result is exact.
@@ -21,6 +21,7 @@ Nothing is sampled and no candidate is capped; the result is exact.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -35,7 +36,7 @@ from pairforge.session import written
 
 WINDOW = 13
 GRAM = 6
-BUSY_DOCS = 1_000  # anchors of more documents are routed window by window
+BUSY_DOCS = 10_000  # anchors of more documents are routed window by window
 SHARD_WORDS = 200_000  # words of the segments compiled and streamed at a time
 
 
@@ -103,29 +104,41 @@ def _segment_rows(window: int, gram: int):
     return run
 
 
-def _located(shard: list[tuple[int, bytes, int, int]], window: int) -> Iterator[tuple[int, bytes, list[int], int]]:
-    """Compile the confirmed windows of a shard and stream its segments: per segment, the smallest document
-    of each of its windows."""
+def _located(shard: list[tuple[int, bytes, int, int]], window: int) -> Iterator[tuple[int, bytes, list[int]]]:
+    """Compile the confirmed phrases of a shard and stream its segments: per segment, the smallest document of each
+    of its windows. The segments of a route follow each other.
+
+    A route with one segment in several documents gives that segment as one phrase; a route with different segments
+    gives each window that two documents share."""
     ids: dict[bytes, int] = {}
     coded = [tuple(ids.setdefault(w, len(ids)) for w in segment.split(b" ")) for _, segment, _, _ in shard]
-    known: dict[tuple, list[int]] = {}
-    for words, (_, _, low, high) in zip(coded, shard):
-        for i in range(len(words) - window + 1):
-            seen = known.setdefault(words[i : i + window], [low, high])
-            seen[0], seen[1] = min(seen[0], low), max(seen[1], high)
     phrases = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for words, (low, high) in known.items():
-        if low < high:
-            phrases.add_word(words, low)
+    for _, group in itertools.groupby(range(len(shard)), key=lambda i: shard[i][0]):
+        members = list(group)
+        if len(members) == 1:
+            words, (_, _, low, high) = coded[members[0]], shard[members[0]]
+            if low < high:
+                phrases.add_word(words, (low, len(words) - window + 1))
+            continue
+        known: dict[tuple, list[int]] = {}
+        for m in members:
+            words, (_, _, low, high) = coded[m], shard[m]
+            for i in range(len(words) - window + 1):
+                seen = known.setdefault(words[i : i + window], [low, high])
+                seen[0], seen[1] = min(seen[0], low), max(seen[1], high)
+        for words, (low, high) in known.items():
+            if low < high:
+                phrases.add_word(words, (low, 1))
     if not len(phrases):
         return
     phrases.make_automaton()
-    for words, (route, segment, low, high) in zip(coded, shard):
+    for words, (route, segment, _, high) in zip(coded, shard):
         lows = [high] * (len(words) - window + 1)  # no repeat: no document lies above its own
-        for end, smallest in phrases.iter(words):
-            lows[end - window + 1] = smallest
+        for end, (low, n) in phrases.iter(words):
+            last = end - window + 2
+            lows[last - n : last] = [low] * n
         if min(lows) < high:
-            yield route, segment, lows, high
+            yield route, segment, lows
 
 
 def _automaton_rows(window: int, shard_words: int):
@@ -136,7 +149,7 @@ def _automaton_rows(window: int, shard_words: int):
         for row in rows(batches, "route", "segment", "low", "high"):
             if words >= shard_words and row[0] != route:  # a route stays in one shard
                 for found in _located(shard, window):
-                    sink.add(*found[:3], size=len(found[1]) + 128)
+                    sink.add(*found, size=len(found[1]) + 128)
                     if sink.full():
                         yield from sink.flush()
                 shard, words = [], 0
@@ -144,7 +157,7 @@ def _automaton_rows(window: int, shard_words: int):
             shard.append(row)
             words += row[1].count(b" ") + 1
         for found in _located(shard, window):
-            sink.add(*found[:3], size=len(found[1]) + 128)
+            sink.add(*found, size=len(found[1]) + 128)
             if sink.full():
                 yield from sink.flush()
         yield from sink.flush()
@@ -221,5 +234,6 @@ def remove_repeats(
         .groupBy("doc")
         .agg(F.collect_list(F.struct("doc", "at", "lows")).alias("hits"))
     )
+    hits = written(hits, "phrase_hits")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return base.join(hits, "doc", "left").select("doc_id", "text", "hits").mapInArrow(_removal_rows(window, with_text), out)
