@@ -3,8 +3,8 @@
 Lines are hashed, and a rolling hash over the last ``roll`` line hashes ends a chunk where it is divisible by
 ``divisor``. A boundary so depends on nearby lines only: text inserted before a repeated passage moves the chunks
 but does not change them. A chunk of several lines that occurs elsewhere too is kept once, in the document with
-the smallest id and there at its first place; the other occurrences go after their bytes were compared with the
-kept one.
+the smallest id and there at its first place; the other occurrences go. Chunks are grouped by their bytes; should
+different chunks ever share both of their hashes, they all stay.
 """
 
 from __future__ import annotations
@@ -56,13 +56,12 @@ def removed_chunks(docs: DataFrame, roll: int = ROLL, divisor: int = DIVISOR, mi
         "doc", "at", F.xxhash64("chunk.text").alias("h1"), F.md5("chunk.text").alias("h2"), F.col("chunk.text").alias("body")
     )
     keys = ["h1", "h2"]
-    repeated = chunks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("first")).where("n > 1")
-    found = chunks.join(repeated.select(*keys, "first"), keys)
-    here = F.struct("doc", "at")
-    kept = found.where(here == F.col("first")).select(*keys, F.col("body").alias("kept_body")).distinct()
-    others = found.where(here != F.col("first")).select(*keys, "doc", "at", "body")
-    same = others.join(kept, keys).where("body = kept_body")
-    return same.groupBy("doc").agg(F.collect_set("at").alias("gone"))
+    # grouping by the body compares the bytes, and merges the copies of a partition before they are moved
+    bodies = chunks.groupBy(*keys, "body").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+    alone = bodies.groupBy(*keys).agg(F.count(F.lit(1)).alias("bodies"), F.max("n").alias("n"), F.min("first").alias("first"))
+    repeated = alone.where("bodies = 1 and n > 1").select(*keys, "first")
+    others = chunks.select("doc", "at", *keys).join(repeated, keys).where(F.struct("doc", "at") != F.col("first"))
+    return others.groupBy("doc").agg(F.collect_set("at").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, roll: int = ROLL, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
