@@ -27,8 +27,6 @@ NUM_CANDIDATES = 100
 NUM_CANDIDATES_FAST = 25
 WINDOW_MARGIN = 10
 NUM_POOLS = 10
-MAX_POOLS_LARGE = 5
-LARGE_UNIVERSE = 1_000_000
 
 # Primes below 2**31. A step is usable when it does not divide the universe size.
 STEP_PRIMES = (
@@ -138,22 +136,14 @@ def pooled_negatives(
 ) -> DataFrame:
     """The first ``n`` images of a randomly chosen shuffled pool, ground truth left out.
 
-    At most five pools are used above a million images. A pool is a permutation of the universe, so
-    when its head is too short the head already is the whole universe and joining pools adds nothing.
+    A pool is a permutation of the universe, so when its head is too short the head already is the whole universe and joining pools adds nothing.
     The heads (pools x (n + 1) paths) are the only thing broadcast.
     """
-    pools = F.when(F.col("_size") > LARGE_UNIVERSE, F.lit(min(num_pools, MAX_POOLS_LARGE))).otherwise(
-        F.lit(num_pools)
-    )
-    chosen = queries.withColumn("_size", _size(universe)).withColumn(
-        "pool", F.pmod(hash_long(id_col, seed=f"pick{seed}"), pools).cast("int")
-    )
+    chosen = queries.withColumn("pool", F.pmod(hash_long(id_col, seed=f"pick{seed}"), F.lit(num_pools)).cast("int"))
     heads = F.broadcast(pool_heads(universe, n, num_pools, seed))
     picked = chosen.join(heads, "pool", "left")
     head = F.coalesce(F.col("_head"), F.array().cast("array<string>"))
-    return picked.withColumn("negatives", _drop_truth(head, F.col(truth), n)).drop(
-        "_size", "pool", "_head"
-    )
+    return picked.withColumn("negatives", _drop_truth(head, F.col(truth), n)).drop("pool", "_head")
 
 
 def rolling_negatives(

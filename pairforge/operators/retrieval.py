@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions.joins import salted_lookup
-from pairforge.functions.keys import HOT_ROWS, SEED, block_index, hash_index, hash_long
+from pairforge.functions.keys import HOT_ROWS, SEED, block_index, hash_long
 from pairforge.functions.text import full_query_text
 from pairforge.functions.vectors import as_double, dot, l2_normalize, truncate_dims
 from pairforge.session import written
@@ -23,6 +23,9 @@ from pairforge.session import written
 TEMPERATURE = 0.02  # logits are divided by it
 UNIT_SCALE = 1.0  # logits are multiplied by it
 TILE = 1024
+# The names of the losses that can be routed.
+WITHIN_BATCH = ("inbatch_contrastive", "distributed_inbatch_contrastive")
+WITHIN_EXAMPLE = "inexample_contrastive"
 
 
 # -- relevance judgements ---------------------------------------------------------------------------
@@ -37,14 +40,14 @@ def positive_judgements(
 
 def judgement_maps(
     qrels: DataFrame, query: str = "query_id", doc: str = "corpus_id", score: str = "score",
-    entries_per_map: int = 10_000,
+    parts: int = 1,
 ) -> DataFrame:
-    """``MAP<document, score>`` per query. A query with very many documents gets several numbered maps."""
+    """``MAP<document, score>`` per query, or ``parts`` maps by hash of the document where one would be too large.
+
+    The number of parts is the caller's alone; it never follows from the size of a query."""
     best = positive_judgements(qrels, query, doc, score)
-    numbered = hash_index(best, [doc], [query], out="_at").withColumn(
-        "part", F.expr(f"_at div {entries_per_map}")
-    )
-    return numbered.groupBy(query, "part").agg(
+    part = F.pmod(hash_long(doc, seed="map", digits=8), F.lit(parts))
+    return best.withColumn("part", part).groupBy(query, "part").agg(
         F.map_from_entries(F.collect_list(F.struct(doc, score))).alias("judgements")
     )
 
@@ -56,10 +59,14 @@ def last_token_pooling(
     states: DataFrame, seq: str = "seq_id", pos: str = "pos", mask: str = "mask", vec: str = "vec",
     pooling: str = "last", normalize: bool = False,
 ) -> DataFrame:
-    """Vector at the last unmasked position, whichever side the padding is on."""
+    """Vector at the last unmasked position, whichever side the padding is on; at the last position of a sequence
+    that is masked throughout. Positions are unique within a sequence; only they are aggregated, not the vectors."""
     if pooling not in ("last", "eos"):
         raise NotImplementedError(f"pooling {pooling!r}")
-    pooled = states.where(F.col(mask) == 1).groupBy(seq).agg(F.max_by(vec, pos).alias("rep"))
+    unmasked = F.coalesce(F.col(mask) == 1, F.lit(False))
+    last = states.groupBy(seq).agg(F.max(F.struct(unmasked.alias("open"), F.col(pos).alias("at"))).alias("_last"))
+    last = last.select(seq, F.col("_last.at").alias(pos))
+    pooled = states.select(seq, pos, F.col(vec).alias("rep")).join(last, [seq, pos]).drop(pos)
     return pooled.withColumn("rep", l2_normalize(as_double("rep"))) if normalize else pooled
 
 
@@ -93,20 +100,33 @@ def candidate_logits(
     """Add ``logit`` to ``(query, cand_pos, target)`` rows.
 
     ``*_reps`` have the id and ``vec``. A target that occurs in very many lists, and a query with a
-    very long list, are salted. Vectors travel as stored and become double only for the product.
+    very long list, are salted. Vectors travel as stored and become double only for the product. A candidate
+    without a vector keeps its place with a NULL logit; :func:`missing_vectors` lists those.
     """
     with_target = salted_lookup(
         cands, target_reps.select(target, F.col("vec").alias("_t")), target, [query, "cand_pos"],
-        hot_rows=hot_rows,
+        how="left", hot_rows=hot_rows,
     )
     with_both = salted_lookup(
         with_target, query_reps.select(query, F.col("vec").alias("_q")), query, ["cand_pos", target],
-        hot_rows=hot_rows, count_in=cands,
+        how="left", hot_rows=hot_rows, count_in=cands,
     )
     logit = dot(as_double(truncate_dims("_q", ndim)), as_double(truncate_dims("_t", ndim))) * F.lit(scale)
     return with_both.withColumn("logit", logit).drop("_q", "_t")
 
 
+def missing_vectors(
+    cands: DataFrame, query_reps: DataFrame, target_reps: DataFrame, query: str = "query_id", target: str = "target_id"
+) -> DataFrame:
+    """``(side, id, n)``: ids in the candidate rows that have no vector, with the number of their rows."""
+    sides = []
+    for side, key, reps in (("query", query, query_reps), ("target", target, target_reps)):
+        used = cands.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        known = reps.where(F.col("vec").isNotNull()).select(F.col(key).alias("id")).distinct()
+        sides.append(used.join(known, "id", "left_anti").select(F.lit(side).alias("side"), "id", "n"))
+    return sides[0].unionByName(sides[1])
+
+
 def in_example_loss(
     logits: DataFrame, query: str = "query_id", pos: str = "cand_pos", logit: str = "logit", chunk: int = TILE
 ) -> DataFrame:
@@ -237,6 +257,12 @@ def batch_sizes(queries: DataFrame, targets: DataFrame, keys: list[str]) -> Data
     return sides.groupBy(*keys).agg(F.sum("_q").alias("n_queries"), F.sum("_t").alias("n_targets"))
 
 
+def batch_violations(queries: DataFrame, targets: DataFrame, batch: str | list[str] = "batch_id") -> DataFrame:
+    """Batches with fewer targets than queries, with both counts: no loss is defined for them."""
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return batch_sizes(queries, targets, keys).where("n_targets < n_queries")
+
+
 def in_batch_loss(
     queries: DataFrame,
     targets: DataFrame,
@@ -248,11 +274,14 @@ def in_batch_loss(
     """Per query of a batch: cross entropy against all targets of the batch, label and prediction.
 
     Both sides are ``(batch, pos, vec)`` with dense zero-based positions. With t targets per query the
-    positive of query i is target i * t. ``sizes`` are known :func:`batch_sizes`.
+    positive of query i is target i * t. ``sizes`` are known :func:`batch_sizes`. A batch with fewer targets than
+    queries is an error; :func:`batch_violations` lists them beforehand.
     """
     keys = [batch] if isinstance(batch, str) else list(batch)
     counted = batch_sizes(queries, targets, keys) if sizes is None else sizes
-    sizes = counted.where("n_queries > 0 and n_targets >= n_queries")
+    told = F.concat_ws(" ", F.lit("fewer targets than queries in batch"), *[F.col(k).cast("string") for k in keys])
+    enough = F.when(F.col("n_targets") >= F.col("n_queries"), F.col("n_targets")).otherwise(F.raise_error(told).cast("bigint"))
+    sizes = counted.where("n_queries > 0").withColumn("n_targets", enough)
 
     def tiles(n: str) -> Column:
         return F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {tile}"))
@@ -319,6 +348,12 @@ def global_batch_loss(
     return batch_loss(per_query, step, world_size or 1)
 
 
+def unknown_losses(queries: DataFrame, batch: str = "batch_id", loss_name: str = "loss_name") -> DataFrame:
+    """``(batch, loss_name, n)`` of the queries whose loss is not known, NULL included."""
+    odd = queries.where(~F.coalesce(F.col(loss_name).isin(*WITHIN_BATCH, WITHIN_EXAMPLE), F.lit(False)))
+    return odd.groupBy(batch, loss_name).agg(F.count(F.lit(1)).alias("n"))
+
+
 def routed_loss(
     queries: DataFrame,
     targets: DataFrame,
@@ -331,9 +366,12 @@ def routed_loss(
 
     ``queries`` are ``(batch, pos, vec, loss_name)``; targets ``(batch, pos, vec)`` belong to query
     ``pos div t``. Queries of one name form their own group with their own targets, numbered anew, and
-    results return at the original position.
+    results return at the original position. Any other name is an error; :func:`unknown_losses` counts them beforehand.
     """
     keys = [batch, loss_name]
+    told = F.concat(F.lit("unknown loss "), F.coalesce(F.col(loss_name), F.lit("NULL")))
+    known = F.col(loss_name).isin(*WITHIN_BATCH, WITHIN_EXAMPLE)
+    queries = queries.withColumn(loss_name, F.when(known, F.col(loss_name)).otherwise(F.raise_error(told).cast("string")))
     # Places of the queries within their group: narrow, and read several times below.
     slots = written(
         block_index(queries.select(*keys, F.col("pos").alias("_query")), "_query", keys, out="_at", block=1 << 16),
@@ -346,7 +384,7 @@ def routed_loss(
         .withColumn("_slot", F.expr("pos % _t"))
         .join(slots, [batch, "_query"])
     )
-    in_batch = F.col(loss_name).isin("inbatch_contrastive", "distributed_inbatch_contrastive")
+    in_batch = F.col(loss_name).isin(*WITHIN_BATCH)
     group_sizes = slots.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_queries")).join(
         per_batch.select(batch, "_t"), batch
     ).select(*keys, "n_queries", (F.col("n_queries") * F.col("_t")).alias("n_targets"))
@@ -360,7 +398,7 @@ def routed_loss(
         *keys, F.col("_query").alias("pos"), "label", "pred", "loss"
     )
 
-    single = F.col(loss_name) == "inexample_contrastive"
+    single = F.col(loss_name) == WITHIN_EXAMPLE
     pairs = (
         owned.where(single)
         .select(*keys, "_query", F.col("_slot").alias("cand_pos"), F.col("vec").alias("_t_vec"))

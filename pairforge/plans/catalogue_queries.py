@@ -199,8 +199,7 @@ pools AS (
   FROM universe, (SELECT unnest(range(0, {N.NUM_POOLS})) AS pool)),
 picks AS (
   SELECT style_id, default_image,
-         ('0x' || substr(md5('pick42|' || style_id), 1, 15))::BIGINT
-         % CASE WHEN u > {N.LARGE_UNIVERSE} THEN {N.MAX_POOLS_LARGE} ELSE {N.NUM_POOLS} END AS pool
+         ('0x' || substr(md5('pick42|' || style_id), 1, 15))::BIGINT % {N.NUM_POOLS} AS pool
   FROM queries, size),
 found AS (
   SELECT style_id, default_image, path, row_number() OVER (PARTITION BY style_id ORDER BY rk) AS place

@@ -11,7 +11,7 @@ from pairforge.operators.thinning import thin_groups
 from pairforge.plans import fixtures as X
 from pairforge.session import written
 
-WEIGHTS = (("pairs_a", "en", 3.0), ("pairs_b", "fr", 2.0), ("pairs_c", "de", 1.0))
+WEIGHTS = (("pairs_a", "en", 3.0), ("pairs_b", "fr", 2.0), ("pairs_c", "de", 1.0), ("pairs_d", "es", 1.0))
 WORLD = 3
 BATCH = 32
 ACCUM = 4
@@ -168,16 +168,17 @@ QUERIES = {
 
 def _mix_sql(stop: str) -> str:
     bounds = M._upper_bounds([w for _, _, w in WEIGHTS])
-    names = "CASE source_no WHEN 0 THEN 'pairs_a' WHEN 1 THEN 'pairs_b' ELSE 'pairs_c' END"
+    names = "CASE source_no WHEN 0 THEN 'pairs_a' WHEN 1 THEN 'pairs_b' WHEN 2 THEN 'pairs_c' ELSE 'pairs_d' END"
     return f"""{X.CATALOGUE},
 complete AS (
-  SELECT style_id, default_image, CASE master_category WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 END AS source_no
-  FROM catalogue WHERE default_image IS NOT NULL AND master_category IN ('en', 'fr', 'de')),
+  SELECT style_id, default_image, CASE master_category WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 WHEN 'es' THEN 3 END AS source_no
+  FROM catalogue WHERE default_image IS NOT NULL AND master_category IN ('en', 'fr', 'de', 'es')),
 source_rows AS (
   SELECT *, row_number() OVER (PARTITION BY source_no ORDER BY md5('order42|' || style_id), style_id) - 1 AS pos FROM complete),
 source_sizes AS (SELECT source_no, count(*) AS n FROM complete GROUP BY 1),
 draws AS (
-  SELECT draw, CASE WHEN u < {bounds[0]!r}::DOUBLE THEN 0 WHEN u < {bounds[1]!r}::DOUBLE THEN 1 ELSE 2 END AS source_no
+  SELECT draw, CASE WHEN u < {bounds[0]!r}::DOUBLE THEN 0 WHEN u < {bounds[1]!r}::DOUBLE THEN 1
+         WHEN u < {bounds[2]!r}::DOUBLE THEN 2 ELSE 3 END AS source_no
   FROM (SELECT draw, ('0x' || substr(md5('mix42|' || draw), 1, 8))::BIGINT / 4294967296::DOUBLE AS u
         FROM (SELECT unnest(range(0, (SELECT count(*) * 20 + 1000 FROM documents))) AS draw))),
 counted AS (SELECT *, row_number() OVER (PARTITION BY source_no ORDER BY draw) - 1 AS k FROM draws),

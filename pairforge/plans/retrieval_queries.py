@@ -30,7 +30,7 @@ def c5(spark, sf):
 
 
 def c5_maps(spark, sf):
-    maps = R.judgement_maps(X.qrels(spark, sf), entries_per_map=50)
+    maps = R.judgement_maps(X.qrels(spark, sf), parts=3)
     return maps.groupBy("query_id").agg(
         F.sum(F.size("judgements")).alias("documents"), F.count(F.lit(1)).alias("maps"),
         F.max(F.size("judgements")).alias("largest_map"),
@@ -38,6 +38,24 @@ def c5_maps(spark, sf):
     )
 
 
+def f4_violations(spark, sf):
+    """Every third target of the batches with an even number is taken away."""
+    targets = _side(spark, sf, False, "batch_id", "pos").where("batch_id % 2 = 1 or pos % 3 <> 0")
+    return R.batch_violations(_side(spark, sf, True, "batch_id", "pos"), targets)
+
+
+def f7_unknown(spark, sf):
+    name = F.when(F.col("label") % 3 == 0, F.lit("inbatch_contrastive")).when(F.col("label") % 3 == 1, F.lit("other"))
+    return R.unknown_losses(X.reps(spark, sf).where("is_query").select("batch_id", "pos", name.alias("loss_name")))
+
+
+def f8_missing(spark, sf):
+    vectors = X.table(spark, sf, "embeddings").where("vec_id % 7 <> 0")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec"))
+    targets = vectors.select(F.col("vec_id").alias("target_id"), F.col("embedding").alias("vec"))
+    return R.missing_vectors(X.candidates(spark, sf), queries, targets)
+
+
 def c8(spark, sf):
     count = X.table(spark, sf, "embeddings").agg(F.count(F.lit(1))).scalar()
     turns = X.table(spark, sf, "conversations").select(
@@ -161,6 +179,9 @@ QUERIES = {
     "c8_last_token_pooling": c8,
     "f2_l2_normalize": f2,
     "f3_similarity_logits": f3,
+    "f4_batch_violations": f4_violations,
+    "f7_unknown_names": f7_unknown,
+    "f8_missing_vectors": f8_missing,
     "f4_in_batch_loss": f4,
     "f4_in_batch_queries": f4_queries,
     "f4_single_batch_tiled": f4_unit_tiled,
@@ -222,14 +243,24 @@ SQL = {
     "c5_qrels": f"""WITH {X.QRELS}
 SELECT query_id, corpus_id, round(max(score), 6) AS score FROM qrels WHERE score > 0 GROUP BY ALL""",
     "c5_qrels_maps": f"""WITH {X.QRELS},
-best AS (SELECT query_id, corpus_id, max(score) AS score FROM qrels WHERE score > 0 GROUP BY ALL)
-SELECT query_id, count(*) AS documents, (count(*) + 49) // 50 AS maps, CAST(least(count(*), 50) AS INTEGER) AS largest_map,
-       round(sum(score), 4) AS total
-FROM best GROUP BY query_id""",
+best AS (SELECT query_id, corpus_id, max(score) AS score FROM qrels WHERE score > 0 GROUP BY ALL),
+parts AS (
+  SELECT query_id, ('0x' || substr(md5('map|' || corpus_id), 1, 8))::BIGINT % 3 AS part, count(*) AS n, sum(score) AS total FROM best GROUP BY ALL)
+SELECT query_id, CAST(sum(n) AS BIGINT) AS documents, count(*) AS maps, CAST(max(n) AS INTEGER) AS largest_map, round(sum(total), 4) AS total
+FROM parts GROUP BY query_id""",
+    "f4_batch_violations": f"""WITH {X.REPS},
+q AS (SELECT batch_id, count(*) AS n_queries FROM reps WHERE is_query GROUP BY batch_id),
+t AS (SELECT batch_id, count(*) AS n_targets FROM reps WHERE NOT is_query AND (batch_id % 2 = 1 OR pos % 3 <> 0) GROUP BY batch_id)
+SELECT batch_id, n_queries, coalesce(n_targets, 0) AS n_targets FROM q LEFT JOIN t USING (batch_id) WHERE coalesce(n_targets, 0) < n_queries""",
+    "f7_unknown_names": f"""WITH {X.REPS}
+SELECT batch_id, CASE label % 3 WHEN 1 THEN 'other' END AS loss_name, count(*) AS n FROM reps WHERE is_query AND label % 3 <> 0 GROUP BY ALL""",
+    "f8_missing_vectors": f"""WITH {X.REPS}, {X.CANDIDATES}
+SELECT 'query' AS side, query_id AS id, count(*) AS n FROM cands WHERE query_id % 7 = 0 GROUP BY query_id
+UNION ALL SELECT 'target', target_id, count(*) FROM cands WHERE target_id % 7 = 0 GROUP BY target_id""",
     "c8_last_token_pooling": """WITH turns AS (
   SELECT conv_id AS seq_id, turn, (conv_id * 7 + turn) % (SELECT count(*) FROM embeddings) AS vec_id
-  FROM conversations WHERE role <> 'system'),
-lasts AS (SELECT seq_id, arg_max(vec_id, turn) AS vec_id FROM turns GROUP BY seq_id),
+         , CASE WHEN role <> 'system' THEN 1000000 ELSE 0 END + turn AS place FROM conversations),
+lasts AS (SELECT seq_id, arg_max(vec_id, place) AS vec_id FROM turns GROUP BY seq_id),
 vecs AS (SELECT seq_id, CAST(embedding AS DOUBLE[]) AS v FROM lasts JOIN embeddings USING (vec_id))
 SELECT seq_id, CAST(unnest(range(0, len(v))) AS INTEGER) AS dim,
        round(unnest(v) / greatest(sqrt(list_dot_product(v, v)), 1e-12), 6) AS value FROM vecs""",

@@ -103,6 +103,15 @@ def a4(spark, sf):
     return back
 
 
+def a4_rerun(spark, sf):
+    """The second run has no test rows; the first one's must not stay. With the manifest of what is there."""
+    root = scratch_path(spark, "splits")
+    parts = C.train_records(X.big_catalogue(spark, sf)).withColumn("split", F.when(F.col("style_id") % 10 == 0, "val").otherwise("test"))
+    sinks.write_splits(parts, root, ["val", "test"])
+    sinks.write_splits(parts.where("split = 'val'"), root, ["val", "test"])
+    return sinks.split_manifest(spark, root, ("val", "test")).select("split", "rows", (F.col("megabytes") > 0).alias("has_bytes"))
+
+
 def a5(spark, sf):
     """A second run leaves the committed train split alone and repeats an uncommitted one."""
     root = scratch_path(spark, "restart")
@@ -280,6 +289,7 @@ QUERIES = {
     "a3_jsonl_scan": a3,
     "a3_jsonl_quarantine": a3_quarantine,
     "a4_split_sink": a4,
+    "a4_rerun_with_empty_split": a4_rerun,
     "a5_skip_existing": a5,
     "a6_attach_images": a6,
     "a7_resolve_sets": a7,
@@ -323,6 +333,8 @@ SELECT kind AS problem, count(*) AS n, count(*) AS places FROM kinds WHERE kind
 SELECT {CQ.INSTRUCTION} AS instruction_text, description AS query_text, CAST(NULL AS VARCHAR) AS query_image_path,
        default_image AS target_image_path, 'retrieval' AS task_category, style_id,
        CASE style_id % 10 WHEN 0 THEN 'val' WHEN 1 THEN 'test' ELSE 'train' END AS split FROM catalogue""",
+    "a4_rerun_with_empty_split": """
+SELECT 'val' AS split, count(*) AS rows, true AS has_bytes FROM part WHERE p_partkey % 10 = 0 UNION ALL SELECT 'test', 0, false""",
     "a5_skip_existing": """
 SELECT 'train' AS split, count(*) FILTER (WHERE p_partkey % 2 = 0) AS n, false AS written_by_second_run FROM part
 UNION ALL SELECT 'val', count(*), true FROM part""",
@@ -346,7 +358,8 @@ SELECT name, CASE WHEN subset IS NOT NULL AND split IS NOT NULL THEN 'subset_and
        concat_ws('/', '/data', repo, subset, split) AS location FROM sets
 UNION ALL SELECT name || '-x', 'unknown', NULL FROM sets""",
     "a8_split_manifest": f"""WITH {X.splits_sql(100, X.BIG_CATALOGUE)}
-SELECT split, count(*) AS rows, true AS has_bytes FROM splits GROUP BY split""",
+SELECT n.split, count(s.split) AS rows, count(s.split) > 0 AS has_bytes
+FROM (VALUES ('train'), ('val'), ('test')) n(split) LEFT JOIN splits s ON s.split = n.split GROUP BY n.split""",
     "a9_conform": f"""WITH {X.CATALOGUE}
 SELECT description AS query_text, true AS no_query_image, '' AS pos_text, coalesce(default_image, '') AS pos_paths,
        CASE WHEN default_image IS NULL THEN 0 ELSE 1 END AS pos_images,

@@ -35,7 +35,10 @@ def write_split(records: DataFrame, root: str, split: str, skip_existing: bool =
 
 
 def write_splits(records: DataFrame, root: str, splits: list[str], split: str = "split") -> None:
-    """Several splits of one record type in a single pass; replaces only these splits."""
+    """Several splits of one record type in a single pass; replaces only these splits, also by nothing."""
+    for name in splits:
+        path, fs = _marker(records.sparkSession, root, name)
+        fs.delete(path.getParent(), True)
     (
         records.where(F.col(split).isin(*splits))
         .write.mode("overwrite")
@@ -56,7 +59,7 @@ def read_split(spark: SparkSession, root: str, split: str, schema: T.StructType)
 def split_manifest(
     spark: SparkSession, root: str, splits=("train", "val", "test"), rows: dict[str, int] | None = None
 ) -> DataFrame:
-    """Files, megabytes and rows per written split.
+    """Files, megabytes and rows per written split, zeros for one without rows.
 
     Sizes come from the file listing. Rows counted while a split was written are passed in ``rows``; only
     the other splits are read to count their lines.
@@ -75,4 +78,6 @@ def split_manifest(
         place = F.regexp_extract(F.col("_metadata.file_path"), r"/split=([^/]+)/", 1).alias("split")
         lines = spark.read.text(unknown).select(place).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
         counts = counts.unionByName(lines)
-    return files.join(counts, "split")
+    named = spark.createDataFrame([(s,) for s in splits], "split STRING")
+    found = named.join(files, "split", "left").join(counts, "split", "left")
+    return found.fillna(0, ["files", "megabytes", "rows"])
