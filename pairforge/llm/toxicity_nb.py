@@ -132,7 +132,7 @@ def _slopes(state, bits: int):
             error = (_chance(model.margin(found)) - toxic) * share[toxic]
             total[found] += error / max(1, len(found)) ** 0.5
             side += error
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([side])], names=["total", "side"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()]), pa.array([side])], names=["total", "side"])
 
     return run
 
@@ -141,11 +141,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, orders=O
     """Fit on at most ``max_rows`` labelled documents of each class, none of them held out; both weigh the same.
 
     Without a labelled text of both classes the model is a constant: the smoothed share of toxic texts. The driver
-    gets, per step, one vector of 2**bits from each partition of the bounded sample.
+    gets, per step, one vector of 2**bits from each of at most ``_PARTS`` partitions of the bounded sample.
     """
     spark = docs.sparkSession
     packed = training_sample(docs, labels, max_rows).mapInArrow(_pack(orders, bits), "found binary, toxic int")
-    sample = written(packed, "toxic_sample")
+    sample = written(packed, "toxic_sample").coalesce(_PARTS)
     counts, n = np.zeros((2, 1 << bits)), np.zeros(2)
     for r in sample.mapInArrow(_class_counts(bits), "counts binary, docs binary").collect():
         counts += np.frombuffer(r["counts"]).reshape(2, -1)
@@ -159,8 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, orders=O
     for _ in range(steps):
         state = spark.sparkContext.broadcast((ratio * learnt, bias, 0.5 / n))
         parts = sample.mapInArrow(_slopes(state, bits), "total binary, side double").collect()
-        state.unpersist()
-        pace = MOMENTUM * pace + ratio * sum(np.frombuffer(p["total"]) for p in parts)
+        state.destroy()
+        pace = MOMENTUM * pace + ratio * sum(np.frombuffer(p["total"], np.float32).astype(np.float64) for p in parts)
         side_pace = MOMENTUM * side_pace + sum(p["side"] for p in parts)
         learnt = learnt - RATE * pace
         bias -= BIAS_RATE * side_pace
