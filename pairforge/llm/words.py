@@ -71,7 +71,9 @@ def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width:
 def rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of the named columns."""
     for batch in batches:
-        yield from zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names))
+        for at in range(0, batch.num_rows, 128):  # few rows at a time are Python objects
+            part = batch.slice(at, 128)
+            yield from zip(*(part.column(part.schema.get_field_index(n)).to_pylist() for n in names))
 
 
 class Sink:
