@@ -62,11 +62,13 @@ def _pair_lines(spark, sf):
         {"ignoreNullFields": "false"},
     )
     sid = F.col("style_id")
+    no_image = F.to_json(F.struct(F.lit("Find").alias("instruction_text"), F.col("description").alias("query_text"), "style_id"))
     line = (
         F.when(sid % 10 == 3, F.concat(F.lit('{"style_id": '), sid.cast("string")))
         .when(sid % 17 == 5, F.lit(""))
         .when(sid % 13 == 7, F.concat(record, F.lit(" trailing")))
         .when(sid % 19 == 11, sid.cast("string"))
+        .when(sid % 23 == 13, no_image)
         .otherwise(record)
     )
     return cat.select(line.alias("value"))
@@ -83,6 +85,11 @@ def a3(spark, sf):
     return good
 
 
+def a3_null(spark, sf):
+    """Records whose image is an explicit null are kept."""
+    return a3(spark, sf).where("target_image_path is null").select("style_id", "query_text")
+
+
 def a3_quarantine(spark, sf):
     _, bad = files.read_jsonl(spark, _write_lines(spark, sf), schemas.TRAIN, schemas.REQUIRED_TRAIN)
     return bad.groupBy("problem").agg(
@@ -236,6 +243,13 @@ def k2(spark, sf):
     )
 
 
+def k2_quarantine(spark, sf):
+    bad = registry.instantiate(
+        spark, dataset_parser="jsonl_pairs_quarantine", jsonl_path=_write_lines(spark, sf), subset_name="pairs"
+    )
+    return bad.groupBy("global_dataset_name", "problem").agg(F.count_distinct("file", "line_number").alias("n"))
+
+
 def c7(spark, sf):
     events = X.table(spark, sf, "events")
     rate = throughput.throughput(events, by=["event_type"])
@@ -252,7 +266,9 @@ def j1(spark, sf):
     good = spark.read.parquet(f"{target}/good").select(
         F.lit("good").alias("kind"), F.col("style_id").alias("id"), "query_text", F.col("passage_path").alias("path")
     )
-    bad = spark.read.parquet(f"{target}/quarantine").groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    bad = spark.read.parquet(f"{target}/quarantine").groupBy("problem").agg(
+        F.count_distinct("file", "line_number").alias("n")
+    )
     return good.unionByName(
         bad.select(
             F.col("problem").alias("kind"), F.col("n").alias("id"),
@@ -288,6 +304,7 @@ QUERIES = {
     "a2_read_file": a2,
     "a3_jsonl_scan": a3,
     "a3_jsonl_quarantine": a3_quarantine,
+    "a3_explicit_null": a3_null,
     "a4_split_sink": a4,
     "a4_rerun_with_empty_split": a4_rerun,
     "a5_skip_existing": a5,
@@ -297,6 +314,7 @@ QUERIES = {
     "a9_conform": a9,
     "a9_resolution_violations": a9_violations,
     "k2_parser_registry": k2,
+    "k2_parser_quarantine": k2_quarantine,
     "c7_throughput": c7,
     "j1_stream_ingest": j1,
     "j2_windowed_counts": j2,
@@ -307,7 +325,7 @@ _LINES = f"""{X.CATALOGUE},
 kinds AS (
   SELECT *, CASE WHEN style_id % 10 = 3 THEN 'malformed' WHEN style_id % 17 = 5 THEN 'blank'
                  WHEN style_id % 13 = 7 THEN 'malformed' WHEN style_id % 19 = 11 THEN 'malformed'
-                 WHEN description IS NULL OR default_image IS NULL THEN 'missing_key' ELSE 'good' END AS kind
+                 WHEN style_id % 23 = 13 THEN 'missing_key' ELSE 'good' END AS kind
   FROM catalogue)"""
 
 _WINDOWS = """
@@ -329,6 +347,8 @@ SELECT 'Find ' || master_category AS instruction_text, description AS query_text
        default_image AS target_image_path, 'retrieval' AS task_category, style_id FROM kinds WHERE kind = 'good'""",
     "a3_jsonl_quarantine": f"""WITH {_LINES}
 SELECT kind AS problem, count(*) AS n, count(*) AS places FROM kinds WHERE kind <> 'good' GROUP BY kind""",
+    "a3_explicit_null": f"""WITH {_LINES}
+SELECT style_id, description AS query_text FROM kinds WHERE kind = 'good' AND default_image IS NULL""",
     "a4_split_sink": f"""WITH {X.BIG_CATALOGUE}
 SELECT {CQ.INSTRUCTION} AS instruction_text, description AS query_text, CAST(NULL AS VARCHAR) AS query_image_path,
        default_image AS target_image_path, 'retrieval' AS task_category, style_id,
@@ -373,6 +393,8 @@ parts AS (
   UNION ALL SELECT 'french', style_id FROM catalogue WHERE master_category = 'fr'
   UNION ALL SELECT 'pairs', style_id FROM kinds WHERE kind = 'good')
 SELECT global_dataset_name, count(*) AS n, CAST(sum(style_id) AS BIGINT) AS ids, max(style_id) AS last_id FROM parts GROUP BY 1""",
+    "k2_parser_quarantine": f"""WITH {_LINES}
+SELECT 'pairs' AS global_dataset_name, kind AS problem, count(*) AS n FROM kinds WHERE kind <> 'good' GROUP BY kind""",
     "c7_throughput": """
 SELECT event_type, count(*) AS n, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS elapsed,
        round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0 END, 9) AS rate

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairforge.session import written
 from pairforge.sources.schemas import CATALOGUE
 
 # Fixed value: texts that a catalogue file uses for a missing value.
@@ -74,7 +75,8 @@ def parse_records(lines: DataFrame, schema: T.StructType, required=(), value: st
     """Parse one JSON object per line; adds the fields and ``_problem`` (NULL when the line is good).
 
     The parser stops at the end of the first object, so each line is also read as the only element of
-    an array and as the only field of an object, which fails when anything follows it.
+    an array and as the only field of an object, which fails when anything follows it. A required key
+    must be there, but may be null unless it holds a list.
     """
     line = F.col(value)
     with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
@@ -85,9 +87,12 @@ def parse_records(lines: DataFrame, schema: T.StructType, required=(), value: st
     parsed = lines.withColumn("_r", F.from_json(line, with_corrupt, JSON_OPTIONS)).withColumn(
         "_whole", (F.size(alone) == 1) & closed["_corrupt"].isNull()
     )
+    keys = F.json_object_keys(line)
     lacking = F.lit(False)
     for name in required:
-        lacking = lacking | F.col(f"_r.{name}").isNull()
+        lacking = lacking | ~F.array_contains(keys, name)
+        if isinstance(schema[name].dataType, T.ArrayType):
+            lacking = lacking | F.col(f"_r.{name}").isNull()
     problem = (
         F.when(F.trim(line) == "", F.lit("blank"))
         .when(F.col("_r").isNull() | F.col("_r._corrupt").isNotNull(), F.lit("malformed"))
@@ -104,40 +109,31 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
     )
 
 
-def read_jsonl(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    required=(),
-    max_rows: int | None = None,
-    require_valid: bool = True,
+def split_lines(
+    lines: DataFrame, schema: T.StructType, required=(), max_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)`` of a JSON-lines path.
+    """``(good, quarantine)`` of ``lines(value, _file, _block)``, parsed once into a table that gives both.
 
-    Bad lines are not dropped: the quarantine has their file, 1-based line number, text and problem.
-    Line numbers come from the lines counted per file block, so files stay splittable. Stops after
-    ``max_rows`` good rows when given.
+    Line numbers come from the lines of that table counted per file block, so files stay splittable. Keeps
+    the first ``max_rows`` good rows, by file and line, when given.
     """
-    parsed = parse_records(_lines(spark, path), schema, required)
-    good = parsed.where("_problem is null").select(*schema.fieldNames())
+    parsed = parse_records(lines.withColumn("_seq", F.monotonically_increasing_id()), schema, required)
+    bad = F.col("_problem").isNotNull()
+    parsed = written(parsed.withColumn("value", F.when(bad, F.col("value"))), "json_lines")
+    good = parsed.where(~bad)
     if max_rows is not None:
-        good = good.limit(max_rows)
-    if require_valid and good.isEmpty():
-        raise ValueError(f"no valid record in {path}")
+        good = good.orderBy("_file", "_block", "_seq").limit(max_rows)
 
-    blocks = _lines(spark, path).groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first")
-    )
+    blocks = parsed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
     quarantine = (
-        parsed.where("_problem is not null")
+        parsed.where(bad)
         .select("_file", "_block", "_seq", "value", "_problem")
         .join(starts, ["_file", "_block"])
         .select(
@@ -147,4 +143,23 @@ def read_jsonl(
             F.col("_problem").alias("problem"),
         )
     )
+    return good.select(*schema.fieldNames()), quarantine
+
+
+def read_jsonl(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    required=(),
+    max_rows: int | None = None,
+    require_valid: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)`` of a JSON-lines path.
+
+    Bad lines are not dropped: the quarantine has their file, 1-based line number, text and problem.
+    Keeps the first ``max_rows`` good rows when given.
+    """
+    good, quarantine = split_lines(_lines(spark, path), schema, required, max_rows)
+    if require_valid and good.isEmpty():
+        raise ValueError(f"no valid record in {path}")
     return good, quarantine

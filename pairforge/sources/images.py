@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions.joins import salted_lookup
@@ -52,7 +52,8 @@ def attach_images(
     Status is ok, missing (placeholder bytes), remote (placeholder bytes, the path would have to be
     downloaded) or empty (NULL image). Given bytes win over the path. ``store`` is any ``(path,
     content)`` table; content that no row asks for is dropped before the join, and a picture that very
-    many rows share is salted.
+    many rows share is salted. Of several contents for one path, the one with the first spelling of the
+    path counts, then the smallest.
     """
     own = F.col(bytes_col) if bytes_col else F.lit(None).cast("binary")
     empty = F.col(path_col).isNull() | (F.col(path_col) == "")
@@ -61,9 +62,14 @@ def attach_images(
     asked = df.withColumn("_path", lookup)
     needed = asked.where("_path is not null").select("_path").distinct()
     content = (
-        store.select(normalize_path("path", base_dir).alias("_path"), F.col("content").alias("_content"))
+        store.select(
+            normalize_path("path", base_dir).alias("_path"), F.col("path").alias("_raw"), F.col("content").alias("_content")
+        )
         .where(F.length("_content") > 0)
         .join(needed, "_path", "left_semi")
+        .withColumn("_nth", F.row_number().over(Window.partitionBy("_path").orderBy("_raw", "_content")))
+        .where("_nth = 1")
+        .drop("_raw", "_nth")
     )
     found = salted_lookup(asked, content, "_path", list(id_cols), "left", hot_rows)
     placeholder = F.lit(png_bytes(*PLACEHOLDER_SIZE))

@@ -37,9 +37,21 @@ def jsonl_pairs(
     num_sample_per_subset: int | str | None = None,
     **_,
 ) -> DataFrame:
-    """A JSON-lines file of records, capped (head for train, random for eval) and prepared."""
+    """A JSON-lines file of records, capped (head for train, random for eval) and prepared.
+
+    Lines that it cannot use are given by ``jsonl_pairs_quarantine``."""
     schema, required = record_schema(dataset_split)
     good, _bad = read_jsonl(spark, jsonl_path, schema, required)
     mode = "head" if dataset_split == "train" else "random"
     capped = row_cap(good, num_sample_per_subset, "style_id", mode)
     return prepare_pairs(capped, dataset_split, subset_name)
+
+
+@register("jsonl_pairs_quarantine")
+def jsonl_pairs_quarantine(
+    spark: SparkSession, jsonl_path: str, subset_name: str | None = None, dataset_split: str = "train", **_
+) -> DataFrame:
+    """The lines that ``jsonl_pairs`` leaves out, with their file, line number and problem."""
+    schema, required = record_schema(dataset_split)
+    _good, bad = read_jsonl(spark, jsonl_path, schema, required, require_valid=False)
+    return tag(bad, subset_name)

@@ -76,7 +76,35 @@ def test_jsonl_quarantine_has_line_numbers(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
     assert got == bad_at
     assert bad.where("problem = 'missing_key'").count() == 1
-    assert files.read_jsonl(spark, path, schemas.TRAIN, max_rows=3)[0].count() == 3
+    first = files.read_jsonl(spark, path, schemas.TRAIN, max_rows=3)[0]
+    assert sorted(r["style_id"] for r in first.collect()) == [100, 101, 102]
+
+
+def test_jsonl_keeps_explicit_nulls(spark, tmp_path):
+    lines = [json.dumps(_record(1, target_image_path=None)), json.dumps(_record(2))]
+    good, bad = files.read_jsonl(spark, _write(tmp_path / "p.jsonl", "\n".join(lines)), schemas.TRAIN, schemas.REQUIRED_TRAIN)
+    assert {r["style_id"]: r["target_image_path"] for r in good.collect()} == {1: None, 2: "img/2.jpg"}
+    assert bad.count() == 0
+    no_list = {**_record(3), "candidate_targets": None, "ground_truth_index": 0}
+    path = _write(tmp_path / "e.jsonl", json.dumps(no_list))
+    good, bad = files.read_jsonl(spark, path, schemas.EVAL, schemas.REQUIRED_EVAL, require_valid=False)
+    assert good.count() == 0 and [(r["line_number"], r["problem"]) for r in bad.collect()] == [(1, "missing_key")]
+
+
+def test_parser_quarantine(spark, tmp_path):
+    path = _write(tmp_path / "p.jsonl", "\n".join([json.dumps(_record(1)), "{", json.dumps(_record(2)), ""]) + "\n")
+    bad = registry.instantiate(spark, dataset_parser="jsonl_pairs_quarantine", jsonl_path=path, subset_name="demo")
+    got = sorted((r["line_number"], r["line"], r["problem"], r["global_dataset_name"]) for r in bad.collect())
+    assert got == [(2, "{", "malformed", "demo"), (4, "", "blank", "demo")]
+
+
+def test_one_content_per_path(spark):
+    refs = spark.createDataFrame([(1, "i/a.png"), (2, "i/b.png")], "style_id long, target_image_path string")
+    store = spark.createDataFrame(
+        [("/i/./a.png", bytearray(b"y")), ("/i/a.png", bytearray(b"x")), ("/i/a.png", bytearray(b"w"))], "path string, content binary"
+    )
+    got = {r["style_id"]: bytes(r["passage_image"]["bytes"]) for r in images.attach_images(refs, store).collect() if r["image_status"] == "ok"}
+    assert got == {1: b"y"} and images.attach_images(refs, store).count() == 2
 
 
 def test_jsonl_without_valid_lines(spark, tmp_path):
@@ -211,6 +239,7 @@ def test_stream_ingest_equals_batch_and_resumes(spark, tmp_path):
     _write(source / "a.jsonl", "\n".join([json.dumps(_record(i)) for i in range(5)] + BAD_LINES) + "\n")
     good, bad = run()
     assert good.count() == 5 and bad.count() == len(BAD_LINES)
+    assert {r["line_number"]: r["line"] for r in bad.collect()} == dict(enumerate(BAD_LINES, 6))
     _write(source / "b.jsonl", "\n".join(json.dumps(_record(i)) for i in range(5, 9)) + "\n")
     good, bad = run()
     assert sorted(r["style_id"] for r in good.collect()) == list(range(9)) and bad.count() == len(BAD_LINES)
