@@ -10,8 +10,9 @@ class. A class that holds a third of the catalogue is scanned in place like any
 from __future__ import annotations
 
 from fractions import Fraction
+from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions.keys import BUCKET_DIGITS, SEED, hash_hex
@@ -81,9 +82,30 @@ def split_quotas(
     )
 
 
-def _split_keys(df: DataFrame, id_col: str, category: str, seed: int, digits: int) -> DataFrame:
+def _can_stratify(histogram: DataFrame, val_ratio, test_ratio) -> bool:
+    """Whether all classes have two rows and no split has fewer rows than there are classes.
+
+    One row reaches the driver. Tables that fail, such as those with a class per row, are cut as one class and
+    never rank their classes.
+    """
+    sizes = histogram.groupBy("category").agg(F.sum("n").alias("n"))
+    found = sizes.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")).first()
+    if not found["classes"]:
+        return True
+    val, test = Fraction(str(val_ratio)), Fraction(str(test_ratio))
+    held = ceil(found["total"] * (val + test))
+    n_test = ceil(held * test / (val + test))
+    return found["smallest"] >= 2 and min(found["total"] - held, n_test, held - n_test) >= found["classes"]
+
+
+def _class(category: str | None) -> Column:
+    """The class of a row; without a class column all rows are one class."""
+    return F.coalesce(F.col(category).cast("string"), F.lit("")) if category else F.lit("")
+
+
+def _split_keys(df: DataFrame, id_col: str, category: str | None, seed: int, digits: int) -> DataFrame:
     return df.select(
-        F.coalesce(F.col(category).cast("string"), F.lit("")).alias("category"),
+        _class(category).alias("category"),
         F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id")).alias("key"),
     ).withColumn("bucket", F.substring("key.h", 1, digits))
 
@@ -171,11 +193,16 @@ def assign_splits(
     """
     if histogram is None:
         histogram = split_histogram(df, id_col, category, seed, digits)
+    if stratify is None and not _can_stratify(histogram, val_ratio, test_ratio):
+        stratify = False
+    if stratify is False:
+        category = None
+        histogram = histogram.groupBy(F.lit("").alias("category"), "bucket").agg(F.sum("n").alias("n"))
     cuts = written(
         _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits), "split_cuts"
     )
     key = F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id"))
-    keyed = df.withColumn("_category", F.coalesce(F.col(category).cast("string"), F.lit("")))
+    keyed = df.withColumn("_category", _class(category))
     split = (
         F.when(key <= F.col("train_key"), F.lit("train"))
         .when(key <= F.col("val_key"), F.lit("val"))

@@ -179,6 +179,18 @@ def test_large_head_cap_is_an_index(spark, monkeypatch):
     assert sorted(r["k"] for r in C.row_cap(df, 40, "k").collect()) == list(range(40))
 
 
+def test_class_per_row_is_split_as_one_class(spark):
+    df = spark.range(500).selectExpr("id AS style_id", "cast(id AS string) AS master_category")
+    got = assign_splits(df)
+    assert Counter(r["split"] for r in got.collect()) == {"train": 400, "val": 50, "test": 50}
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, assign_splits(df, stratify=False).collect()))
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()  # one row of cuts, not one per class
+
+
+def test_empty_table_is_split(spark):
+    assert assign_splits(spark.createDataFrame([], "style_id long, master_category string")).count() == 0
+
+
 def test_support_counts_complete_rows_only(spark):
     rows = [(i, "d", "p" if i else None, "a") for i in range(10)] + [(i, "d", "p", "b") for i in range(10, 20)]
     df = spark.createDataFrame(rows, "style_id long, description string, default_image string, master_category string")
