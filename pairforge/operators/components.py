@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.session import shared_dir
 
-MAX_ROUNDS = 100
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
@@ -35,13 +35,14 @@ def _fingerprint(edges: DataFrame):
 
 
 def connected_components(
-    edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = MAX_ROUNDS
+    edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int | None = None
 ) -> DataFrame:
     """``(node, component)`` with the smallest node id as component, by alternating stars.
 
     Neighbour lists are never collected: a node's smallest neighbour is an aggregate that is joined
     back to the edges. Every round is checkpointed to the shared folder, so lineage stays short and a
-    lost executor does not undo it. (Kiveris et al., Connected Components in MapReduce, 2014.)
+    lost executor does not undo it. Runs until the stars settle, unless the caller sets ``max_rounds``, beyond
+    which it raises. (Kiveris et al., Connected Components in MapReduce, 2014.)
     """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
@@ -55,7 +56,7 @@ def connected_components(
         .checkpoint()
     )
     before = _fingerprint(current)
-    for _ in range(max_rounds):
+    for _ in count() if max_rounds is None else range(max_rounds):
         current = _small_star(_large_star(current)).checkpoint()
         after = _fingerprint(current)
         if after == before:
