@@ -13,7 +13,6 @@ REQUIRED = ("description", "default_image", "master_category")
 # Fixed values of the written records.
 TASK_CATEGORY = "retrieval"
 MIN_SUPPORT = 100
-TOP_N_LIMIT = 100_000
 
 
 def drop_incomplete(df: DataFrame, required=REQUIRED) -> DataFrame:
@@ -92,13 +91,19 @@ def row_cap(
     """First ``n`` rows by key (train) or ``n`` random rows without replacement (eval).
 
     Digit strings are accepted, other strings and None mean no cap. A random cap compares hashes with
-    the n-th smallest one; a head cap is a top-n up to ``TOP_N_LIMIT`` and a dense index beyond.
+    the n-th smallest one. A head cap ranks the keys alone and compares every row with the n-th, so rows
+    stay where they are; of the rows that share this key, only as many as fit are kept.
     """
     wanted = _wanted(n)
     if wanted is None:
         return df
     if mode == "random":
         return first_by_hash(df, wanted, [key], seed)
-    if wanted <= TOP_N_LIMIT:
-        return df.orderBy(key).limit(wanted)
-    return ordered_index(df, [], key, out="_at").where(F.col("_at") < wanted).drop("_at")
+    head = ordered_index(df.select(key), [], key, out="_at").where(F.col("_at") < wanted)
+    copies = head.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    last = copies.agg(F.max(F.struct(F.col(key).alias("at"), "_n")).alias("last")).first()["last"]
+    if last is None:
+        return df.limit(0)
+    at = F.lit(last["at"]).cast(df.schema[key].dataType)
+    before = F.lit(False) if last["at"] is None else F.col(key).isNull() | (F.col(key) < at)
+    return df.where(before).unionByName(df.where(F.col(key).eqNullSafe(at)).limit(last["_n"]))

@@ -173,10 +173,13 @@ def test_row_cap(spark):
     assert C.row_cap(df, 30, "k", mode="random").distinct().count() == 30
 
 
-def test_large_head_cap_is_an_index(spark, monkeypatch):
-    monkeypatch.setattr(C, "TOP_N_LIMIT", 5)
-    df = spark.range(100).withColumnRenamed("id", "k").repartition(7)
-    assert sorted(r["k"] for r in C.row_cap(df, 40, "k").collect()) == list(range(40))
+def test_head_cap_with_ties_and_nulls(spark):
+    df = spark.range(100).selectExpr("if(id < 3, null, id div 4) AS k", "id AS v").repartition(7)
+    for n in (0, 1, 3, 4, 40, 41, 100, 200):
+        kept = [r["k"] for r in C.row_cap(df, n, "k").collect()]
+        want = sorted((r["k"] for r in df.collect()), key=lambda k: -1 if k is None else k)[:n]
+        assert sorted(kept, key=lambda k: -1 if k is None else k) == want
+    assert C.row_cap(df.where("v < 0"), 5, "k").count() == 0
 
 
 def test_class_per_row_is_split_as_one_class(spark):
