@@ -101,19 +101,19 @@ def e8_groups(spark, sf):
     )
 
 
-def _padded(spark, sf):
-    """Token rows, some of them empty, cut to 48 and padded per conversation."""
+def _padded(spark, sf, max_length=None):
+    """Token rows, some of them empty, cut to ``max_length`` and padded per conversation."""
     rows = X.tokens(spark, sf).withColumn(
         "ids", F.when((F.col("batch_id") + F.col("pos_in_batch")) % 13 == 0, F.array().cast("array<int>")).otherwise(F.col("ids"))
     )
-    return B.pad_batches(rows, max_length=48)
+    return B.pad_batches(rows, max_length=max_length)
 
 
 def e9(spark, sf):
     def joined(c):
         return F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
 
-    return _padded(spark, sf).select(
+    return _padded(spark, sf, 48).select(
         "batch_id", "pos_in_batch", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask")
     )
 
@@ -197,8 +197,9 @@ _MIX = _mix_sql("max")
 _PADDED = f"""{X.TOKENS},
 filled AS (
   SELECT batch_id, pos_in_batch,
-         CASE WHEN (batch_id + pos_in_batch) % 13 = 0 OR len(ids) = 0 THEN [1] ELSE list_slice(ids, 1, 48) END AS seq FROM tokens),
+         CASE WHEN (batch_id + pos_in_batch) % 13 = 0 OR len(ids) = 0 THEN [1] ELSE ids END AS seq FROM tokens),
 widths AS (SELECT *, max(len(seq)) OVER (PARTITION BY batch_id) AS width FROM filled)"""
+_CUT = _PADDED.replace("ELSE ids END", "ELSE list_slice(ids, 1, 48) END")
 
 SQL = {
     "e1_mix_probabilities": """
@@ -237,7 +238,7 @@ SELECT batches, updates_per_epoch, CAST(ceil(2.5 * updates_per_epoch) AS BIGINT)
 UNION ALL SELECT batches, updates_per_epoch, 100, (100 + updates_per_epoch - 1) // updates_per_epoch, 'max_steps' FROM n""",
     "e8_accumulation_groups": f"""WITH {_MIX}
 SELECT batch_id // {ACCUM} AS update_id, count(*) AS n, count(DISTINCT batch_id) AS batches FROM full_batches GROUP BY 1""",
-    "e9_pad_batches": f"""WITH {_PADDED}
+    "e9_pad_batches": f"""WITH {_CUT}
 SELECT batch_id, pos_in_batch,
        array_to_string(list_concat(seq, list_transform(range(0, width - len(seq)), lambda x: 0)), ' ') AS input_ids,
        array_to_string(list_transform(range(0, width), lambda i: CASE WHEN i < len(seq) THEN 1 ELSE 0 END), ' ') AS attention_mask
