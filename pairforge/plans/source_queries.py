@@ -41,6 +41,38 @@ def a1_texts(spark, sf):
     return files.read_catalogue(spark, path)
 
 
+def _long_rows(spark, sf):
+    """Every fifth row has one field more than the header, every seventh of the others one less."""
+    cat = X.big_catalogue(spark, sf).where("description is not null and default_image is not null")
+    sid = F.col("style_id").cast("string")
+    full = F.concat_ws(",", sid, F.col("default_image"), F.concat(F.lit("p"), sid), F.lit("kept"))
+    line = F.when(F.col("style_id") % 5 == 0, F.concat(full, F.lit(","))).when(
+        F.col("style_id") % 7 == 0, F.concat_ws(",", sid, F.col("default_image"), F.concat(F.lit("p"), sid))
+    ).otherwise(full)
+    path = scratch_path(spark, "long-rows-csv")
+    header = "style_id,default_image,description,master_category"
+    cat.select(line.alias(header)).write.option("header", True).option("quote", "").csv(path, sep="\u0001")
+    return files.split_catalogue(spark, path, multi_line=False)
+
+
+def a1_short(spark, sf):
+    """Rows with a missing last field stay, with NULL."""
+    return _long_rows(spark, sf)[0]
+
+
+def a1_quarantine(spark, sf):
+    return _long_rows(spark, sf)[1].select("record")
+
+
+def a2_csv(spark, sf):
+    path = scratch_path(spark, "documents") + ".csv"
+    docs = X.table(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text")
+    _write_csv(docs, path)
+    return files.read_file(spark, path, docs.schema).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"), F.sum(F.length("text")).alias("characters")
+    )
+
+
 def a2(spark, sf):
     return files.read_file(spark, f"{sf}/documents.parquet").groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars")
@@ -301,6 +333,9 @@ def j2_stream(spark, sf):
 QUERIES = {
     "a1_catalogue_scan": a1,
     "a1_catalogue_texts": a1_texts,
+    "a1_short_rows": a1_short,
+    "a1_quarantine": a1_quarantine,
+    "a2_read_csv": a2_csv,
     "a2_read_file": a2,
     "a3_jsonl_scan": a3,
     "a3_jsonl_quarantine": a3_quarantine,
@@ -341,6 +376,16 @@ FROM part""",
     "a1_catalogue_texts": f"""WITH {X.CATALOGUE}
 SELECT style_id, replace(replace(description, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS description,
        default_image, master_category FROM catalogue""",
+    "a1_short_rows": """
+SELECT p_partkey AS style_id, 'p' || p_partkey AS description, 'img/' || p_partkey || '.jpg' AS default_image,
+       CASE WHEN p_partkey % 7 <> 0 THEN 'kept' END AS master_category
+FROM part WHERE p_partkey % 5 <> 0""",
+    "a1_quarantine": """
+SELECT concat_ws(',', p_partkey, 'img/' || p_partkey || '.jpg', 'p' || p_partkey, 'kept', '') AS record
+FROM part WHERE p_partkey % 5 = 0""",
+    "a2_read_csv": """
+SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(length(replace(text, chr(13) || chr(10), chr(10)))) AS BIGINT) AS characters
+FROM documents GROUP BY lang""",
     "a2_read_file": "SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang",
     "a3_jsonl_scan": f"""WITH {_LINES}
 SELECT 'Find ' || master_category AS instruction_text, description AS query_text, CAST(NULL AS VARCHAR) AS query_image_path,

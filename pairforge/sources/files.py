@@ -28,40 +28,95 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return value.cast(kind)
 
 
-def read_catalogue(
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+LAST_FIELD = "\u0002"
+FIRST_ROWS = ("_file", "_block", "_row")
+
+
+def split_catalogue(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sample_size: int | None = None,
     schema: T.StructType = CATALOGUE,
     multi_line: bool = True,
-) -> DataFrame:
-    """Catalogue CSV with a header, in any column order and with any extra columns.
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, quarantine)`` of catalogue CSV files with a header, in any column order, with any extra columns.
 
-    Only the columns of ``schema`` are parsed. Quoted line breaks need ``multi_line``, which gives every
-    file to one task; pass False for files without them, so that large files are split.
+    All files of one call have the same header: a file with another one is an error that names it. Rows with
+    more fields than the header go to the quarantine as ``(file, record)``; missing fields at the end of a row are
+    NULL. ``sample_size`` takes the first good rows in the order of the files. Quoted line breaks need
+    ``multi_line``, which gives every file to one task; pass False for files without them, so that large files
+    are split.
     """
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    absent = [f.name for f in schema if f.name not in names]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_OPTIONS)
         .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("quote", '"')
+        .option("enforceSchema", False)  # compares the header of every file
+        .option("columnNameOfCorruptRecord", "_corrupt")
+        .schema(T.StructType([*fields, T.StructField("_corrupt", T.StringType())]))
         .csv(path)
     )
-    absent = [f.name for f in schema if f.name not in raw.columns]
-    if absent:
-        raise ValueError(f"{path} lacks the columns {absent}")
-    typed = raw.select(*[_typed(f.name, f.dataType).alias(f.name) for f in schema])
-    return typed if sample_size is None else typed.limit(sample_size)
-
-
-def read_file(spark: SparkSession, path: str) -> DataFrame:
-    """Read by extension: CSV or Parquet."""
-    if path.endswith(".csv"):
-        return spark.read.option("header", True).option("inferSchema", True).option(
-            "multiLine", True).option("escape", '"').csv(path)
-    if path.endswith(".parquet"):
-        return spark.read.parquet(path)
-    raise NotImplementedError(f"unsupported file format: {path}")
+    # A record is also marked when it is too short. One more field is put behind the marked ones: it lies beyond the
+    # header's fields and its own only where there are too many. Records are marked only when
+    # all fields are read, hence the fields behind the marked record.
+    marked_record = F.coalesce("_corrupt", *[F.col(f"`{n}`") for n in names])
+    positions = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    parts = F.from_csv(
+        F.concat(marked_record, F.lit("," + LAST_FIELD)), positions, {"escape": '"', "quote": '"', "multiLine": "true"}
+    )
+    at_any = [f"c{i}" for i in range(len(names) + 1)]
+    fits = F.exists(F.array(parts), lambda p: F.array_contains(F.array(*[F.coalesce(p[c], F.lit("")) for c in at_any]), LAST_FIELD))
+    # Not IS NOT NULL: the CSV reader would take that for a filter on the parsed fields and drop every row.
+    too_long = (F.length(F.coalesce("_corrupt", F.lit(""))) > 0) & ~fits
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    marked = raw.select("*", *place).withColumn("_long", too_long)
+    bad = marked.where("_long").select(F.col("_file").alias("file"), F.col("_corrupt").alias("record"))
+    typed = [_typed(f.name, f.dataType).alias(f.name) for f in schema]
+    if sample_size is None:
+        return marked.where("not _long").select(*typed), bad
+    numbered = marked.withColumn("_row", F.monotonically_increasing_id()).where("not _long")
+    first = numbered.select(*typed, *FIRST_ROWS).orderBy(*FIRST_ROWS).limit(sample_size)
+    return first.drop(*FIRST_ROWS), bad
+
+
+def read_catalogue(
+    spark: SparkSession,
+    path: str | list[str],
+    sample_size: int | None = None,
+    schema: T.StructType = CATALOGUE,
+    multi_line: bool = True,
+) -> DataFrame:
+    """The rows of :func:`split_catalogue`, which also gives the records that are left out."""
+    return split_catalogue(spark, path, sample_size, schema, multi_line)[0]
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+    # A given schema saves the pass that infers one, and every file's header is compared with it.
+    return reader.schema(schema).option("enforceSchema", False).csv(path) if schema else reader.option(
+        "inferSchema", True).csv(path)
+
+
+def _read_parquet(spark: SparkSession, path: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
+READERS = {"csv": _read_csv, "parquet": _read_parquet}
+
+
+def read_file(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Read by extension, with ``schema`` if given. ``multi_line`` is for CSV, as in :func:`split_catalogue`."""
+    reader = READERS.get(path.rsplit(".", 1)[-1])
+    if reader is None:
+        raise NotImplementedError(f"no reader for {path}; known endings are {sorted(READERS)}")
+    return reader(spark, path, schema, multi_line)
 
 
 JSON_OPTIONS = {

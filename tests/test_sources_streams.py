@@ -38,6 +38,24 @@ def test_catalogue_csv(spark, tmp_path):
         files.read_catalogue(spark, _write(tmp_path / "d.csv", "a,b\n1,2\n"))
 
 
+def test_catalogue_headers_quarantine_and_first_rows(spark, tmp_path):
+    header = "style_id,default_image,description,master_category\n"
+    one = _write(tmp_path / "one.csv", header + "1,a.jpg,x,shoes\n2,b.jpg,y,bags,more\n3,c.jpg,z\n4,d.jpg,w,hats,\n5,e.jpg,v,hats\n")
+    good, bad = files.split_catalogue(spark, one)
+    assert sorted(r["style_id"] for r in good.collect()) == [1, 3, 5]
+    assert [r["master_category"] for r in good.where("style_id = 3").collect()] == [None]
+    assert sorted(r["record"] for r in bad.collect()) == ["2,b.jpg,y,bags,more", "4,d.jpg,w,hats,"]
+    assert bad.first()["file"].endswith("/one.csv")
+    for multi_line in (True, False):
+        good, bad = files.split_catalogue(spark, one, multi_line=multi_line)
+        assert (good.count(), good.select("description").distinct().count(), bad.count()) == (3, 3, 2)
+    assert [r["style_id"] for r in files.read_catalogue(spark, one, sample_size=2).collect()] == [1, 3]
+    two = _write(tmp_path / "two.csv", "default_image,style_id,description,master_category\nz.jpg,9,x,shoes\n")
+    assert [r["style_id"] for r in files.read_catalogue(spark, two).collect()] == [9]
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        files.read_catalogue(spark, [one, two]).collect()
+
+
 def test_read_file(spark, tmp_path):
     csv = _write(tmp_path / "f.csv", "a,b\n1,x\n")
     assert [tuple(r) for r in files.read_file(spark, csv).collect()] == [(1, "x")]
