@@ -24,7 +24,8 @@ TEMPERATURE = 0.02  # logits are divided by it
 UNIT_SCALE = 1.0  # logits are multiplied by it
 TILE = 1024
 # The names of the losses that can be routed.
-WITHIN_BATCH = ("inbatch_contrastive", "distributed_inbatch_contrastive")
+GATHERED = "distributed_inbatch_contrastive"
+WITHIN_BATCH = ("inbatch_contrastive", GATHERED)
 WITHIN_EXAMPLE = "inexample_contrastive"
 
 
@@ -361,62 +362,84 @@ def routed_loss(
     loss_name: str = "loss_name",
     scale: float = UNIT_SCALE,
     tile: int = TILE,
+    step: str | None = None,
+    shard: str = "shard",
 ) -> DataFrame:
     """Per query: loss, label and prediction by the rule its ``loss_name`` asks for.
 
     ``queries`` are ``(batch, pos, vec, loss_name)``; targets ``(batch, pos, vec)`` belong to query
     ``pos div t``. Queries of one name form their own group with their own targets, numbered anew, and
     results return at the original position. Any other name is an error; :func:`unknown_losses` counts them beforehand.
+
+    With ``step``, queries also have that column and ``shard``, and the result has the step: the distributed name is
+    then scored over the batches of all shards of a step in the order of the shards, which all have as many targets per query.
+    Without it every batch is a step of its own.
     """
     keys = [batch, loss_name]
     told = F.concat(F.lit("unknown loss "), F.coalesce(F.col(loss_name), F.lit("NULL")))
     known = F.col(loss_name).isin(*WITHIN_BATCH, WITHIN_EXAMPLE)
     queries = queries.withColumn(loss_name, F.when(known, F.col(loss_name)).otherwise(F.raise_error(told).cast("string")))
-    # Places of the queries within their group: narrow, and read several times below.
-    slots = written(
-        block_index(queries.select(*keys, F.col("pos").alias("_query")), "_query", keys, out="_at", block=1 << 16),
+    # Places of the queries within their batch and name: narrow, and read several times below.
+    steps = [step, shard] if step else []
+    local = written(
+        block_index(queries.select(*keys, *steps, F.col("pos").alias("_query")), "_query", keys, out="_at", block=1 << 16),
         "loss_slots",
     )
     per_batch = batch_sizes(queries, targets, [batch]).withColumn("_t", F.expr("n_targets div n_queries"))
+    # Which batches share their targets, and where each begins: one row per batch and name.
+    own_group = F.concat(F.lit("batch "), F.col(batch).cast("string"))
+    group = own_group
+    if step:
+        whole_step = F.concat(F.lit("step "), F.col(step).cast("string"))
+        group = F.when(F.col(loss_name) == GATHERED, whole_step).otherwise(own_group)
+    before = Window.partitionBy("_group", loss_name).orderBy(*steps[1:], batch).rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        local.groupBy(*keys, *steps).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_group", group)
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .join(per_batch.select(batch, "_t"), batch)
+    )
+    slots = local.drop(*steps).join(parts.drop("_n", "_t"), keys).withColumn("_at", F.col("_at") + F.col("_start"))
     owned = (
-        targets.join(per_batch.select(batch, "_t"), batch)
+        targets.select(batch, "pos", "vec").join(per_batch.select(batch, "_t"), batch)
         .withColumn("_query", F.expr("pos div _t"))
         .withColumn("_slot", F.expr("pos % _t"))
         .join(slots, [batch, "_query"])
     )
     in_batch = F.col(loss_name).isin(*WITHIN_BATCH)
-    group_sizes = slots.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_queries")).join(
-        per_batch.select(batch, "_t"), batch
-    ).select(*keys, "n_queries", (F.col("n_queries") * F.col("_t")).alias("n_targets"))
+    shared = ["_group", loss_name]
+    group_sizes = parts.groupBy(*shared).agg(
+        F.sum("_n").alias("n_queries"), F.sum(F.col("_n") * F.col("_t")).alias("n_targets")
+    )
     scored = in_batch_loss(
-        queries.where(in_batch).withColumnRenamed("pos", "_query").join(slots, [*keys, "_query"])
-        .select(*keys, F.col("_at").alias("pos"), "vec"),
-        owned.where(in_batch).select(*keys, (F.col("_at") * F.col("_t") + F.col("_slot")).alias("pos"), "vec"),
-        keys, scale, tile, sizes=group_sizes.where(in_batch),
+        queries.where(in_batch).select(*keys, F.col("pos").alias("_query"), "vec").join(slots, [*keys, "_query"])
+        .select(*shared, F.col("_at").alias("pos"), "vec"),
+        owned.where(in_batch).select(*shared, (F.col("_at") * F.col("_t") + F.col("_slot")).alias("pos"), "vec"),
+        shared, scale, tile, sizes=group_sizes.where(in_batch),
     ).withColumnRenamed("pos", "_at")
-    batchwise = scored.join(slots, [*keys, "_at"]).select(
-        *keys, F.col("_query").alias("pos"), "label", "pred", "loss"
+    batchwise = scored.join(slots, [*shared, "_at"]).select(
+        *keys, *steps[:1], F.col("_query").alias("pos"), "label", "pred", "loss"
     )
 
     single = F.col(loss_name) == WITHIN_EXAMPLE
     pairs = (
         owned.where(single)
-        .select(*keys, "_query", F.col("_slot").alias("cand_pos"), F.col("vec").alias("_t_vec"))
+        .select(*keys, *steps[:1], "_query", F.col("_slot").alias("cand_pos"), F.col("vec").alias("_t_vec"))
         .join(queries.where(single).select(*keys, F.col("pos").alias("_query"), F.col("vec").alias("_q_vec")),
               [*keys, "_query"])
         .select(
-            F.struct(*keys, "_query").alias("_id"), "cand_pos",
+            F.struct(*keys, *steps[:1], "_query").alias("_id"), "cand_pos",
             (dot(as_double("_q_vec"), as_double("_t_vec")) * F.lit(float(scale))).alias("logit"),
         )
     )
     each = in_example_loss(pairs, "_id").select(
-        *[F.col(f"_id.{k}").alias(k) for k in keys], F.col("_id._query").alias("pos"),
+        *[F.col(f"_id.{k}").alias(k) for k in [*keys, *steps[:1]]], F.col("_id._query").alias("pos"),
         F.col("label").cast("long").alias("label"), F.col("pred").cast("long").alias("pred"), "loss",
     )
     return batchwise.unionByName(each)
 
 
 def routed_total(per_query: DataFrame, batch: str = "batch_id", loss_name: str = "loss_name") -> DataFrame:
-    """Sum over the loss names of the mean loss of each group."""
+    """Sum over the loss names of the mean loss of each group; by step, if that is passed as ``batch``."""
     means = per_query.groupBy(batch, loss_name).agg(F.avg("loss").alias("_mean"))
     return means.groupBy(batch).agg(F.sum("_mean").alias("loss"), F.count(F.lit(1)).alias("groups"))

@@ -9,7 +9,7 @@ from pairforge.operators import mixing as M
 from pairforge.operators.catalogue import drop_incomplete
 from pairforge.operators.thinning import thin_groups
 from pairforge.plans import fixtures as X
-from pairforge.session import written
+from pairforge.session import scratch_path, written
 
 WEIGHTS = (("pairs_a", "en", 3.0), ("pairs_b", "fr", 2.0), ("pairs_c", "de", 1.0), ("pairs_d", "es", 1.0))
 WORLD = 3
@@ -59,6 +59,13 @@ def e4(spark, sf):
     return M.shard_rows(_feed(spark, sf), WORLD).select("draw", "style_id", "shard", "shard_idx")
 
 
+def e4_written(spark, sf):
+    """The shards read back from their folders."""
+    path = scratch_path(spark, "shards")
+    M.write_shards(e4(spark, sf), path)
+    return spark.read.parquet(path).select("draw", "style_id", "shard", "shard_idx")
+
+
 def e5(drop_last):
     def run(spark, sf):
         return _batched(spark, sf, drop_last).select("draw", "style_id", "batch_id", "pos_in_batch")
@@ -149,6 +156,7 @@ QUERIES = {
     "e2_interleave_first": e2("first_exhausted"),
     "e3_mix_plan": e3,
     "e4_shards": e4,
+    "e4_written_shards": e4_written,
     "e5_batches": e5(False),
     "e5_batches_drop_last": e5(True),
     "c4_batch_composition": c4,
@@ -274,3 +282,4 @@ SQL["d7_thin_groups_random"] = f"""WITH {_MEMBERS},
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY grp ORDER BY md5('thin42|' || event_id), event_id) - 1 AS ord FROM sized)
 SELECT event_id, grp, grp = -1 OR n = 1 OR ord < greatest(1, n - CAST(round_even(n * 0.5::DOUBLE, 0) AS BIGINT)) AS retained FROM placed"""
+SQL["e4_written_shards"] = SQL["e4_shards"]

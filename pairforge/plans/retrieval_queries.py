@@ -12,6 +12,7 @@ from pairforge.plans import fixtures as X
 NDIM = 16
 SHARDS = 4
 BIG_BATCH = 10_000
+NAMES = ("inbatch_contrastive", "inexample_contrastive", "distributed_inbatch_contrastive")
 
 
 def _side(spark, sf, query: bool, *columns, repeat: bool = False):
@@ -139,6 +140,15 @@ def f7(spark, sf):
     return _rounded(R.routed_total(_routed(spark, sf)))
 
 
+def f7_distributed(spark, sf):
+    """Three names; the distributed one is scored over the four shards of a step."""
+    reps = X.reps(spark, sf)
+    name = F.element_at(F.array(*map(F.lit, NAMES)), F.expr("cast(label % 3 as int) + 1"))
+    queries = reps.where("is_query").select("step_id", "shard", "batch_id", "pos", "vec", name.alias("loss_name"))
+    both = reps.select("batch_id", (F.expr("pos * 2 + vec_id % 2")).alias("pos"), "vec")
+    return _rounded(R.routed_loss(queries, both, step="step_id"), 6)
+
+
 def _predictions(spark, sf):
     ranked = R.rank_candidates(_logits(spark, sf))
     truth = X.candidates(spark, sf).where("target_id = query_id + 1").select(
@@ -195,6 +205,7 @@ QUERIES = {
     "f6_in_example_loss": f6,
     "f7_routed_loss": f7,
     "f7_routed_queries": f7_queries,
+    "f7_routed_distributed": f7_distributed,
     "f8_ranking_accuracy": f8,
     "f8_predictions": f8_predictions,
     "f9_random_baseline": f9,
@@ -246,6 +257,23 @@ pairs AS (
   WHERE q.loss_name = 'inbatch_contrastive' OR q.pos = t.pos),
 {_loss_sql('batch_id, loss_name', '')}"""
 
+_F7_STEPS = f"""{X.REPS},
+named AS (
+  SELECT *, list_extract(['{"', '".join(NAMES)}'], CAST(label % 3 + 1 AS INTEGER)) AS loss_name FROM reps WHERE is_query),
+slots AS (
+  SELECT *, row_number() OVER (PARTITION BY grp, loss_name ORDER BY shard, batch_id, pos) - 1 AS ord
+  FROM (SELECT *, CASE WHEN loss_name = '{NAMES[2]}' THEN 'step ' || step_id ELSE 'batch ' || batch_id END AS grp FROM named)),
+owned AS (
+  SELECT s.grp, s.loss_name, s.batch_id, s.pos, s.ord, t.vec_id % 2 AS slot, t.vec
+  FROM slots s JOIN reps t ON t.batch_id = s.batch_id AND t.pos = s.pos),
+pairs AS (
+  SELECT q.step_id, q.batch_id, q.loss_name, q.pos, {_DOT} AS logit,
+         CASE q.loss_name WHEN '{NAMES[1]}' THEN t.slot ELSE t.ord * 2 + t.slot END AS t_pos,
+         t.slot = 0 AND t.pos = q.pos AND t.batch_id = q.batch_id AS is_truth
+  FROM slots q JOIN owned t ON t.grp = q.grp AND t.loss_name = q.loss_name
+  WHERE q.loss_name <> '{NAMES[1]}' OR q.pos = t.pos),
+{_loss_sql('step_id, batch_id, loss_name', '')}"""
+
 SQL = {
     "c5_qrels": f"""WITH {X.QRELS}
 SELECT query_id, corpus_id, round(max(score), 6) AS score FROM qrels WHERE score > 0 GROUP BY ALL""",
@@ -304,6 +332,8 @@ SELECT query_id, round(loss, 6) AS loss, pred, label FROM losses""",
 means AS (SELECT batch_id, loss_name, avg(loss) AS loss FROM losses GROUP BY ALL)
 SELECT batch_id, round(sum(loss), 4) AS loss, count(*) AS groups FROM means GROUP BY batch_id""",
     "f7_routed_queries": f"WITH {_F7} SELECT batch_id, loss_name, pos, label, pred, round(loss, 6) AS loss FROM losses",
+    "f7_routed_distributed": f"""WITH {_F7_STEPS}
+SELECT step_id, batch_id, loss_name, pos, label, pred, round(loss, 6) AS loss FROM losses""",
     "f8_ranking_accuracy": f"""WITH {_LOGITS}
 SELECT round(count(*) FILTER (WHERE predicted_index = ground_truth_index) / count(*), 6) AS accuracy,
        count(*) FILTER (WHERE predicted_index = ground_truth_index) AS correct, count(*) AS total FROM predictions""",

@@ -327,7 +327,7 @@ def j2_stream(spark, sf):
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     target = scratch_path(spark, "windows")
     throughput.run_windowed_counts(events, target, scratch_path(spark, "windows-state")).awaitTermination()
-    return _plain(spark.read.parquet(target))
+    return _plain(throughput.read_windowed_counts(spark, target))
 
 
 QUERIES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,15 +58,26 @@ def run_windowed_counts(
 ) -> StreamingQuery:
     """Write the windowed counts of a stream to ``target``.
 
-    ``final`` keeps every window so far up to date in one table (a row per window and type, so it stays
-    small); otherwise windows are appended once the watermark has passed them.
+    ``final`` writes the counts that a micro batch changed below ``target/batch_id=...``, open windows included;
+    :func:`read_windowed_counts` gives the latest of each. A batch that is replayed after a failure replaces its own
+    folder, and no earlier count is rewritten. Otherwise windows are appended once the watermark has passed them.
+    Both forget a window when the watermark passes it, and rows that come later than that are not counted.
     """
     counts = windowed_counts(events, **options)
     writer = counts.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if not final:
         return writer.outputMode("append").format("parquet").option("path", target).start()
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    return writer.outputMode("complete").foreachBatch(replace).start()
+    return writer.outputMode("update").foreachBatch(store).start()
+
+
+def read_windowed_counts(spark: SparkSession, target: str, kind: str = "event_type") -> DataFrame:
+    """The latest count per window and type of a ``final`` run."""
+    return (
+        spark.read.parquet(target)
+        .groupBy("window_start", "window_end", kind)
+        .agg(F.max_by("n", "batch_id").alias("n"))
+    )

@@ -154,6 +154,34 @@ def test_global_loss_joins_the_shards(spark):
     assert got["loss"] == pytest.approx(3 * _cross_entropy(x @ y.T, np.arange(7)).mean())
 
 
+def test_routed_loss_gathers_shards(spark):
+    rng = np.random.default_rng(9)
+    sizes, t = (3, 2, 4), 2  # queries per shard of one step; the first of each goes its own way
+    x = [rng.normal(size=(n, 5)) for n in sizes]
+    y = [rng.normal(size=(n, t, 5)) for n in sizes]
+    name = [["inbatch_contrastive"] + [R.GATHERED] * (n - 1) for n in sizes]
+    queries = spark.createDataFrame(
+        [(7, s, 10 - s, i, x[s][i].tolist(), name[s][i]) for s, n in enumerate(sizes) for i in range(n)],
+        "step_id long, shard int, batch_id long, pos long, vec array<double>, loss_name string",
+    )
+    targets = spark.createDataFrame(
+        [(10 - s, i * t + k, y[s][i, k].tolist()) for s, n in enumerate(sizes) for i in range(n) for k in range(t)],
+        "batch_id long, pos long, vec array<double>",
+    )
+    rows = R.routed_loss(queries, targets, step="step_id").collect()
+    got = {(r["batch_id"], r["pos"]): r for r in rows}
+    assert len(rows) == sum(sizes)
+    q = np.concatenate([a[1:] for a in x])
+    d = np.concatenate([a[1:].reshape(-1, 5) for a in y])
+    want = _cross_entropy(q @ d.T, np.arange(len(q)) * t)
+    at = [(10 - s, i) for s, n in enumerate(sizes) for i in range(1, n)]
+    assert [got[k]["loss"] for k in at] == pytest.approx(list(want))
+    assert [got[k]["label"] for k in at] == [i * t for i in range(len(at))]
+    for s in range(3):
+        alone = _cross_entropy(x[s][:1] @ y[s][0].T, np.zeros(1, int))
+        assert got[(10 - s, 0)]["loss"] == pytest.approx(alone[0])
+
+
 def test_routed_loss(spark):
     rng = np.random.default_rng(8)
     n, t = 8, 3

@@ -280,7 +280,8 @@ def test_stream_windows_equal_batch(spark, tmp_path, zone):
             events = spark.readStream.schema(table.schema).parquet(source)
             target = str(tmp_path / f"out{final}")
             throughput.run_windowed_counts(events, target, str(tmp_path / f"state{final}"), final).awaitTermination()
-            got = sorted(map(tuple, spark.read.parquet(target).collect()))
+            read = throughput.read_windowed_counts if final else lambda session, path: session.read.parquet(path)
+            got = sorted(map(tuple, read(spark, target).collect()))
             if final:
                 assert got == want
             else:  # windows the watermark has not passed are still open
@@ -289,6 +290,19 @@ def test_stream_windows_equal_batch(spark, tmp_path, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_stream_windows_over_several_batches(spark, tmp_path):
+    """Counts of an open window grow from batch to batch; the latest one is read."""
+    source, target, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "ts timestamp, event_type string"
+    for minute in range(3):
+        rows = f"SELECT timestamp'2024-01-01 00:0{minute}:00' + make_dt_interval(0, id % 2) AS ts, 'a' AS event_type FROM range(4)"
+        spark.sql(rows).coalesce(1).write.mode("append").parquet(source)
+        events = spark.readStream.schema(schema).parquet(source)
+        throughput.run_windowed_counts(events, target, state).awaitTermination()
+        got = throughput.read_windowed_counts(spark, target).orderBy("window_start").collect()
+        assert [r["n"] for r in got] == [2 * minute + 2] * 2
+
+
 def test_throughput_without_elapsed_time(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS ts, 'a' AS k FROM range(3)")
     row = throughput.throughput(df, by=["k"]).first()
