@@ -13,14 +13,22 @@ from pairforge.llm import decontaminate, fair_mix, line_chunks, tensor_minhash,
 from pairforge.session import written
 
 NEAR_SHINGLE = 5  # words, with a similarity of 0.8
+ARROW_ROWS = 512  # whole documents handed to Python at a time
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _few_at_a_time(spark: SparkSession) -> None:
+    """Whole documents go to Python and back in batches, so a batch holds few. The session keeps the setting, since a
+    stage returns a table that is computed later."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of these documents, scores below 0.5."""
+    _few_at_a_time(spark)
     return toxicity_nb.remove_toxic(docs, toxicity_nb.train(docs, _read(spark, sf_dir, "labels")))
 
 
@@ -33,6 +41,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; documents without words stay."""
+    _few_at_a_time(spark)
     found = tensor_minhash.near_components(docs, size=NEAR_SHINGLE)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
@@ -40,6 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
+    _few_at_a_time(spark)
     return decontaminate.remove_contaminated(docs, _read(spark, sf_dir, "benchmark"))
 
 
