@@ -1,8 +1,8 @@
 """Personal data by fixed expressions and bootstrapped contextual patterns.
 
-Emails, addresses, card and phone numbers with a fixed form are the seeds. Every token that looks like an identifier
-(six characters or more, a digit among them) stands in lexical patterns: the word before it, the two words before it,
-and the leading letters with a ``=`` or ``:`` inside it. Patterns and tokens form a graph, weighted by the number of
+Emails, addresses, card and phone numbers with a fixed form are the seeds, whatever characters they hold. They and every
+other token that looks like an identifier (six characters or more, a digit among them) stand in lexical patterns: the
+word before it, the two words before it, and the leading letters with a ``=`` or ``:`` inside or before it. Patterns and tokens form a graph, weighted by the number of
 occurrences of an edge. Spark scores it in turns: a pattern by the share of its weight that goes to good tokens, a token
 by the share of its weight that comes from good patterns; seeds keep score 1. Patterns above a threshold with enough
 distinct tokens then give the tokens that no fixed expression finds.
@@ -33,6 +33,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9_@./:=+#-]{6,}")
+_TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_@./:=+#-")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
 _KEY = re.compile(r"[A-Za-z_]+[=:]")
@@ -99,24 +100,45 @@ def _before(text: str, start: int) -> list[str]:
     return [w.lower() for w in _WORD.findall(text, max(0, start - 60), start)[-2:]]
 
 
+def _patterns(text: str, start: int) -> list[str]:
+    """Patterns of what stands in the unbroken run of token characters that begins at ``start``."""
+    words = _before(text, start)
+    patterns = [f"1 {words[-1]}"] if words else []
+    if len(words) == 2:
+        patterns.append(f"2 {words[0]} {words[1]}")
+    if key := _KEY.match(text, start):
+        patterns.append(f"= {key.group().lower()}")
+    return patterns
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, bool, list[str]]]:
-    """Identifier-like tokens: text, start, end, whether a base span touches it, and its patterns."""
-    spans, i = sorted((a, b) for _, a, b in base), 0
+    """Instances: text, start, end, whether it is a seed, and its patterns. The seeds are the base spans, overlapping
+    ones as one; the others are the identifier-like tokens that touch no base span."""
+    seeds: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if seeds and a < seeds[-1][1]:
+            seeds[-1] = (seeds[-1][0], max(b, seeds[-1][1]))
+        else:
+            seeds.append((a, b))
+    last, run, patterns = 0, -1, []
+    for start, stop in seeds:
+        at = start
+        while at > last and text[at - 1] in _TOKEN_CHARS:
+            at -= 1
+        if at > last or run < 0:  # else the run goes on from the last seed
+            run, patterns = at, _patterns(text, at)
+        last = start
+        yield text[start:stop], start, stop, True, patterns
+    i = 0
     for m in _TOKEN.finditer(text):
         token = m.group().rstrip(".:/=+#-")
         if len(token) < 6 or not _DIGIT.search(token):
             continue
         start, stop = m.start(), m.start() + len(token)
-        while i < len(spans) and spans[i][1] <= start:
+        while i < len(seeds) and seeds[i][1] <= start:
             i += 1
-        seed = i < len(spans) and spans[i][0] < stop
-        words = _before(text, start)
-        patterns = [f"1 {words[-1]}"] if words else []
-        if len(words) == 2:
-            patterns.append(f"2 {words[0]} {words[1]}")
-        if key := _KEY.match(token):
-            patterns.append(f"= {key.group().lower()}")
-        yield token, start, stop, seed, patterns
+        if i == len(seeds) or seeds[i][0] >= stop:
+            yield token, start, stop, False, _patterns(text, start)
 
 
 _CANDIDATE = "struct<token:string,start:int,stop:int,seed:boolean,patterns:array<string>>"
@@ -134,7 +156,7 @@ def _span_rows():
             text = text or ""
             base = base_spans(text) if _DIGIT.search(text) or "@" in text else []
             tokens = [dict(zip(("token", "start", "stop", "seed", "patterns"), c)) for c in candidates(text, base)] if base or _DIGIT.search(text) else []
-            sink.add(doc, [dict(zip(("kind", "start", "stop"), s)) for s in base], tokens, size=64 + 64 * len(base) + 256 * len(tokens))
+            sink.add(doc, [dict(zip(("kind", "start", "stop"), s)) for s in base], tokens, size=64 + 64 * len(base) + sum(256 + len(t["token"]) for t in tokens))
             if sink.full():
                 yield from sink.flush()
         yield from sink.flush()

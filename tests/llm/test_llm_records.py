@@ -117,6 +117,28 @@ def test_patterns_find_unseen_identifiers(table):
     assert pii_bootstrap.find_personal(table([], "doc_id long, text string")).collect() == []
 
 
+def test_every_base_span_is_a_seed(table):
+    names = ["jane.doe", "joe", "ann.lee", "max", "eve.adams"]
+    seeds = [f"her inbox {n}@example.com is full" for n in names]
+    seeds += [f"please ring +1 555 123 456{i} at noon" for i in range(5)]
+    seeds += [f"was charged {c} twice" for c in ("4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004", "3088 0000 0000 0009")]
+    seeds += [f"set mailto={n}@example.org here" for n in names]
+    unseen = ["her inbox agent-0047x is full", "please ring desk-0047x at noon", "was charged acct-0047x twice", "use mailto=agent-0047x here"]
+    rows = list(enumerate(seeds + unseen))
+    got = {r["doc_id"]: r for r in pii_bootstrap.find_personal(table(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert len(got[i]["base"]) == (i < len(seeds)), text
+        assert [text[s["start"] : s["stop"]].endswith("-0047x") for s in got[i]["found"]] == [True] * (i >= len(seeds)), text
+
+
+def test_seeds_of_one_run_share_its_patterns():
+    text = "see net=1.2.3.4/5.6.7.8 and +4222 222 222 222 or mailto:a.b@c.de"
+    got = list(pii_bootstrap.candidates(text, pii_bootstrap.base_spans(text)))
+    assert [(t, seed, p[-1]) for t, _, _, seed, p in got] == [
+        ("1.2.3.4", True, "= net="), ("5.6.7.8", True, "= net="), ("+4222 222 222 222", True, "2 net and"), ("a.b@c.de", True, "= mailto:")
+    ]
+
+
 # mixing
 
 DOCS = "doc_id long, text string, source string, size string"
