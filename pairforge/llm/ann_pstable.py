@@ -4,6 +4,10 @@ A table hashes a vector x to floor((a . x + b) / w) for each of a few Gaussian d
 the buckets around its own in the order of the estimated probability that a neighbour at the typical distance fell
 into them, until these add up to the wanted success. Candidates of all tables are ranked by exact distance.
 
+The typical distance only starts the search. A query whose k-th distance found is larger probes on, until the wanted
+success holds for that distance; one that found fewer than k rows, or would have to probe so much that comparing it
+with every entry is no dearer, is compared with every entry.
+
 Width and typical distance are fitted on a bounded sample; every row is indexed. Equal vectors are one entry with their
 smallest ids, which is all that a result can hold of them. A bucket's vectors and the queries that probe it meet in one
 task and only its best candidates leave it, so no candidate pairs are moved; buckets above ``CHUNK`` vectors are cut.
@@ -30,7 +34,9 @@ SUCCESS = 0.95  # wanted probability that a neighbour at the typical distance is
 SAMPLE = 4_000  # vectors that the width and the distance are fitted on
 CHUNK = 2_000  # vectors of a bucket in one task
 REACH = 4  # buckets to either side that a probe may go
-MAX_PROBES = 20_000  # per table and query; the probabilities of further buckets are below any use
+MAX_PROBES = 20_000  # per table and query
+SCAN_RATE = 200  # vectors that are compared in about the time that one probe takes to be moved
+SCAN_CHUNK = 50_000  # vectors that a task of a scan holds
 
 
 @dataclass
@@ -52,16 +58,20 @@ class Hashing:
 
     def probes(self, place: np.ndarray) -> np.ndarray:
         """Cells in the order of estimated success, until they reach the wanted success of one table."""
+        return self.walk(place, self.distance, MAX_PROBES)[0]
+
+    def walk(self, place: np.ndarray, distance: float, most: int) -> tuple[np.ndarray, bool]:
+        """At most ``most`` cells for a neighbour at ``distance``, and whether they reach the wanted success."""
         wanted = 1 - (1 - self.success) ** (1 / len(self.shifts))
         cell = np.floor(place)
         steps = np.arange(-REACH, REACH + 1)
-        edge = (cell[:, None] + steps - place[:, None]) * self.width / self.distance
-        chance = _normal(edge + self.width / self.distance) - _normal(edge)
+        edge = (cell[:, None] + steps - place[:, None]) * self.width / distance
+        chance = _normal(edge + self.width / distance) - _normal(edge)
         order = np.argsort(-chance, axis=1, kind="stable")
         ranked = np.take_along_axis(chance, order, 1)
         start = (0,) * len(cell)
         queue, seen, out, total = [(-ranked[:, 0].prod(), start)], {start}, [], 0.0
-        while queue and total < wanted and len(out) < MAX_PROBES:
+        while queue and total < wanted and len(out) < most:
             gain, at = heapq.heappop(queue)
             out.append(at)
             total -= gain
@@ -72,7 +82,7 @@ class Hashing:
                         seen.add(further)
                         heapq.heappush(queue, (gain * ranked[j, r + 1] / ranked[j, r], further))
         ranks = np.array(out)
-        return cell + np.stack([steps[order[j]][ranks[:, j]] for j in range(len(cell))], axis=1)
+        return cell + np.stack([steps[order[j]][ranks[:, j]] for j in range(len(cell))], axis=1), total >= wanted
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -110,7 +120,8 @@ def fit(entries: DataFrame, n: int, k: int, tables: int, success: float, seed: i
     )
 
 
-_BUCKET_ROWS = pa.schema([("bucket", pa.int64()), ("rep", pa.int64()), ("vector", pa.binary())])
+_INDEX_ROWS = pa.schema([("bucket", pa.int64()), ("rep", pa.int64()), ("ids", pa.list_(pa.int64())), ("vector", pa.binary())])
+_PROBE_ROWS = pa.schema([("bucket", pa.int64()), ("rep", pa.int64()), ("vector", pa.binary())])
 
 
 def _index_rows(shared):
@@ -123,14 +134,15 @@ def _index_rows(shared):
             vectors = np.array([np.frombuffer(v) for v in packed.to_pylist()])
             for table in range(len(hashing.shifts)):
                 keys = hashing.keys(np.floor(hashing.places(vectors, table)), table)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("rep"), packed], schema=_BUCKET_ROWS)
+                ids = batch.column("ids").cast(_INDEX_ROWS.field("ids").type)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("rep"), ids, packed], schema=_INDEX_ROWS)
 
     return run
 
 
 def _probe_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing, sink = shared.value, Sink(_BUCKET_ROWS)
+        hashing, sink = shared.value, Sink(_PROBE_ROWS)
         for rep, packed in rows(batches, "rep", "vector"):
             vector = np.frombuffer(packed)
             for table in range(len(hashing.shifts)):
@@ -144,23 +156,55 @@ def _probe_rows(shared):
     return run
 
 
+def _further_rows(shared, most: int):
+    """What a query still has to visit for the distance ``reach``: further buckets, or every entry (``scan``)."""
+    schema = pa.schema([("rep", pa.int64()), ("vector", pa.binary()), ("buckets", pa.list_(pa.int64())), ("scan", pa.bool_())])
+
+    def further(hashing: Hashing, vector: np.ndarray, reach: float | None) -> list[int] | None:
+        out: list[int] = []
+        for table in range(len(hashing.shifts)) if reach is not None else ():
+            place = hashing.places(vector[None, :], table)[0]
+            visited = set(hashing.keys(hashing.probes(place), table).tolist())
+            cells, reached = hashing.walk(place, reach, min(MAX_PROBES, most + len(visited)))
+            out += [key for key in dict.fromkeys(hashing.keys(cells, table).tolist()) if key not in visited]
+            if not reached or len(out) > most:
+                return None
+        return out if reach is not None else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sink = Sink(schema)
+        for rep, packed, reach in rows(batches, "rep", "vector", "reach"):
+            buckets = further(shared.value, np.frombuffer(packed), reach)
+            sink.add(rep, packed, buckets or [], buckets is None, size=len(packed) + 8 * len(buckets or ()) + 32)
+            if sink.full():
+                yield from sink.flush()
+        yield from sink.flush()
+
+    return run
+
+
 def _rank_rows(best: int):
-    schema = pa.schema([("query", pa.int64()), ("rep", pa.int64()), ("distance", pa.float64())])
+    """The ``best`` nearest ids of each probe in a chunk, each with its smallest distance there."""
+    schema = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("distance", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink, place, reps, vectors, table = Sink(schema), None, [], [], None
-        for bucket, salt, is_probe, rep, packed in rows(batches, "bucket", "salt", "is_probe", "rep", "vector"):
+        sink, place, ids, vectors, table = Sink(schema), None, [], [], None
+        for bucket, salt, is_probe, rep, own, packed in rows(batches, "bucket", "salt", "is_probe", "rep", "ids", "vector"):
             if (bucket, salt) != place:
-                place, reps, vectors, table = (bucket, salt), [], [], None
+                place, ids, vectors, table = (bucket, salt), [], [], None
             if not is_probe:  # the vectors of a chunk come before its probes
-                reps.append(rep)
+                ids.append(own)
                 vectors.append(np.frombuffer(packed))
                 continue
-            if not reps:
+            if not ids:
                 continue
             if table is None:
-                table, names = np.array(vectors), np.array(reps)
-            apart = np.sqrt(((table - np.frombuffer(packed)) ** 2).sum(axis=1))
+                table = np.array(vectors)
+                every, entry = np.concatenate(ids), np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+                order = np.argsort(every, kind="stable")
+                names, starts = np.unique(every[order], return_index=True)
+                entry = entry[order]
+            apart = np.minimum.reduceat(np.sqrt(((table - np.frombuffer(packed)) ** 2).sum(axis=1))[entry], starts)
             near = np.lexsort((names, apart))[:best] if len(apart) <= 4 * best else _best(apart, names, best)
             for i in near.tolist():
                 sink.add(rep, int(names[i]), float(apart[i]))
@@ -216,7 +260,7 @@ def nearest(
     wanted = queries.where("vec_id is not null").select("vec_id").distinct()
     asked = keyed.select("vec_id", "h1", "h2").join(wanted, "vec_id").join(entries.select("h1", "h2", "rep"), ["h1", "h2"])
     asked = written(asked.select(F.col("vec_id").alias("query_id"), "rep"), "ann_asked")
-    index = entries.select("rep", "vector").mapInArrow(_index_rows(shared), "bucket long, rep long, vector binary")
+    index = entries.select("rep", "ids", "vector").mapInArrow(_index_rows(shared), "bucket long, rep long, ids array<long>, vector binary")
     probing = entries.select("rep", "vector").join(asked.select("rep").distinct(), "rep", "left_semi")
     spread = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probes = probing.repartition(spread, "rep").mapInArrow(_probe_rows(shared), "bucket long, rep long, vector binary")
@@ -225,25 +269,55 @@ def nearest(
         index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK).select("bucket", F.ceil(F.col("n") / CHUNK).alias("salts")),
         "ann_large",
     )
-    salts = F.coalesce("salts", F.lit(1).cast("long"))
-    placed = index.join(large, "bucket", "left").select(
-        "bucket", F.pmod(F.xxhash64("rep"), salts).alias("salt"), F.lit(False).alias("is_probe"), "rep", "vector"
+    first = written(_lists(_meet(index, probes, large, k), k), "ann_first")
+
+    # where the typical distance was too small
+    chunks = max(spread, -(-n // SCAN_CHUNK))
+    reach = F.when(F.size("near") > k, F.element_at("near", k + 1)["score"])
+    short = first.select(F.col("query").alias("rep"), reach.alias("reach")).where(F.col("reach").isNull() | (F.col("reach") > shared.value.distance))
+    further = written(
+        entries.select("rep", "vector").join(short, "rep").repartition(spread, "rep").mapInArrow(
+            _further_rows(shared, chunks + n // SCAN_RATE), "rep long, vector binary, buckets array<long>, scan boolean"
+        ),
+        "ann_further",
     )
-    visits = probes.join(large, "bucket", "left").select(
-        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(True).alias("is_probe"), "rep", "vector"
+    more = further.where("not scan").select(F.explode("buckets").alias("bucket"), "rep", "vector")
+    scans = further.where("scan").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("bucket"), "rep", "vector")
+    all_ = entries.select(F.pmod(F.xxhash64("rep"), F.lit(chunks)).alias("bucket"), "rep", "ids", "vector")
+    found = first.select("query", F.explode("near").alias("x")).select("query", "x.vec_id", F.col("x.score").alias("distance"))
+    if not further.where("not scan").isEmpty():
+        found = found.unionByName(_meet(index, more, large, k))
+    if not further.where("scan").isEmpty():
+        found = found.unionByName(_meet(all_, scans, None, k))
+    lists = _lists(found, k)
+
+    # each list has at most k + 1 entries
+    near = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    answers = asked.join(lists, asked["rep"] == lists["query"]).select("query_id", F.posexplode(near).alias("place", "x"))
+    return answers.select("query_id", (F.col("place") + 1).alias("rank"), "x.vec_id", "x.score")
+
+
+def _meet(index: DataFrame, probes: DataFrame, large: DataFrame | None, k: int) -> DataFrame:
+    """``(query, vec_id, distance)``: the nearest ids of every probe in its bucket; ``large`` cuts buckets."""
+    salts = F.lit(1).cast("long")
+    if large is not None:
+        salts = F.coalesce("salts", salts)
+        index, probes = index.join(large, "bucket", "left"), probes.join(large, "bucket", "left")
+    placed = index.select("bucket", F.pmod(F.xxhash64("rep"), salts).alias("salt"), F.lit(False).alias("is_probe"), "rep", "ids", "vector")
+    visits = probes.select(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(True).alias("is_probe"), "rep",
+        F.lit(None).cast("array<long>").alias("ids"), "vector",
     )
     met = placed.unionByName(visits).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "is_probe")
-    found = met.mapInArrow(_rank_rows(k + 1), "query long, rep long, distance double")
+    return met.mapInArrow(_rank_rows(k + 1), "query long, vec_id long, distance double")
 
-    ranked = Window.partitionBy("query").orderBy("distance", "rep")
-    best = found.distinct().withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= k + 1)
-    lists = best.join(entries.select("rep", "ids"), "rep").groupBy("query").agg(
-        F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("distance").alias("score"), i.alias("vec_id"))))).alias("near")
-    )
-    # each list has at most (k + 1)^2 entries
-    order = F.slice(F.sort_array(F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))), 1, k)
-    answers = asked.join(lists, asked["rep"] == lists["query"]).select("query_id", F.posexplode(order).alias("place", "x"))
-    return answers.select("query_id", (F.col("place") + 1).alias("rank"), "x.vec_id", "x.score")
+
+def _lists(found: DataFrame, k: int) -> DataFrame:
+    """``(query, near)``: the k + 1 nearest ids of each query in order."""
+    nearest_ = found.groupBy("query", "vec_id").agg(F.min("distance").alias("distance"))
+    ranked = Window.partitionBy("query").orderBy("distance", "vec_id")
+    best = nearest_.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= k + 1)
+    return best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct(F.col("distance").alias("score"), "vec_id"))).alias("near"))
 
 
 def _pack_rows():

@@ -263,6 +263,33 @@ def test_neighbours_with_ties_and_few_rows(table):
     assert ann_pstable.nearest(table([], VECTORS), table([], "vec_id long")).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["clusters", "far", "lognormal"])
+def test_neighbours_of_mixed_density(table, kind):
+    rng = np.random.default_rng(11)
+    n = 3000
+    points = rng.normal(size=(n, 16))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    if kind == "clusters":  # 60 % in tight clusters
+        tight = rng.random(n) < 0.6
+        points[tight] = points[rng.integers(0, 20, tight.sum())] + rng.normal(size=(tight.sum(), 16)) * 0.02
+    elif kind == "far":
+        points[rng.random(n) < 0.05] *= 10
+    else:
+        points *= rng.lognormal(size=(n, 1))
+    rows = [(i, v.tolist(), "") for i, v in enumerate(points)]
+    df = table(rows, VECTORS)
+    got = {}
+    for r in ann_pstable.nearest(df, df.where("vec_id % 15 = 0")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for q in range(0, n, 15):
+        apart = np.sqrt(((points - points[q]) ** 2).sum(1))
+        apart[q] = np.inf
+        assert len(got[q]) == 10
+        recall.append(len(got[q] & set(np.argsort(apart, kind="stable")[:10].tolist())) / 10)
+    assert np.mean(recall) >= 0.95 and min(recall) >= 0.5, (np.mean(recall), min(recall))
+
+
 def test_probes_follow_the_estimated_success():
     hashing = ann_pstable.Hashing(np.zeros((1, 2, 3)), np.zeros((1, 3)), 1.0, 0.7, np.ones(3, np.uint64), 0.95)
     place = np.array([0.2, 0.5, 0.9])
