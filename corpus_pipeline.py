@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairforge.functions.keys import hash_index
 from pairforge.llm import decontaminate, fair_mix, line_chunks, tensor_minhash, toxicity_nb
 from pairforge.session import written
 
@@ -39,12 +40,45 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+def _one_of_equal_rows(docs: DataFrame) -> DataFrame:
+    """One row of those with the same id and text; only rows whose id and text hash repeat are moved."""
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    many = hashed.groupBy("doc_id", "_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    many = written(many.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_many")), "near_repeats")
+    if many.isEmpty():
+        return docs
+    same = hashed["doc_id"].eqNullSafe(many["_id"]) & (hashed["_hash"] == many["_many"])
+    once = hashed.join(many, same, "left_anti").select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    repeated = hashed.join(many, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_rest"))
+    return once.unionByName(repeated.select("doc_id", "text", *[F.col("_rest")[c].alias(c) for c in others]))
+
+
+def _with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, or for rows without id a number above all ids, by the hash of the text."""
+    key = F.col("doc_id").cast("long")
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return docs.withColumn("_key", key)
+    top = docs.agg(F.max(key).alias("top")).first()["top"] or 0
+    text = F.coalesce("text", F.lit(""))
+    hashes = nameless.select(F.xxhash64(text).alias("_h1"), F.md5(text).alias("_h2"))
+    places = written(hash_index(hashes.distinct(), ["_h1", "_h2"], out="_place"), "near_nameless")
+    own = nameless.withColumn("_h1", F.xxhash64(text)).withColumn("_h2", F.md5(text)).join(places, ["_h1", "_h2"])
+    own = own.withColumn("_key", F.col("_place") + F.lit(top) + 1).select(*docs.columns, "_key")
+    return docs.where("doc_id is not null").withColumn("_key", key).unionByName(own)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id; documents without words stay."""
+    """One document of each group of near duplicates, the one with the smallest id; documents without words stay.
+
+    Rows with the same id and text are one, also without words. A row without id counts as larger than every id. Rows
+    that share an id but not the text are one document: they stay or go together."""
     _few_at_a_time(spark)
-    found = tensor_minhash.near_components(docs, size=NEAR_SHINGLE)
+    keyed = _with_key(_one_of_equal_rows(docs))
+    found = tensor_minhash.near_components(keyed.select(F.col("_key").alias("doc_id"), "text"), size=NEAR_SHINGLE)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return keyed.join(gone, keyed["_key"] == gone["_gone"], "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

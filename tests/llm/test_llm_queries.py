@@ -87,6 +87,19 @@ def test_pipeline_stages(spark):
     assert sum(sizes.values()) - 3 * longest <= sum(r["taken"] for r in out) <= sum(sizes.values())
 
 
+def test_near_dedup_of_repeated_and_nameless_rows(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a, "en"), (5, a, "de"), (5, a, None), (9, a, "en"), (None, a, "en"), (None, b, "x"), (None, b, "x"), (None, b + " more", "x"),
+            (None, None, "x"), (None, None, "x"), (7, None, "x"), (7, c, "en"), (8, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.drop_near_copies(spark, docs, DIR)
+    assert out.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    of_b = [r for r in got if r in [(None, b), (None, b + " more")]]
+    assert len(of_b) == 1
+    assert sorted(map(str, got)) == sorted(map(str, [(5, a), of_b[0], (None, None), (7, None), (7, c), (8, "")]))
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, DIR)
     assert 0 < out.count() <= queries.table(spark, DIR, "documents").count()
