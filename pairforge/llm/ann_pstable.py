@@ -101,7 +101,7 @@ def fit(entries: DataFrame, n: int, k: int, tables: int, success: float, seed: i
 
     More entries get more hashes per table. The typical distance is that of the k-th of n neighbours, read off the
     distances inside the sample; a sample too small for that quantile gives its smallest distance, which is larger."""
-    chosen = entries.orderBy(F.xxhash64(F.lit(seed), "rep"), "rep").limit(SAMPLE).select("vector").collect()
+    chosen = entries.orderBy(F.xxhash64(F.lit(seed), "h1", "h2"), "h1", "h2").limit(SAMPLE).select("vector").collect()
     vectors = np.array([np.frombuffer(r["vector"]) for r in chosen])
     dimensions = vectors.shape[1]
     hashes = max(4, math.ceil(math.log2(max(2, n)) / 4))
@@ -232,8 +232,8 @@ def nearest(
 
     ``vectors(vec_id, embedding, ...)`` are all candidates, ``queries(vec_id)`` names rows of it; a row is no candidate
     of its own query. Ties go to the smaller id. Unusable vectors (see ``usable``, with the commonest length as the
-    right one) take no part, nor do rows without id. Repeated rows count once; an id with several vectors stands for one
-    of them, chosen by hash. Other columns are ignored; an empty table gives no rows.
+    right one) take no part, nor do rows without id. Repeated rows count once. An id with several vectors is searched
+    for with each of them and found by each; its smallest distance counts. Other columns are ignored; an empty table gives no rows.
     """
     rows_ = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     sound = rows_.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -242,14 +242,14 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sound = sound.where(F.size("embedding") == common["size"])
     hashed = F.struct(F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(seed), "embedding").alias("h2"), "embedding")
-    keyed = sound.groupBy("vec_id").agg(F.min(hashed).alias("v")).select("vec_id", "v.*")
+    keyed = sound.select("vec_id", hashed.alias("v")).select("vec_id", "v.*").dropDuplicates(["vec_id", "h1", "h2"])
 
     # equal vectors: one entry with the k + 1 smallest ids
     order = Window.partitionBy("h1", "h2").orderBy("vec_id")
     few = keyed.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= k + 1)
     grouped = few.groupBy("h1", "h2").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"), F.min_by("embedding", "vec_id").alias("embedding"))
     entries = written(
-        grouped.select("h1", "h2", F.element_at("ids", 1).alias("rep"), "ids", "embedding").mapInArrow(
+        grouped.select("h1", "h2", F.monotonically_increasing_id().alias("rep"), "ids", "embedding").mapInArrow(
             _pack_rows(), "h1 long, h2 long, rep long, ids array<long>, vector binary"
         ),
         "ann_entries",
@@ -291,10 +291,12 @@ def nearest(
         found = found.unionByName(_meet(all_, scans, None, k))
     lists = _lists(found, k)
 
-    # each list has at most k + 1 entries
-    near = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    answers = asked.join(lists, asked["rep"] == lists["query"]).select("query_id", F.posexplode(near).alias("place", "x"))
-    return answers.select("query_id", (F.col("place") + 1).alias("rank"), "x.vec_id", "x.score")
+    # each list has at most k + 1 entries; an id with several vectors has as many lists
+    near = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
+    answers = asked.join(lists, asked["rep"] == lists["query"]).select("query_id", F.explode(near).alias("x"))
+    answers = answers.groupBy("query_id", "x.vec_id").agg(F.min("x.score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _meet(index: DataFrame, probes: DataFrame, large: DataFrame | None, k: int) -> DataFrame:

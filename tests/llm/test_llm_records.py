@@ -290,6 +290,25 @@ def test_neighbours_of_mixed_density(table, kind):
     assert np.mean(recall) >= 0.95 and min(recall) >= 0.5, (np.mean(recall), min(recall))
 
 
+def test_ids_with_several_vectors(table):
+    rng = np.random.default_rng(12)
+    rows = [(int(rng.integers(0, 150)), rng.normal(size=6).tolist(), "") for _ in range(600)]
+    rows += [(200, [x + 0.001 * i for x in rows[0][1]], "") for i in range(40)] + [(i, rows[0][1], "") for i in range(300, 305)]
+    df = table(rows + rows[:5], VECTORS)
+    got = {}
+    for r in ann_pstable.nearest(df, df).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    ids, points = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    hits = 0
+    for q in sorted(set(ids.tolist())):
+        apart = np.sqrt(((points[ids == q][:, None] - points[None]) ** 2).sum(2)).min(0)
+        least = {i: float(apart[ids == i].min()) for i in set(ids.tolist()) if i != q}
+        assert sorted(got[q]) == list(range(1, 11)) and len({i for i, _ in got[q].values()}) == 10
+        want = sorted(least, key=lambda i: (least[i], i))[:10]
+        hits += len(set(want) & {i for i, s in got[q].values() if abs(s - least[i]) < 1e-9})
+    assert hits >= 0.95 * 10 * len(got)
+
+
 def test_probes_follow_the_estimated_success():
     hashing = ann_pstable.Hashing(np.zeros((1, 2, 3)), np.zeros((1, 3)), 1.0, 0.7, np.ones(3, np.uint64), 0.95)
     place = np.array([0.2, 0.5, 0.9])
