@@ -372,7 +372,8 @@ def routed_loss(
     results return at the original position. Any other name is an error; :func:`unknown_losses` counts them beforehand.
 
     With ``step``, queries also have that column and ``shard``, and the result has the step: the distributed name is
-    then scored over the batches of all shards of a step in the order of the shards, which all have as many targets per query.
+    then scored over the batches of all shards of a step in the order of the shards. These must all have as many targets per query; other steps are
+    errors that name the step.
     Without it every batch is a step of its own.
     """
     keys = [batch, loss_name]
@@ -399,6 +400,11 @@ def routed_loss(
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .join(per_batch.select(batch, "_t"), batch)
     )
+    # targets of a group are numbered by place and slot, which needs one number of slots
+    whole = Window.partitionBy("_group", loss_name)
+    uneven = F.concat(F.lit("different numbers of targets per query in "), F.col("_group"))
+    even = F.min("_t").over(whole) == F.max("_t").over(whole)
+    parts = parts.withColumn("_start", F.when(even, F.col("_start")).otherwise(F.raise_error(uneven).cast("long")))
     slots = local.drop(*steps).join(parts.drop("_n", "_t"), keys).withColumn("_at", F.col("_at") + F.col("_start"))
     owned = (
         targets.select(batch, "pos", "vec").join(per_batch.select(batch, "_t"), batch)

@@ -182,6 +182,20 @@ def test_routed_loss_gathers_shards(spark):
         assert got[(10 - s, 0)]["loss"] == pytest.approx(alone[0])
 
 
+def test_routed_loss_refuses_uneven_shards(spark):
+    sizes, per_query = (2, 2), (1, 2)
+    queries = spark.createDataFrame(
+        [(7, s, s, i, [1.0, float(i)], R.GATHERED) for s, n in enumerate(sizes) for i in range(n)],
+        "step_id long, shard int, batch_id long, pos long, vec array<double>, loss_name string",
+    )
+    targets = spark.createDataFrame(
+        [(s, i, [1.0, float(i)]) for s, n in enumerate(sizes) for i in range(n * per_query[s])], "batch_id long, pos long, vec array<double>"
+    )
+    with pytest.raises(Exception, match="different numbers of targets per query in step 7"):
+        R.routed_loss(queries, targets, step="step_id").collect()
+    assert R.routed_loss(queries, targets).count() == 4  # every batch is a step of its own
+
+
 def test_routed_loss(spark):
     rng = np.random.default_rng(8)
     n, t = 8, 3
