@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairforge.llm.words import Sink, bounds, rows, window_hashes
+from pairforge.session import written
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20  # benchmark text per pass
@@ -221,13 +222,14 @@ def find_matches(
 
     A match has at least ``window`` words, or the whole item if that is shorter. One row per input row; null
     texts have no words, null items and empty ones match nowhere, items without id are named by an empty string,
-    and rows that share an item id count as one item. Blocks hold the items with one hash, about ``block_bytes``
+    and rows that share an item id count as one item; repeated rows are read once. Blocks hold the items with one hash, about ``block_bytes``
     of text each; a single longer item makes its block longer.
     """
     spark = docs.sparkSession
     own = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("binary").alias("text")
     ).where("text is not null")
+    own = written(own.dropDuplicates(["item_id", "text"]), "benchmark_items")  # else one block holds all repeats of a row
     size = own.agg(F.sum(F.length("text")).alias("size")).first()["size"] or 0
     blocks = max(1, -(-size // block_bytes))
     frame = docs.select(
@@ -237,7 +239,7 @@ def find_matches(
     text, n_words = T.StructField("text", T.BinaryType()), T.StructField("n_words", T.LongType())
     for block in range(blocks):
         part = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = spark.sparkContext.broadcast([(r["item_id"], bytes(r["text"])) for r in part.collect()])  # about block_bytes
+        items = spark.sparkContext.broadcast(sorted((r["item_id"], bytes(r["text"])) for r in part.collect()))  # about block_bytes
         kept = [row, text] if block < blocks - 1 else [row]
         frame = frame.mapInArrow(
             _search(items, window, [f.name for f in kept], block == 0),

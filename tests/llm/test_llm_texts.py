@@ -139,6 +139,21 @@ def test_matches_in_several_blocks_and_long_texts(table, monkeypatch):
     assert longest >= len(WORDS.findall(rows[3][1]))
 
 
+def test_repeated_items_fill_no_block(table, monkeypatch):
+    rows = passages(2)
+    items = [(f"i{i}", r[1]) for i, r in enumerate(rows[:40]) if r[1]]
+    many = items + [items[0]] * 500
+    sizes, search = [], decontaminate._search
+    monkeypatch.setattr(decontaminate, "_search", lambda items, *a: sizes.append(sum(len(t) for _, t in items.value)) or search(items, *a))
+    docs = table(rows, DOCS)
+    found = [
+        sorted(str(r) for r in decontaminate.find_matches(docs, table(x, "item_id string, text string"), ["doc_id"], block_bytes=4000).collect())
+        for x in (items, many)
+    ]
+    assert found[0] == found[1]
+    assert sum(sizes) == 2 * sum(len(text.encode()) for _, text in items)
+
+
 def test_contamination_without_items_or_documents(table):
     none = table([], "item_id long, text string")
     assert [r["contaminated"] for r in decontaminate.contamination(table(passages(1)[:3], DOCS), none).collect()] == [False] * 3
