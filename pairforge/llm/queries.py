@@ -10,9 +10,12 @@ from pairforge.llm import (
     decontaminate,
     fair_mix,
     line_chunks,
+    merkle_manifest,
     phrase_automata,
     pii_bootstrap,
     tensor_minhash,
+    token_align,
+    token_groups,
     toxicity_nb,
     url_vocab,
 )
@@ -73,11 +76,24 @@ def op10_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_automata.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"), with_groups=False)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.document_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.similar_sets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe_search, op2_chat_format, op3_url_vocab, op4_decontaminate, op5_pii_bootstrap, op6_fair_mix,
         op7_toxicity, op8_tensor_minhash, op9_line_chunks, op10_phrase_automata,
+        op11_token_align, op12_merkle_manifest, op13_token_groups,
     )
 }
 

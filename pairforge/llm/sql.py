@@ -118,7 +118,8 @@ FROM n JOIN targets t ON n.source IS NOT DISTINCT FROM t.source
 LEFT JOIN taken k ON k.doc_id IS NOT DISTINCT FROM n.doc_id AND k.o = n.o AND k.source IS NOT DISTINCT FROM n.source
 """
 
-NEAR = rf"""
+def _near(percent: int, kept: str) -> str:
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sh AS (
@@ -127,14 +128,16 @@ WITH RECURSIVE w AS (
 ), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 links AS (
-  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)
 ), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
 least_ AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
-SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) AS component_id,
-  w.doc_id <= coalesce(l.b, w.doc_id) AS kept
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) AS component_id{kept}
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_ l ON l.a = w.doc_id
 """
 
+NEAR = _near(80, ", w.doc_id <= coalesce(l.b, w.doc_id) AS kept")
+SIMILAR = _near(85, "")
+
 LINES = f"""
 WITH l AS (
   SELECT doc_id, i, ls[i] AS line, len(ls) AS total FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS t(i)
@@ -167,6 +170,57 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+# crc32 bit by bit: the first of eight steps of a character takes it in
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    ch -> [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), (c, x) -> xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+MANIFEST = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 3 = 0 THEN {_leaf(f'translate(text, {_FOLD})')} END AS other FROM documents
+), langs AS (
+  SELECT lang, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS k, count(*) OVER () AS n FROM (SELECT DISTINCT lang FROM documents)
+), leaves AS (
+  SELECT h.*, k, row_number() OVER (PARTITION BY k ORDER BY h.doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY k) AS n
+  FROM hashed h JOIN langs l ON h.lang IS NOT DISTINCT FROM l.lang
+), nodes AS (
+  SELECT k, 0 AS level, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT k, level + 1, i // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY k, level, i // 8
+), subroots AS (SELECT k, h FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, s.k AS i, l.n, s.h FROM subroots s JOIN langs l ON s.k = l.k
+  UNION ALL
+  SELECT level + 1, i // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 8
+), steps AS (
+  SELECT l.k, l.i AS leaf_i, l.doc_id, n.level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < l.i // CAST(pow(8, n.level) AS BIGINT)), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > l.i // CAST(pow(8, n.level) AS BIGINT)), '') AS b
+  FROM leaves l JOIN nodes n ON n.k = l.k AND n.n > 1 AND n.i // 8 = l.i // CAST(pow(8, n.level + 1) AS BIGINT) GROUP BY ALL
+), climb AS (
+  SELECT s.k, n.level, coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < s.k // CAST(pow(8, n.level) AS BIGINT)), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > s.k // CAST(pow(8, n.level) AS BIGINT)), '') AS b
+  FROM subroots s JOIN tops n ON n.n > 1 AND n.i // 8 = s.k // CAST(pow(8, n.level + 1) AS BIGINT) GROUP BY ALL
+), path AS (
+  SELECT *, row_number() OVER (PARTITION BY k, leaf_i ORDER BY above, level) - 1 AS step FROM (
+    SELECT k, leaf_i, false AS above, level, a, b FROM steps
+    UNION ALL SELECT l.k, l.i, true, c.level, c.a, c.b FROM leaves l JOIN climb c USING (k)
+  )
+), proofs AS (SELECT k, leaf_i, sha256(string_agg(a || b, '' ORDER BY step)) AS proof FROM path GROUP BY k, leaf_i),
+folded AS (
+  SELECT k, i, 0 AS step, coalesce(other, leaf) AS h FROM leaves
+  UNION ALL
+  SELECT f.k, f.i, f.step + 1, sha256(p.a || f.h || p.b) FROM folded f JOIN path p ON p.k = f.k AND p.leaf_i = f.i AND p.step = f.step
+), ends AS (SELECT k, i, max_by(h, step) AS h FROM folded GROUP BY k, i)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM leaves l JOIN subroots s USING (k) CROSS JOIN (SELECT h FROM tops WHERE n = 1) r
+JOIN ends e ON e.k = l.k AND e.i = l.i LEFT JOIN proofs p ON p.k = l.k AND p.leaf_i = l.i
+"""
+
 SQL = {
     "op2_chat_format": CHAT,
     "op3_url_vocab": URL,
@@ -175,4 +229,6 @@ SQL = {
     "op8_tensor_minhash": NEAR,
     "op9_line_chunks": LINES,
     "op10_phrase_automata": REPEATS,
+    "op12_merkle_manifest": MANIFEST,
+    "op13_token_groups": SIMILAR,
 }

@@ -22,7 +22,7 @@ def duck():
 def test_registered():
     assert set(queries.QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
     assert set(queries.SQL) <= set(queries.QUERIES)
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
