@@ -172,7 +172,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 # crc32 bit by bit: the first of eight steps of a character takes it in
 _CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
-    ch -> [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), (c, x) -> xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
+    lambda ch: [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295)"""
 
 
 def _leaf(text: str) -> str:
