@@ -6,9 +6,9 @@ A document is the set of its distinct shingles; equal sets are one from the star
    are dealt by hash into more parts than that, so one of the first d(n) + 1 parts that are not empty is equal in both:
    the hash of each is a key. The number of parts follows the size in steps of 1.5; a set takes part in every step that a
    partner may be at. A set with too few filled parts also gives its empty ones. No link is lost, and sets that share
-   less than whole parts of some four shingles never meet. Sets that share a key are tied to its smallest one, in a
-   batch before the shuffle and per key after it; a cluster is what ties connect.
-2. *Groups.* A set joins the group of the set it shares most keys with, and is compared with it. These links connect
+   less than whole parts of some four shingles never meet. Sets that share a key are tied to its smallest one, its head,
+   in a batch before the shuffle and per key after it. The sets tied to one head are a cluster; linked sets share one.
+2. *Groups.* A set joins the group of the head it shares most keys with, and is compared with it. These links connect
    most copies at once, however many there are.
 3. *Matrices.* What is left are clusters whose sets are not yet all connected. They are cut by size and by what is
    connected into blocks of bounded size. Per pair of blocks, the groups of one are a matrix of shingles by groups, each
@@ -98,7 +98,7 @@ _SIGNED = "doc_id long, n_shingles long, p1 long, p2 long, key long, head long"
 
 def _signed_rows(size: int, percent: int):
     """Documents (``doc_id, n_shingles, p1, p2``), keys (``key, p1``), each once per batch, and ties of sets that share a key
-    within a batch (``p1, head``)."""
+    within a batch (``p1, key, head``)."""
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_shingles", "p1", "p2", "key", "head")])
 
     def batch(*columns) -> pa.RecordBatch:
@@ -116,7 +116,7 @@ def _signed_rows(size: int, percent: int):
         head = np.repeat(name[first], np.diff(np.append(first, len(key))))
         tied = name != head
         if tied.any():
-            yield batch(None, None, name[tied], None, None, head[tied])
+            yield batch(None, None, name[tied], None, key[tied], head[tied])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink, keys, names, n = Sink(schema), [], [], 0
@@ -143,7 +143,7 @@ def _signed_rows(size: int, percent: int):
 
 def _tie_rows():
     """Rows sorted by key to the ties of its sets with the smallest one."""
-    schema = pa.schema([("p1", pa.int64()), ("head", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("head", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -159,7 +159,7 @@ def _tie_rows():
             last = (key[-1], head[-1])
             tied = head != name
             if tied.any():
-                yield pa.RecordBatch.from_arrays([pa.array(name[tied]), pa.array(head[tied])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(x[tied]) for x in (key, name, head)], schema=schema)
 
     return run
 
@@ -352,14 +352,19 @@ def similar_sets(
     documents = signed.where("n_shingles is not null").select("doc_id", "n_shingles", "p1", "p2")
     usable = documents.where("doc_id is not null and n_shingles > 0")
 
-    keys = signed.where("key is not null").select("key", "p1").repartition("key").sortWithinPartitions("key", "p1")
-    ties = keys.mapInArrow(_tie_rows(), "p1 long, head long").unionByName(signed.where("head is not null").select("p1", "head"))
+    keys = signed.where("key is not null and head is null").select("key", "p1").repartition("key").sortWithinPartitions("key", "p1")
+    met = written(keys.mapInArrow(_tie_rows(), "key long, p1 long, head long"), "group_met")
+    # ties of a batch lead to its own smallest set, which may have met a smaller one
+    first = met.groupBy("key").agg(F.min("head").alias("first"))
+    within = signed.where("head is not null").select("key", "p1", "head").join(first, "key", "left")
+    ties = met.select("p1", "head").unionByName(within.select("p1", F.coalesce("first", "head").alias("head")))
     ties = written(ties.groupBy("p1", "head").agg(F.count(F.lit(1)).alias("shared")), "group_ties")
-    clusters = written(connected_components(ties, "p1", "head"), "group_clusters")
+    heads = ties.select(F.col("head").alias("p1"), "head").distinct()
+    meets = ties.select("p1", "head").unionByName(heads)
 
     # one row per distinct set that met another: its smallest document stands for it
     sets = usable.groupBy("p1", "p2", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    members = written(sets.join(clusters.select(F.col("node").alias("p1"), F.col("component").alias("cluster")), "p1"), "group_members")
+    members = written(sets.join(meets.select("p1").distinct(), "p1"), "group_members")
     texts = text.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
     shingled = written(texts.mapInArrow(_set_rows(size), "doc_id long, p1 long, p2 long, shingles binary"), "group_sets")
     found = ["doc_id", "p1", "p2"]
@@ -371,19 +376,21 @@ def similar_sets(
     crowd = written(crowd, "group_heads")
     asking = grouped.where("head <> p1").join(crowd, "head").select(
         "head", F.pmod(F.xxhash64("doc_id"), F.col("cuts").cast("long")).cast("int").alias("task"), F.lit(True).alias("member"), *found)
-    heads = members.join(crowd, members["p1"] == crowd["head"]).select(
+    asked = members.join(crowd, members["p1"] == crowd["head"]).select(
         "head", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("task"), F.lit(False).alias("member"), *found)
-    compared = asking.unionByName(heads).join(shingled, found).withColumn("node", F.col("doc_id"))
+    compared = asking.unionByName(asked).join(shingled, found).withColumn("node", F.col("doc_id"))
     first = compared.repartition("head", "task").sortWithinPartitions("head", "task", "member").mapInArrow(_first_rows(percent), "a long, b long")
     copies = usable.join(sets.withColumnRenamed("doc_id", "rep"), ["p1", "p2", "n_shingles"]).where("doc_id <> rep")
     links = written(first.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "group_links")
 
-    # what is connected so far; clusters of more than one such part, beyond pairs that were compared, go to the matrices
+    # the sets that met one head, unless they are all connected by now; two of them were compared if one is the closest
     parts = written(connected_components(links, "a", "b"), "group_connected")
-    placed = grouped.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "cluster", F.col("head").alias("grp"), F.coalesce("component", "doc_id").alias("part"), F.col("doc_id").alias("node"), "n_shingles", *found)
-    open_ = placed.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"))
-    open_ = open_.where("low < high and n > 2").select("cluster")
+    placed = grouped.withColumnRenamed("head", "grp").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = placed.select("grp", F.coalesce("component", "doc_id").alias("part"), F.col("doc_id").alias("node"), "n_shingles", *found)
+    placed = written(placed.join(meets.withColumnRenamed("head", "cluster"), "p1"), "group_meetings")
+    done = F.max((F.col("p1") != F.col("cluster")) & (F.col("grp") == F.col("cluster"))).alias("done")
+    open_ = placed.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"), done)
+    open_ = open_.where("low < high and (n > 2 or not done)").select("cluster")
     left = written(placed.join(open_, "cluster"), "group_open")
     tasks = _block_tasks(left, block_sets, block_shingles).join(shingled, found)
     more = tasks.repartition("task").sortWithinPartitions("task", "alone").mapInArrow(_block_rows(percent, group_sets), "a long, b long")
