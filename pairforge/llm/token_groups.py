@@ -7,14 +7,15 @@ A document is the set of its distinct shingles; equal sets are one from the star
    the hash of each is a key. The number of parts follows the size in steps of 1.5; a set takes part in every step that a
    partner may be at. A set with too few filled parts also gives its empty ones. No link is lost, and sets that share
    less than whole parts of some four shingles never meet. Sets that share a key are tied to its smallest one, its head,
-   in a batch before the shuffle and per key after it. The sets tied to one head are a cluster; linked sets share one.
-2. *Groups.* A set joins the group of the head it shares most keys with, and is compared with it. These links connect
-   most copies at once, however many there are.
-3. *Matrices.* What is left are clusters whose sets are not yet all connected. They are cut by size and by what is
-   connected into blocks of bounded size. Per pair of blocks, the groups of one are a matrix of shingles by groups, each
-   group being the union of its members' shingles. A set of the other block can only link into a group that holds
-   ``percent`` of its shingles; only such groups are opened and their members compared, and only where they are not
-   connected yet. Blocks of the largest connected part of a cluster are never compared with each other.
+   in a batch before the shuffle and per key after it; linked sets have a head in common.
+2. *Families.* Sets tied by several keys form families of mostly similar sets; a set also visits the families of its
+   other heads, so that linked sets meet in one.
+3. *Matrices.* In a family, sets with one closest head are a group. The groups of a block are a matrix of shingles by
+   groups, each group being the union of its members' shingles. A set can only link into a group that holds ``percent``
+   of its shingles; only such groups are opened and their members compared, and only where they are not connected yet.
+4. *Large families* are first compared with the closest heads, which connects most copies at once, however many there
+   are. Then they are cut by size and by what is connected into blocks, and pairs of blocks are compared as above; blocks
+   of the largest connected part are never compared with each other.
 
 Pairs are not emitted: comparisons leave the links of a spanning forest.
 """
@@ -36,7 +37,8 @@ SHINGLE = 4
 PERCENT = 85
 GROUP_SETS = 64
 BLOCK_SETS = 1024
-BLOCK_SHINGLES = 400_000
+BLOCK_SHINGLES = 500_000
+STRONG = 4  # keys in common that tie two sets into one family
 _BATCH_KEYS = 200_000
 
 
@@ -164,15 +166,19 @@ def _tie_rows():
     return run
 
 
-def _set_rows(size: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("shingles", pa.binary())])
+def _shipped_rows(size: int, schema: pa.Schema):
+    """Rows of a text's assignments, one after the other, to the same rows with the set in place of the text. Rows that share
+    an id may hold other sets; these are left out."""
+    names = [f.name for f in schema if f.name != "shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink = Sink(schema)
-        for doc, text in rows(batches, "doc_id", "text"):
-            found = shingle_set(text, size)
-            if len(found):
-                sink.add(doc, *_name(found), found.tobytes(), size=8 * len(found) + 48)
+        sink, last, found, own = Sink(schema), None, None, None
+        for p1, p2, text, *rest in rows(batches, "p1", "p2", "text", *names):
+            if text is not last:
+                last, found = text, shingle_set(text, size)
+                own = _name(found) if len(found) else None
+            if own == (p1, p2):
+                sink.add(*rest, found.tobytes(), size=8 * len(found) + 64)
             if sink.full():
                 yield from sink.flush()
         yield from sink.flush()
@@ -180,6 +186,16 @@ def _set_rows(size: int):
     return run
 
 
+def _shipped(assigned: DataFrame, text: DataFrame, size: int) -> DataFrame:
+    """``assigned(doc_id, p1, p2, ...)`` with ``shingles`` in place of these three. Texts are read once and their sets leave
+    once per assignment."""
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    kept = [(c, t) for c, t in assigned.dtypes if c not in ("doc_id", "p1", "p2")]
+    schema = pa.schema([(c, kinds[t]) for c, t in kept] + [("shingles", pa.binary())])
+    types = ", ".join([f"{c} {t}" for c, t in kept] + ["shingles binary"])
+    return text.join(assigned, "doc_id").mapInArrow(_shipped_rows(size, schema), types)
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     if len(a) > len(b):
         a, b = b, a
@@ -330,6 +346,23 @@ def _block_tasks(members: DataFrame, block_sets: int, block_shingles: int) -> Da
     return placed.join(written(sides, "group_tasks"), "block").select("task", "alone", "side", "grp", "node", "part", "p1", "p2", "doc_id")
 
 
+_SET = ["doc_id", "p1", "p2"]
+
+
+def _first_links(asking: DataFrame, members: DataFrame, text: DataFrame, size: int, percent: int, block_sets: int) -> DataFrame:
+    """Links of sets with the head of their group; the sets of a crowded head are cut into several tasks."""
+    asking = asking.where("p1 <> grp")
+    crowd = asking.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("int").alias("cuts"))
+    crowd = written(crowd.withColumnRenamed("grp", "head"), "group_heads")
+    part = F.pmod(F.xxhash64("node"), F.col("cuts").cast("long")).cast("int")
+    asking = asking.join(crowd, asking["grp"] == crowd["head"]).select("head", part.alias("task"), F.lit(True).alias("member"), "node", *_SET)
+    heads = members.withColumn("node", F.col("doc_id")).join(crowd, members["p1"] == crowd["head"]).select(
+        "head", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("task"), F.lit(False).alias("member"), "node", *_SET)
+    shipped = _shipped(written(asking.unionByName(heads), "group_asking"), text, size)
+    sorted_ = shipped.repartition("head", "task").sortWithinPartitions("head", "task", "member")
+    return sorted_.mapInArrow(_first_rows(percent), "a long, b long")
+
+
 def similar_sets(
     docs: DataFrame,
     size: int = SHINGLE,
@@ -359,41 +392,36 @@ def similar_sets(
     within = signed.where("head is not null").select("key", "p1", "head").join(first, "key", "left")
     ties = met.select("p1", "head").unionByName(within.select("p1", F.coalesce("first", "head").alias("head")))
     ties = written(ties.groupBy("p1", "head").agg(F.count(F.lit(1)).alias("shared")), "group_ties")
-    heads = ties.select(F.col("head").alias("p1"), "head").distinct()
-    meets = ties.select("p1", "head").unionByName(heads)
-
     # one row per distinct set that met another: its smallest document stands for it
     sets = usable.groupBy("p1", "p2", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    members = written(sets.join(meets.select("p1").distinct(), "p1"), "group_members")
-    texts = text.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
-    shingled = written(texts.mapInArrow(_set_rows(size), "doc_id long, p1 long, p2 long, shingles binary"), "group_sets")
-    found = ["doc_id", "p1", "p2"]
-
-    # the first comparison: with the head a set shares most keys with
-    closest = ties.groupBy("p1").agg(F.max(F.struct("shared", F.col("head").alias("head")))["head"].alias("head"))
-    grouped = members.join(closest, "p1", "left").withColumn("head", F.coalesce("head", "p1"))
-    crowd = grouped.where("head <> p1").groupBy("head").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("int").alias("cuts"))
-    crowd = written(crowd, "group_heads")
-    asking = grouped.where("head <> p1").join(crowd, "head").select(
-        "head", F.pmod(F.xxhash64("doc_id"), F.col("cuts").cast("long")).cast("int").alias("task"), F.lit(True).alias("member"), *found)
-    asked = members.join(crowd, members["p1"] == crowd["head"]).select(
-        "head", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("task"), F.lit(False).alias("member"), *found)
-    compared = asking.unionByName(asked).join(shingled, found).withColumn("node", F.col("doc_id"))
-    first = compared.repartition("head", "task").sortWithinPartitions("head", "task", "member").mapInArrow(_first_rows(percent), "a long, b long")
     copies = usable.join(sets.withColumnRenamed("doc_id", "rep"), ["p1", "p2", "n_shingles"]).where("doc_id <> rep")
-    links = written(first.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), "group_links")
-
-    # the sets that met one head, unless they are all connected by now; two of them were compared if one is the closest
-    parts = written(connected_components(links, "a", "b"), "group_connected")
-    placed = grouped.withColumnRenamed("head", "grp").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    placed = placed.select("grp", F.coalesce("component", "doc_id").alias("part"), F.col("doc_id").alias("node"), "n_shingles", *found)
-    placed = written(placed.join(meets.withColumnRenamed("head", "cluster"), "p1"), "group_meetings")
-    done = F.max((F.col("p1") != F.col("cluster")) & (F.col("grp") == F.col("cluster"))).alias("done")
-    open_ = placed.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"), done)
-    open_ = open_.where("low < high and (n > 2 or not done)").select("cluster")
-    left = written(placed.join(open_, "cluster"), "group_open")
-    tasks = _block_tasks(left, block_sets, block_shingles).join(shingled, found)
-    more = tasks.repartition("task").sortWithinPartitions("task", "alone").mapInArrow(_block_rows(percent, group_sets), "a long, b long")
+    copies = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    met_once = ties.select("p1").unionByName(ties.select(F.col("head").alias("p1"))).distinct()
+    closest = ties.groupBy("p1").agg(F.max(F.struct("shared", F.col("head").alias("head")))["head"].alias("head"))
+    members = sets.join(met_once, "p1").join(closest, "p1", "left").withColumn("grp", F.coalesce("head", "p1")).drop("head")
+    members = written(members, "group_members")
+
+    # families, with the visitors that share a key with one of their heads
+    strong = connected_components(ties.where(F.col("shared") >= STRONG), "p1", "head")
+    family = met_once.join(strong.withColumnRenamed("node", "p1"), "p1", "left").select("p1", F.coalesce("component", "p1").alias("cluster"))
+    family = written(family, "group_families")
+    visits = ties.select("p1", "head").join(family.select(F.col("p1").alias("head"), "cluster"), "head").select("p1", "cluster")
+    placed = written(family.unionByName(visits).distinct().join(members, "p1"), "group_placed")
+    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).where("n > 1")
+    sizes = written(sizes.select("cluster", ((F.col("n") > block_sets) | (F.col("size") > block_shingles)).alias("large")), "group_sizes")
+    placed = placed.withColumn("node", F.col("doc_id")).join(sizes, "cluster")
+    tasks = placed.where(~F.col("large")).select(
+        F.xxhash64("cluster").alias("task"), F.lit(True).alias("alone"), F.lit(0).alias("side"), "grp", "node", F.col("doc_id").alias("part"), *_SET)
+    links = copies
+    if not sizes.where("large").isEmpty():
+        large = placed.where("large")
+        links = written(_first_links(large.select("grp", "node", *_SET).distinct(), members, text, size, percent, block_sets).unionByName(copies), "group_links")
+        parts = connected_components(links, "a", "b").withColumnRenamed("node", "doc_id")
+        large = written(large.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")).drop("component"), "group_large")
+        open_ = large.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        tasks = tasks.unionByName(_block_tasks(large.join(open_.select("cluster"), "cluster"), block_sets, block_shingles))
+    shipped = _shipped(written(tasks, "group_assigned"), text, size)
+    more = shipped.repartition("task").sortWithinPartitions("task", "alone").mapInArrow(_block_rows(percent, group_sets), "a long, b long")
     every = written(links.unionByName(more), "group_all_links")
     named = connected_components(every, "a", "b").withColumnRenamed("node", "doc_id")
     return documents.select("doc_id", "n_shingles").join(named, "doc_id", "left").select(
