@@ -50,42 +50,43 @@ def line_chunks(text: Column, roll: int = ROLL, divisor: int = DIVISOR) -> Colum
 
 
 def removed_chunks(docs: DataFrame, roll: int = ROLL, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """``(doc, gone)``: per document the places of the chunks that repeat an earlier one."""
-    chunks = docs.select("doc", F.posexplode(line_chunks(F.coalesce("text", F.lit("")), roll, divisor)).alias("at", "chunk"))
+    """``(doc, row, gone)``: per row the places of the chunks that repeat an earlier one. ``row`` tells texts of one id apart."""
+    chunks = docs.select("doc", "row", F.posexplode(line_chunks(F.coalesce("text", F.lit("")), roll, divisor)).alias("at", "chunk"))
     chunks = chunks.where(F.col("chunk.n_lines") >= min_lines).select(
-        "doc", "at", F.xxhash64("chunk.text").alias("h1"), F.md5("chunk.text").alias("h2"), F.col("chunk.text").alias("body")
+        "doc", "row", "at", F.xxhash64("chunk.text").alias("h1"), F.md5("chunk.text").alias("h2"), F.col("chunk.text").alias("body")
     )
     keys = ["h1", "h2"]
     # grouping by the body compares the bytes, and merges the copies of a partition before they are moved
-    bodies = chunks.groupBy(*keys, "body").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "at")).alias("first"))
+    bodies = chunks.groupBy(*keys, "body").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "row", "at")).alias("first"))
     alone = bodies.groupBy(*keys).agg(F.count(F.lit(1)).alias("bodies"), F.max("n").alias("n"), F.min("first").alias("first"))
     repeated = alone.where("bodies = 1 and n > 1").select(*keys, "first")
-    others = chunks.select("doc", "at", *keys).join(repeated, keys).where(F.struct("doc", "at") != F.col("first"))
-    return others.groupBy("doc").agg(F.collect_set("at").alias("gone"))
+    others = chunks.select("doc", "row", "at", *keys).join(repeated, keys).where(F.struct("doc", "row", "at") != F.col("first"))
+    return others.groupBy("doc", "row").agg(F.collect_set("at").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, roll: int = ROLL, divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
     """``docs`` with all its columns, ``text`` without repeated multi-line chunks, and ``n_lines`` and ``n_removed``
     (lines) in place of columns of these names.
 
-    One row per input row. A null text stays null and has no line; an empty one has one empty line. Rows that share
-    an id are one document to the rule, so exact copies of a row are treated alike; a row without id counts as
-    larger than every other. Single lines are never removed, however often they occur (``min_lines``).
+    One row per input row. A null text stays null and has no line; an empty one has one empty line. Every row is
+    judged by its own text. Rows with the same id and text are treated alike; those with the same id and different texts
+    follow each other by a hash of the text, and so do rows without id, after all others. Single lines are never removed, however often they occur (``min_lines``).
     """
     last = F.lit((1 << 63) - 1)
     doc = F.coalesce(F.col("doc_id").cast("long"), last)
-    gone = removed_chunks(docs.select(doc.alias("doc"), "text"), roll, divisor, min_lines)
+    row = F.struct(F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"))
+    gone = removed_chunks(docs.select(doc.alias("doc"), row.alias("row"), "text"), roll, divisor, min_lines)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.select(F.struct(*columns).alias("row"), doc.alias("doc")).join(gone, "doc", "left")
+    joined = docs.select(F.struct(*columns).alias("of"), doc.alias("doc"), row.alias("row")).join(gone, ["doc", "row"], "left")
     gone_lines = lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["n_lines"])
-    chunks = joined.withColumn("chunks", F.when(F.col("gone").isNotNull(), line_chunks(F.col("row.text"), roll, divisor)))
+    chunks = joined.withColumn("chunks", F.when(F.col("gone").isNotNull(), line_chunks(F.col("of.text"), roll, divisor)))
     split = chunks.withColumn("out", F.filter("chunks", lambda c, i: ~F.array_contains("gone", i)))
-    n_lines = F.coalesce(F.length("row.text") - F.length(F.replace("row.text", F.lit("\n"))) + 1, F.lit(0))
-    kept = F.when(F.col("out").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform("out", lambda c: c["text"]), "\n"))
+    n_lines = F.coalesce(F.length("of.text") - F.length(F.replace("of.text", F.lit("\n"))) + 1, F.lit(0))
+    kept = F.when(F.col("out").isNull(), F.col("of.text")).otherwise(F.array_join(F.transform("out", lambda c: c["text"]), "\n"))
     removed = F.when(F.col("out").isNull(), 0).otherwise(gone_lines("chunks") - gone_lines("out"))
     extra = ["n_lines", "n_removed"]
     return split.select(
-        *[kept.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in extra],
+        *[kept.alias("text") if c == "text" else F.col("of")[c].alias(c) for c in docs.columns if c not in extra],
         n_lines.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"),
     )
 

@@ -4,18 +4,20 @@ A window of ``window`` words is a repeat where its word sequence also starts in
 id. The steps:
 
 1. Every window has an *anchor*: the ``gram`` consecutive words in it with the smallest hash. Equal windows
-   have equal anchors, so only windows whose anchor occurs in two documents can repeat. Anchors are counted
+   have equal anchors, so only windows whose anchor occurs in two rows can repeat. Anchors are counted
    by one aggregate over hashes.
 2. Consecutive windows with one anchor form a *segment* of the text. Segments with a recurring anchor are
-   the candidate passages. Anchors of very many documents give single windows as segments, routed by the
+   the candidate passages. Anchors of very many rows give single windows as segments, routed by the
    window itself, so that no route gathers a third of the corpus; equal segments are merged before and
    after the shuffle with the smallest and largest id of their documents.
-3. Per shard of routes, the phrases confirmed word by word in two documents are compiled into an Aho-Corasick
-   automaton, and every segment is streamed through it. That locates each occurrence and the smallest document
-   it starts in.
-4. Occurrences go back to their documents, and the covered words are removed.
-
-Nothing is sampled and no candidate is capped; the result is exact.
+3. Per route, segments are compared word by word. What two documents share is a confirmed *phrase*: a run of
+   windows with the smallest document that holds them.
+4. Documents are dealt into blocks of a few megabytes. A block's shard of the phrases, those of its own routes, is
+   compiled into an Aho-Corasick automaton, and every document of the block is streamed through it. Each
+   occurrence of a phrase that a smaller document has is removed.
+
+Nothing is sampled and no candidate is capped; the result is exact. A row is judged by its own text; ids only say which
+document is smaller.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pairforge.session import written
 WINDOW = 13
 GRAM = 6
 BUSY_DOCS = 10_000  # anchors of more documents are routed window by window
-SHARD_WORDS = 200_000  # words of the segments compiled and streamed at a time
+BLOCK_BYTES = 2 << 20  # of the documents that one automaton serves
 
 
 def _anchors(data, starts, ends, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,32 +57,32 @@ def _anchors(data, starts, ends, window: int, gram: int) -> tuple[np.ndarray, np
 
 
 def _anchor_rows(window: int, gram: int):
-    schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64())])
+    schema = pa.schema([("anchor", pa.int64()), ("row", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, docs, n = [], [], 0
-        for doc, text in rows(batches, "doc", "text"):
+        found, own_rows, n = [], [], 0
+        for row, text in rows(batches, "row", "text"):
             data, starts, ends = bounds(b" ".join((text or b"").split()))
             own = np.unique(_anchors(data, starts, ends, window, gram)[0])
             if len(own):
                 found.append(own.view(np.int64))
-                docs.append(np.full(len(own), doc, np.int64))
+                own_rows.append(np.full(len(own), row, np.int64))
                 n += len(own)
             if n >= 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, docs)], schema=schema)
-                found, docs, n = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, own_rows)], schema=schema)
+                found, own_rows, n = [], [], 0
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, docs)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, own_rows)], schema=schema)
 
     return run
 
 
 def _segment_rows(window: int, gram: int):
-    schema = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("segment", pa.binary())])
+    schema = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("segment", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink = Sink(schema)
-        for doc, text, once, busy in rows(batches, "doc", "text", "once", "busy"):
+        for doc, block, text, once, busy in rows(batches, "doc", "block", "text", "once", "busy"):
             joined = b" ".join((text or b"").split())
             data, starts, ends = bounds(joined)
             anchor, first, last = _anchors(data, starts, ends, window, gram)
@@ -88,7 +90,7 @@ def _segment_rows(window: int, gram: int):
             for i in np.flatnonzero(np.isin(anchor, np.array(once or [], np.int64))):
                 a, b = int(first[i]), int(last[i])
                 piece = joined[starts[a] : ends[b + window - 1]]
-                sink.add(int(anchor[i]), doc, a, piece, size=len(piece) + 32)
+                sink.add(int(anchor[i]), doc, block, piece, size=len(piece) + 32)
                 if sink.full():
                     yield from sink.flush()
             if busy:
@@ -96,7 +98,7 @@ def _segment_rows(window: int, gram: int):
                 for i in np.flatnonzero(np.isin(anchor, np.array(busy, np.int64))):
                     for a in range(int(first[i]), int(last[i]) + 1):
                         piece = joined[starts[a] : ends[a + window - 1]]
-                        sink.add(int(routes[a]), doc, a, piece, size=len(piece) + 32)
+                        sink.add(int(routes[a]), doc, block, piece, size=len(piece) + 32)
                     if sink.full():
                         yield from sink.flush()
         yield from sink.flush()
@@ -104,86 +106,102 @@ def _segment_rows(window: int, gram: int):
     return run
 
 
-def _located(shard: list[tuple[int, bytes, int, int]], window: int) -> Iterator[tuple[int, bytes, list[int]]]:
-    """Compile the confirmed phrases of a shard and stream its segments: per segment, the smallest document of each
-    of its windows. The segments of a route follow each other.
-
-    A route with one segment in several documents gives that segment as one phrase; a route with different segments
-    gives each window that two documents share."""
-    ids: dict[bytes, int] = {}
-    coded = [tuple(ids.setdefault(w, len(ids)) for w in segment.split(b" ")) for _, segment, _, _ in shard]
-    phrases = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for _, group in itertools.groupby(range(len(shard)), key=lambda i: shard[i][0]):
-        members = list(group)
-        if len(members) == 1:
-            words, (_, _, low, high) = coded[members[0]], shard[members[0]]
-            if low < high:
-                phrases.add_word(words, (low, len(words) - window + 1))
-            continue
-        known: dict[tuple, list[int]] = {}
-        for m in members:
-            words, (_, _, low, high) = coded[m], shard[m]
-            for i in range(len(words) - window + 1):
-                seen = known.setdefault(words[i : i + window], [low, high])
-                seen[0], seen[1] = min(seen[0], low), max(seen[1], high)
-        for words, (low, high) in known.items():
-            if low < high:
-                phrases.add_word(words, (low, 1))
-    if not len(phrases):
+def _confirmed(members: list[tuple[bytes, int, int]], window: int) -> Iterator[tuple[bytes, int, int]]:
+    """``(phrase, windows, low)`` of a route's distinct segments ``(segment, low, high)``: runs of windows that two documents
+    have, with the smallest one. Each run of each segment is a phrase, so that a segment's repeats are found whole."""
+    if len(members) == 1:
+        segment, low, high = members[0]
+        if low < high:
+            yield segment, segment.count(b" ") + 2 - window, low
         return
-    phrases.make_automaton()
-    for words, (route, segment, _, high) in zip(coded, shard):
-        lows = [high] * (len(words) - window + 1)  # no repeat: no document lies above its own
-        for end, (low, n) in phrases.iter(words):
-            last = end - window + 2
-            lows[last - n : last] = [low] * n
-        if min(lows) < high:
-            yield route, segment, lows
-
-
-def _automaton_rows(window: int, shard_words: int):
-    schema = pa.schema([("route", pa.int64()), ("segment", pa.binary()), ("lows", pa.list_(pa.int64()))])
+    split = [segment.split(b" ") for segment, _, _ in members]
+    seen: dict[tuple, list[int]] = {}
+    for words, (_, low, high) in zip(split, members):
+        for i in range(len(words) - window + 1):
+            known = seen.setdefault(tuple(words[i : i + window]), [low, high])
+            known[0], known[1] = min(known[0], low), max(known[1], high)
+    done = set()
+    for words in split:
+        lows = [seen[tuple(words[i : i + window])] for i in range(len(words) - window + 1)]
+        at = 0
+        for (low, repeats), run in itertools.groupby(lows, key=lambda k: (k[0], k[0] < k[1])):
+            n = sum(1 for _ in run)
+            phrase = tuple(words[at : at + n + window - 1])
+            if repeats and phrase not in done:
+                done.add(phrase)
+                yield b" ".join(phrase), n, low
+            at += n
+
+
+def _phrase_rows(window: int):
+    """Segments sorted by route to confirmed phrases."""
+    schema = pa.schema([("route", pa.int64()), ("phrase", pa.binary()), ("n", pa.int32()), ("low", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink, shard, words, route = Sink(schema), [], 0, None
-        for row in rows(batches, "route", "segment", "low", "high"):
-            if words >= shard_words and row[0] != route:  # a route stays in one shard
-                for found in _located(shard, window):
-                    sink.add(*found, size=len(found[1]) + 128)
-                    if sink.full():
-                        yield from sink.flush()
-                shard, words = [], 0
-            route = row[0]
-            shard.append(row)
-            words += row[1].count(b" ") + 1
-        for found in _located(shard, window):
-            sink.add(*found, size=len(found[1]) + 128)
-            if sink.full():
-                yield from sink.flush()
+        sink, members, route = Sink(schema), [], None
+        for own, *member in rows(batches, "route", "segment", "low", "high"):
+            if own != route:
+                for phrase in _confirmed(members, window) if members else ():
+                    sink.add(route, *phrase, size=len(phrase[0]) + 48)
+                if sink.full():
+                    yield from sink.flush()
+                route, members = own, []
+            members.append(member)
+        for phrase in _confirmed(members, window) if members else ():
+            sink.add(route, *phrase, size=len(phrase[0]) + 48)
         yield from sink.flush()
 
     return run
 
 
+class Phrases:
+    """The automaton of a block's phrases over numbered words."""
+
+    def __init__(self, window: int):
+        self._window, self._numbers = window, {}
+        self._automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self._open = True
+
+    def add(self, phrase: bytes, n: int, low: int) -> None:
+        numbers = self._numbers
+        self._automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in phrase.split(b" ")]), (low, n))
+
+    def covered(self, words: list[bytes], doc: int) -> np.ndarray | None:
+        """Which words lie in a window that a document before ``doc`` has."""
+        if not len(self._automaton) or len(words) < self._window:
+            return None
+        if self._open:
+            self._automaton.make_automaton()
+            self._open = False
+        change = None
+        for end, (low, n) in self._automaton.iter(tuple(map(self._numbers.get, words, itertools.repeat(0)))):
+            if low < doc:
+                if change is None:
+                    change = [0] * (len(words) + 1)
+                change[end - n - self._window + 2] += 1
+                change[end + 1] -= 1
+        return None if change is None else np.cumsum(change[:-1]) > 0
+
+
 def _removal_rows(window: int, with_text: bool):
+    """Rows sorted by block, the phrases before the documents, to what is left of the documents."""
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
     schema = pa.schema(fields + ([("kept_text", pa.string())] if with_text else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink = Sink(schema)
-        for doc, text, hits in rows(batches, "doc_id", "text", "hits"):
+        sink, block, phrases = Sink(schema), None, None
+        for own, kind, phrase, n, low, doc_id, doc, text in rows(batches, "block", "kind", "phrase", "n", "low", "doc_id", "doc", "text"):
+            if own != block:
+                block, phrases = own, Phrases(window)
+            if kind == 0:
+                phrases.add(phrase, n, low)
+                continue
             words = (text or b"").split()
-            total = len(words)
-            if hits:
-                gone = np.zeros(total + 1, np.int64)
-                for hit in hits:
-                    for i, low in enumerate(hit["lows"]):
-                        if low < hit["doc"]:
-                            gone[hit["at"] + i] += 1
-                            gone[hit["at"] + i + window] -= 1
-                words = [w for w, n in zip(words, np.cumsum(gone[:-1]).tolist()) if not n]
+            total, gone = len(words), phrases.covered(words, doc)
+            if gone is not None:
+                words = list(itertools.compress(words, (~gone).tolist()))
             kept = b" ".join(words)
-            out = (doc, total, total - len(words), hashlib.sha256(kept).hexdigest())
+            out = (doc_id, total, total - len(words), hashlib.sha256(kept).hexdigest())
             sink.add(*out, *([kept.decode("utf-8", "replace")] if with_text else []), size=160 + len(kept) * with_text)
             if sink.full():
                 yield from sink.flush()
@@ -193,47 +211,45 @@ def _removal_rows(window: int, with_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, busy_docs: int = BUSY_DOCS, with_text: bool = True
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, busy_docs: int = BUSY_DOCS, with_text: bool = True, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256[, kept_text])`` of ``docs(doc_id, text, ...)``.
 
-    One row per input row. Null and empty texts have no words. Rows that share an id are one document to the
-    rule, and each is returned; a row without id counts as larger than every other. Texts shorter than the
-    window are kept whole. Other columns are ignored. ``gram`` (below ``window``) and ``busy_docs`` only steer
-    the work; the result does not depend on them.
+    One row per input row. Null and empty texts have no words. Rows that share an id are judged one by one, each by its own
+    text; none is before the other. A row without id comes after all ids, and no such row before another. Texts shorter
+    than the window are kept whole. Other columns are ignored. ``gram`` (below ``window``), ``busy_docs`` and
+    ``block_bytes`` only steer the work; the result does not depend on them.
     """
     if not 0 < gram < window:
         raise ValueError("gram must be positive and less than window")
-    last = (1 << 63) - 1
-    base = docs.select("doc_id", F.coalesce("doc_id", F.lit(last)).cast("long").alias("doc"), F.col("text").cast("binary").alias("text"))
-    anchors = base.select("doc", "text").mapInArrow(_anchor_rows(window, gram), "anchor long, doc long")
+    last = F.lit((1 << 63) - 1)
+    base = docs.select("doc_id", F.coalesce("doc_id", last).cast("long").alias("doc"), F.col("text").cast("binary").alias("text"))
+    # rows with the same id and text are alike, so that one key serves them
+    base = base.withColumn("row", F.xxhash64("doc", "text"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    base = base.withColumn("block", F.pmod("row", F.lit(total // block_bytes + 1)))
+    anchors = base.select("row", "text").mapInArrow(_anchor_rows(window, gram), "anchor long, row long")
     recurring = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = (
         anchors.join(recurring, "anchor")
-        .groupBy("doc")
+        .groupBy("row")
         .agg(
             F.collect_set(F.when(F.col("n") <= busy_docs, F.col("anchor"))).alias("once"),
             F.collect_set(F.when(F.col("n") > busy_docs, F.col("anchor"))).alias("busy"),
         )
     )
     segments = written(
-        base.select("doc", "text").join(own, "doc")
-        .mapInArrow(_segment_rows(window, gram), "route long, doc long, at int, segment binary"),
+        base.select("row", "doc", "block", "text").join(own, "row")
+        .mapInArrow(_segment_rows(window, gram), "route long, doc long, block long, segment binary"),
         "phrase_segments",
     )
     merged = segments.groupBy("route", "segment").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    located = (
-        merged.repartition("route").sortWithinPartitions("route")
-        .mapInArrow(_automaton_rows(window, SHARD_WORDS), "route long, segment binary, lows array<long>")
-        .select("route", F.xxhash64("segment").alias("print"), "lows")
-    )
-    hits = (
-        segments.select("route", F.xxhash64("segment").alias("print"), "doc", "at")
-        .join(located, ["route", "print"])
-        .where(F.exists("lows", lambda low: low < F.col("doc")))
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("doc", "at", "lows")).alias("hits"))
+    phrases = written(
+        merged.repartition("route").sortWithinPartitions("route").mapInArrow(_phrase_rows(window), "route long, phrase binary, n int, low long"),
+        "phrase_confirmed",
     )
-    hits = written(hits, "phrase_hits")
+    shards = segments.select("block", "route").distinct().join(phrases, "route").select("block", F.lit(0).alias("kind"), "phrase", "n", "low")
+    streams = base.select("block", F.lit(1).alias("kind"), "doc_id", "doc", "text")
+    both = shards.unionByName(streams, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return base.join(hits, "doc", "left").select("doc_id", "text", "hits").mapInArrow(_removal_rows(window, with_text), out)
+    return both.mapInArrow(_removal_rows(window, with_text), out)

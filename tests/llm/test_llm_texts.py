@@ -217,7 +217,8 @@ def test_components_of_odd_tables(table):
 # repeated chunks of lines
 
 
-def brute_lines(rows, roll=2, divisor=4, least=2):
+def brute_lines(rows, roll=2, divisor=4, least=2, order=lambda text: 0):
+    """``order`` says in which order texts of one id follow each other."""
     md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
     cut = []
     for n, (doc, text, *_) in enumerate(rows):
@@ -228,15 +229,15 @@ def brute_lines(rows, roll=2, divisor=4, least=2):
             if i == len(lines) - 1 or int(rolling[:8], 16) % divisor == 0:
                 chunks.append(lines[start : i + 1])
                 start = i + 1
-        cut.append((doc if doc is not None else (1 << 63) - 1, chunks))
+        cut.append((doc if doc is not None else (1 << 63) - 1, order(text), chunks))
     first = {}
-    for doc, chunks in cut:
+    for doc, row, chunks in cut:
         for at, chunk in enumerate(chunks):
             if len(chunk) >= least:
-                first[tuple(chunk)] = min(first.get(tuple(chunk), (doc, at)), (doc, at))
+                first[tuple(chunk)] = min(first.get(tuple(chunk), (doc, row, at)), (doc, row, at))
     out = []
-    for (doc, chunks), (own, text, *_) in zip(cut, rows):
-        kept = [c for at, c in enumerate(chunks) if len(c) < least or first[tuple(c)] == (doc, at)]
+    for (doc, row, chunks), (own, text, *_) in zip(cut, rows):
+        kept = [c for at, c in enumerate(chunks) if len(c) < least or first[tuple(c)] == (doc, row, at)]
         total, left = sum(map(len, chunks)), sum(map(len, kept))
         text = None if text is None else "\n".join("\n".join(c) for c in kept)
         out.append((own, text, total if text is not None else 0, total - left))
@@ -274,3 +275,30 @@ def test_line_chunks_join_back(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     joined = F.array_join(F.transform(line_chunks.line_chunks(F.col("text")), lambda c: c["text"]), "\n")
     assert [r[0] for r in df.select(joined).collect()] == texts
+
+
+def test_lines_of_rows_without_or_with_one_id(table):
+    """A row loses only what itself repeats: unique texts beside a repeat stay whole, with one id and without."""
+    unique = ["\n".join(f"only {k} has line {i}" for i in range(30)) for k in range(4)]
+    shared = "\n".join(f"shared line {i}" for i in range(30))
+    rows = [(None, unique[0]), (None, shared), (None, shared + "\nend"), (3, unique[1]), (3, shared), (3, unique[2]), (4, shared), (None, unique[3])]
+    out = line_chunks.dedup_lines(table(rows, "doc_id long, text string")).collect()
+    by = {(r["doc_id"], r["n_lines"], r["n_removed"]) for r in out}
+    assert {r["text"] for r in out} >= set(unique)
+    assert (3, 30, 0) in by and not any(d == 3 and n for d, _, n in by)
+    assert all(n > 20 for d, lines, n in by if d == 4 or lines == 31)
+    hashes = {r["text"]: (r["h1"], r["h2"]) for r in table(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2")).collect()}
+    assert sorted((tuple(r) for r in out), key=str) == brute_lines(rows, order=hashes.get)
+
+
+@pytest.mark.parametrize("block", [1, 1 << 20])
+def test_repeats_of_rows_without_or_with_one_id(table, block):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    shared, unique = text(60), [text(100) for _ in range(4)]
+    rows = [(None, unique[0], "", 0, ""), (None, unique[1] + " " + shared, "", 0, ""), (None, shared, "", 0, ""), (2, "short text", "", 0, ""),
+            (2, text(300) + " " + shared + " " + text(20), "", 0, ""), (2, shared, "", 0, ""), (5, unique[2] + " " + shared, "", 0, ""), (5, unique[3], "", 0, "")]
+    out = phrase_automata.remove_repeats(table(rows, DOCS), block_bytes=block).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out), key=str) == brute_repeats(rows)
+    assert {r["kept_text"] for r in out} >= set(unique)
+    assert sum(r["n_removed"] for r in out) == 180
