@@ -12,9 +12,10 @@ id. The steps:
    after the shuffle with the smallest and largest id of their documents.
 3. Per route, segments are compared word by word. What two documents share is a confirmed *phrase*: a run of
    windows with the smallest document that holds them.
-4. Documents are dealt into blocks of a few megabytes. A block's shard of the phrases, those of its own routes, is
+4. Documents are dealt into blocks of a few megabytes. A block's shard of the phrases, those of the segments it holds, is
    compiled into an Aho-Corasick automaton, and every document of the block is streamed through it. Each
-   occurrence of a phrase that a smaller document has is removed.
+   occurrence of a phrase that a smaller document has is removed. (Segments ask for their phrases by a hash: should
+   two share it, the automaton gets phrases too many, and still finds only what stands in a document.)
 
 Nothing is sampled and no candidate is capped; the result is exact. A row is judged by its own text; ids only say which
 document is smaller.
@@ -106,65 +107,61 @@ def _segment_rows(window: int, gram: int):
     return run
 
 
-def _confirmed(members: list[tuple[bytes, int, int]], window: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(phrase, windows, low)`` of a route's distinct segments ``(segment, low, high)``: runs of windows that two documents
-    have, with the smallest one. Each run of each segment is a phrase, so that a segment's repeats are found whole."""
+def _confirmed(members: list[tuple[int, bytes, int, int]], window: int) -> Iterator[tuple[int, bytes, int, int]]:
+    """``(print, phrase, windows, low)`` of a route's distinct segments ``(print, segment, low, high)``: per segment its runs
+    of windows that two documents have, with the smallest one."""
     if len(members) == 1:
-        segment, low, high = members[0]
+        mark, segment, low, high = members[0]
         if low < high:
-            yield segment, segment.count(b" ") + 2 - window, low
+            yield mark, segment, segment.count(b" ") + 2 - window, low
         return
-    split = [segment.split(b" ") for segment, _, _ in members]
+    split = [segment.split(b" ") for _, segment, _, _ in members]
     seen: dict[tuple, list[int]] = {}
-    for words, (_, low, high) in zip(split, members):
+    for words, (_, _, low, high) in zip(split, members):
         for i in range(len(words) - window + 1):
             known = seen.setdefault(tuple(words[i : i + window]), [low, high])
             known[0], known[1] = min(known[0], low), max(known[1], high)
-    done = set()
-    for words in split:
+    for words, (mark, *_) in zip(split, members):
         lows = [seen[tuple(words[i : i + window])] for i in range(len(words) - window + 1)]
         at = 0
         for (low, repeats), run in itertools.groupby(lows, key=lambda k: (k[0], k[0] < k[1])):
             n = sum(1 for _ in run)
-            phrase = tuple(words[at : at + n + window - 1])
-            if repeats and phrase not in done:
-                done.add(phrase)
-                yield b" ".join(phrase), n, low
+            if repeats:
+                yield mark, b" ".join(words[at : at + n + window - 1]), n, low
             at += n
 
 
 def _phrase_rows(window: int):
     """Segments sorted by route to confirmed phrases."""
-    schema = pa.schema([("route", pa.int64()), ("phrase", pa.binary()), ("n", pa.int32()), ("low", pa.int64())])
+    schema = pa.schema([("route", pa.int64()), ("print", pa.int64()), ("phrase", pa.binary()), ("n", pa.int32()), ("low", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink, members, route = Sink(schema), [], None
-        for own, *member in rows(batches, "route", "segment", "low", "high"):
+        for own, *member in rows(batches, "route", "print", "segment", "low", "high"):
             if own != route:
                 for phrase in _confirmed(members, window) if members else ():
-                    sink.add(route, *phrase, size=len(phrase[0]) + 48)
+                    sink.add(route, *phrase, size=len(phrase[1]) + 48)
                 if sink.full():
                     yield from sink.flush()
                 route, members = own, []
             members.append(member)
         for phrase in _confirmed(members, window) if members else ():
-            sink.add(route, *phrase, size=len(phrase[0]) + 48)
+            sink.add(route, *phrase, size=len(phrase[1]) + 48)
         yield from sink.flush()
 
     return run
 
 
 class Phrases:
-    """The automaton of a block's phrases over numbered words."""
+    """The automaton of a block's phrases. It reads bytes, each as one character; a space before and after a phrase keeps
+    it to whole words."""
 
     def __init__(self, window: int):
-        self._window, self._numbers = window, {}
-        self._automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        self._open = True
+        self._window, self._open = window, True
+        self._automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
 
     def add(self, phrase: bytes, n: int, low: int) -> None:
-        numbers = self._numbers
-        self._automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in phrase.split(b" ")]), (low, n))
+        self._automaton.add_word(f" {phrase.decode('latin-1')} ", (low, n + self._window - 1))
 
     def covered(self, words: list[bytes], doc: int) -> np.ndarray | None:
         """Which words lie in a window that a document before ``doc`` has."""
@@ -173,14 +170,15 @@ class Phrases:
         if self._open:
             self._automaton.make_automaton()
             self._open = False
-        change = None
-        for end, (low, n) in self._automaton.iter(tuple(map(self._numbers.get, words, itertools.repeat(0)))):
-            if low < doc:
-                if change is None:
-                    change = [0] * (len(words) + 1)
-                change[end - n - self._window + 2] += 1
-                change[end + 1] -= 1
-        return None if change is None else np.cumsum(change[:-1]) > 0
+        text = f" {b' '.join(words).decode('latin-1')} "
+        found = [(end, width) for end, (low, width) in self._automaton.iter(text) if low < doc]
+        if not found:
+            return None
+        last_byte, width = np.array(found).T
+        ends = np.cumsum([len(w) + 1 for w in words])  # place of the space after each word
+        last = np.searchsorted(ends, last_byte)
+        change = np.bincount(last - width + 1, minlength=len(words) + 1) - np.bincount(last + 1, minlength=len(words) + 1)
+        return np.cumsum(change[:-1]) > 0
 
 
 def _removal_rows(window: int, with_text: bool):
@@ -243,12 +241,15 @@ def remove_repeats(
         .mapInArrow(_segment_rows(window, gram), "route long, doc long, block long, segment binary"),
         "phrase_segments",
     )
-    merged = segments.groupBy("route", "segment").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    mark = F.xxhash64("segment").alias("print")
+    merged = segments.groupBy("route", "segment").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).withColumn("print", mark)
     phrases = written(
-        merged.repartition("route").sortWithinPartitions("route").mapInArrow(_phrase_rows(window), "route long, phrase binary, n int, low long"),
+        merged.repartition("route").sortWithinPartitions("route")
+        .mapInArrow(_phrase_rows(window), "route long, print long, phrase binary, n int, low long"),
         "phrase_confirmed",
     )
-    shards = segments.select("block", "route").distinct().join(phrases, "route").select("block", F.lit(0).alias("kind"), "phrase", "n", "low")
+    asked = segments.select("block", "route", mark).distinct()
+    shards = asked.join(phrases, ["route", "print"]).select("block", F.lit(0).alias("kind"), "phrase", "n", "low")
     streams = base.select("block", F.lit(1).alias("kind"), "doc_id", "doc", "text")
     both = shards.unionByName(streams, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
