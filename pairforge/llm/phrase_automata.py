@@ -3,11 +3,12 @@
 A window of ``window`` words is a repeat where its word sequence also starts in a document with a smaller
 id. The steps:
 
+0. Copies of a whole text go at once; the one with the smallest id stands for them below.
 1. Every window has an *anchor*: the ``gram`` consecutive words in it with the smallest hash. Equal windows
-   have equal anchors, so only windows whose anchor occurs in two rows can repeat. Anchors are counted
-   by one aggregate over hashes.
+   have equal anchors, so only windows whose anchor occurs in two texts can repeat. Anchors are aggregated by hash, with
+   64-bit hashes of the texts.
 2. Consecutive windows with one anchor form a *segment* of the text. Segments with a recurring anchor are
-   the candidate passages. Anchors of very many rows give single windows as segments, routed by the
+   the candidate passages. Anchors of very many texts give single windows as segments, routed by the
    window itself, so that no route gathers a third of the corpus; equal segments are merged before and
    after the shuffle with the smallest and largest id of their documents.
 3. Per route, segments are compared word by word. What two documents share is a confirmed *phrase*: a run of
@@ -188,15 +189,17 @@ def _removal_rows(window: int, with_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink, block, phrases = Sink(schema), None, None
-        for own, kind, phrase, n, low, doc_id, doc, text in rows(batches, "block", "kind", "phrase", "n", "low", "doc_id", "doc", "text"):
+        for own, kind, phrase, n, low, doc_id, doc, copy, text in rows(batches, "block", "kind", "phrase", "n", "low", "doc_id", "doc", "copy", "text"):
             if own != block:
                 block, phrases = own, Phrases(window)
             if kind == 0:
                 phrases.add(phrase, n, low)
                 continue
             words = (text or b"").split()
-            total, gone = len(words), phrases.covered(words, doc)
-            if gone is not None:
+            total = len(words)
+            if copy:
+                words = words if total < window else []
+            elif (gone := phrases.covered(words, doc)) is not None:
                 words = list(itertools.compress(words, (~gone).tolist()))
             kept = b" ".join(words)
             out = (doc_id, total, total - len(words), hashlib.sha256(kept).hexdigest())
@@ -222,14 +225,16 @@ def remove_repeats(
         raise ValueError("gram must be positive and less than window")
     last = F.lit((1 << 63) - 1)
     base = docs.select("doc_id", F.coalesce("doc_id", last).cast("long").alias("doc"), F.col("text").cast("binary").alias("text"))
-    # rows with the same id and text are alike, so that one key serves them
-    base = base.withColumn("row", F.xxhash64("doc", "text"))
+    base = base.withColumn("row", F.xxhash64("text")).withColumn("print", F.xxhash64(F.lit(1), "text"))
+    same = ["row", "print"]
+    firsts = base.groupBy(*same).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    base = base.withColumn("block", F.pmod("row", F.lit(total // block_bytes + 1)))
+    block = F.pmod(F.xxhash64("doc", "row"), F.lit(total // block_bytes + 1)).alias("block")
     anchors = base.select("row", "text").mapInArrow(_anchor_rows(window, gram), "anchor long, row long")
-    recurring = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    base = base.join(written(firsts, "phrase_copies"), same, "left").withColumn("copy", F.coalesce(F.col("doc") > F.col("first"), F.lit(False)))
+    spread = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high"))
     own = (
-        anchors.join(recurring, "anchor")
+        anchors.join(spread.where("low < high").select("anchor", "n"), "anchor")
         .groupBy("row")
         .agg(
             F.collect_set(F.when(F.col("n") <= busy_docs, F.col("anchor"))).alias("once"),
@@ -237,7 +242,7 @@ def remove_repeats(
         )
     )
     segments = written(
-        base.select("row", "doc", "block", "text").join(own, "row")
+        base.where(~F.col("copy")).select("row", "doc", block, "text").join(own, "row")
         .mapInArrow(_segment_rows(window, gram), "route long, doc long, block long, segment binary"),
         "phrase_segments",
     )
@@ -248,9 +253,9 @@ def remove_repeats(
         .mapInArrow(_phrase_rows(window), "route long, print long, phrase binary, n int, low long"),
         "phrase_confirmed",
     )
-    asked = segments.select("block", "route", mark).distinct()
-    shards = asked.join(phrases, ["route", "print"]).select("block", F.lit(0).alias("kind"), "phrase", "n", "low")
-    streams = base.select("block", F.lit(1).alias("kind"), "doc_id", "doc", "text")
+    asked = segments.groupBy("block", "route", mark).agg(F.max("doc").alias("doc"))
+    shards = asked.join(phrases, ["route", "print"]).where("low < doc").select("block", F.lit(0).alias("kind"), "phrase", "n", "low")
+    streams = base.select(block, F.lit(1).alias("kind"), "doc_id", "doc", "copy", "text")
     both = shards.unionByName(streams, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return both.mapInArrow(_removal_rows(window, with_text), out)
