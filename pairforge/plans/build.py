@@ -81,7 +81,7 @@ def _write_splits(catalogue, out, num_candidates, sampler, min_support, seed, sk
 
 
 def build_from_csv(spark: SparkSession, path: str, out: str, sample_size: int | None = None,
-                   multi_line: bool = True, **options) -> DataFrame:
+                   multi_line: bool | str = True, **options) -> DataFrame:
     """Build from a CSV file, which is parsed once: the passes that follow read only their own columns of
     its complete rows."""
     catalogue = drop_incomplete(read_catalogue(spark, path, sample_size, multi_line=multi_line))

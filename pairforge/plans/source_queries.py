@@ -9,10 +9,10 @@ from pairforge.operators import catalogue as C
 from pairforge.plans import build
 from pairforge.plans import catalogue_queries as CQ
 from pairforge.plans import fixtures as X
-from pairforge.session import scratch_path
+from pairforge.session import scratch_path, written
 from pairforge.sources import conform as S
 from pairforge.sources import files, hub, images, registry, schemas, sinks
-from pairforge.streaming import ingest, throughput
+from pairforge.streaming import dedupe, ingest, throughput
 
 
 def _write_csv(df, path):
@@ -41,6 +41,33 @@ def a1_texts(spark, sf):
     return files.read_catalogue(spark, path)
 
 
+def _ranged(spark, sf, table, rows):
+    """``rows`` as one CSV file, read by byte ranges of a fortieth of it, and the number of its ranges."""
+    path = scratch_path(spark, f"{table}-ranges-csv")
+    _write_csv(rows.coalesce(1), path)
+    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).agg(F.sum("length")).first()[0]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size // 40 + 1)
+    try:
+        rows = written(files.split_catalogue_ranges(spark, path)[0], "ranged")
+        ranges = files.read_records(spark, path).agg(F.count_distinct("block")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return rows.withColumn("in_many_ranges", F.lit(ranges > 20))
+
+
+def a1_split(spark, sf):
+    """One file of all parts, whose names have a quote and line breaks."""
+    name = F.concat(F.regexp_replace("description", " ", "\n"), F.lit('\n"'), F.col("style_id").cast("string"), F.lit('",\n'))
+    parts = X.big_catalogue(spark, sf).withColumn("description", name)
+    return _ranged(spark, sf, "parts", parts)
+
+
+def a1_split_texts(spark, sf):
+    """One file of all documents; many texts are longer than a byte range."""
+    return _ranged(spark, sf, "texts", X.catalogue(spark, sf))
+
+
 def _long_rows(spark, sf):
     """Every fifth row has one field more than the header, every seventh of the others one less."""
     cat = X.big_catalogue(spark, sf).where("description is not null and default_image is not null")
@@ -309,6 +336,23 @@ def j1(spark, sf):
     )
 
 
+def j1_dedupe(spark, sf):
+    """Every line is delivered in one file, and two thirds of them again in a second one; each record lands once."""
+    source, target, state = _write_lines(spark, sf), scratch_path(spark, "ingest"), scratch_path(spark, "ingest-state")
+    again = spark.read.text(source).where(F.xxhash64("value") % 3 != 0)
+    ingest.ingest_pairs(spark, source, target, state, name="products").awaitTermination()
+    again.write.mode("append").text(source)
+    ingest.ingest_pairs(spark, source, target, state, name="products").awaitTermination()
+    good = spark.read.parquet(f"{target}/good")
+    once = scratch_path(spark, "once")
+    dedupe.store_first_deliveries(
+        spark, f"{target}/good", good.schema, once, scratch_path(spark, "once-state"), ["style_id"], max_files_per_trigger=2
+    ).awaitTermination()
+    landed = spark.read.parquet(once)
+    return landed.select(F.col("style_id").alias("id"), "query_text", F.col("passage_path").alias("path")).withColumn(
+        "delivered", good.agg(F.count(F.lit(1))).scalar() > landed.agg(F.count(F.lit(1))).scalar())
+
+
 def j2(spark, sf):
     counts = throughput.windowed_counts(X.table(spark, sf, "events"))
     return _plain(counts)
@@ -333,6 +377,8 @@ def j2_stream(spark, sf):
 QUERIES = {
     "a1_catalogue_scan": a1,
     "a1_catalogue_texts": a1_texts,
+    "a1_split_multiline": a1_split,
+    "a1_split_texts": a1_split_texts,
     "a1_short_rows": a1_short,
     "a1_quarantine": a1_quarantine,
     "a2_read_csv": a2_csv,
@@ -352,6 +398,7 @@ QUERIES = {
     "k2_parser_quarantine": k2_quarantine,
     "c7_throughput": c7,
     "j1_stream_ingest": j1,
+    "j1_stream_dedupe": j1_dedupe,
     "j2_windowed_counts": j2,
     "j2_stream_windows": j2_stream,
 }
@@ -376,6 +423,12 @@ FROM part""",
     "a1_catalogue_texts": f"""WITH {X.CATALOGUE}
 SELECT style_id, replace(replace(description, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS description,
        default_image, master_category FROM catalogue""",
+    "a1_split_multiline": """
+SELECT p_partkey AS style_id, replace(p_name, ' ', chr(10)) || chr(10) || '"' || p_partkey || '",' || chr(10) AS description,
+       'img/' || p_partkey || '.jpg' AS default_image, p_type AS master_category, true AS in_many_ranges FROM part""",
+    "a1_split_texts": f"""WITH {X.CATALOGUE}
+SELECT style_id, replace(replace(description, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS description,
+       default_image, master_category, true AS in_many_ranges FROM catalogue""",
     "a1_short_rows": """
 SELECT p_partkey AS style_id, 'p' || p_partkey AS description, 'img/' || p_partkey || '.jpg' AS default_image,
        CASE WHEN p_partkey % 7 <> 0 THEN 'kept' END AS master_category
@@ -449,6 +502,9 @@ SELECT 'good' AS kind, style_id AS id, trim('Find ' || master_category || ' ' ||
        default_image AS path
 FROM kinds WHERE kind = 'good'
 UNION ALL SELECT kind, count(*), NULL, NULL FROM kinds WHERE kind <> 'good' GROUP BY kind""",
+    "j1_stream_dedupe": f"""WITH {_LINES}
+SELECT style_id AS id, trim('Find ' || master_category || ' ' || description, '{WHITESPACE}') AS query_text, default_image AS path, true AS delivered
+FROM kinds WHERE kind = 'good'""",
     "j2_windowed_counts": _WINDOWS,
     "j2_stream_windows": _WINDOWS,
 }

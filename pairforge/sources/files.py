@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +34,130 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return value.cast(kind)
 
 
+QUOTE = '"'
+
+
+def _ranged_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
+
+
+def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of byte ranges in order to records. A record that no range holds whole leaves as pieces, the last of which
+    closes it."""
+    kinds = [("file", pa.string()), ("block", pa.int64()), ("line", pa.int64()), ("piece", pa.bool_()), ("closes", pa.bool_()), ("record", pa.string())]
+    schema = pa.schema(kinds)
+    place, at, odd, first, pending, piece = None, 0, 0, 0, [], False
+
+    def rest():
+        if pending:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*place, first, True, False, "\n".join(pending))))], schema)
+
+    for batch in batches:
+        value, file, block, inside = (batch.column(batch.schema.get_field_index(c)) for c in ("value", "file", "block", "inside"))
+        files, blocks = file.to_pylist(), block.to_numpy()
+        cuts = [i for i in range(1, len(files)) if blocks[i] != blocks[i - 1] or files[i] != files[i - 1]]
+        quotes = pc.count_substring(value, QUOTE).to_numpy(zero_copy_only=False)
+        for a, b in zip([0, *cuts], [*cuts, len(files)]):
+            if a == b:
+                continue
+            if (files[a], int(blocks[a])) != place:
+                yield from rest()
+                place, at, pending = (files[a], int(blocks[a])), 0, []
+                odd = int(inside[a].as_py())
+                piece = bool(odd)
+            parity = (odd + np.cumsum(quotes[a:b])) % 2
+            lines, ends = value.slice(a, b - a).to_pylist(), np.flatnonzero(parity == 0).tolist()
+            records, done = [], 0
+            for end in ends:  # the record that ends in this line
+                if not pending:
+                    first = at + done
+                pending.extend(lines[done : end + 1])
+                records.append((*place, first, piece, piece, "\n".join(pending)))
+                done, pending, piece = end + 1, [], False
+            if done < len(lines):
+                if not pending:
+                    first = at + done
+                pending.extend(lines[done:])
+            odd, at = int(parity[-1]), at + len(lines)
+            if records:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*records), schema)], schema=schema)
+    yield from rest()
+
+
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, block, line, record)``: the records of CSV files whose quoted fields may hold line breaks, with as many
+    tasks per file as it has byte ranges.
+
+    Whether a range begins inside a quoted field follows from the number of quotes before it: ranges are counted in one pass,
+    their parities summed up per file. Then every task cuts its own lines, and only records that cross the end
+    of a range are put together from their pieces. Quotes stand only around fields and, doubled, in them; a file
+    with an odd number of quotes is an error that names it. Line breaks become newlines; empty lines are left out.
+    """
+    lines = _ranged_lines(spark, path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE)))
+    odd = written(lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd")), "csv_ranges")
+    broken = odd.groupBy("file").agg(F.sum("odd").alias("odd")).where("odd % 2 = 1").select(F.min("file").alias("file")).first()["file"]
+    if broken:
+        raise ValueError(f"{broken} has an odd number of quotes")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = odd.withColumn("inside", F.sum("odd").over(before) % 2 == 1).where("inside")
+    # one short row per byte range that begins inside a field: less than a millionth of the files
+    marked = lines.join(F.broadcast(starts.select("file", "block", "inside")), ["file", "block"], "left")
+    cut = marked.select("value", "file", "block", F.coalesce("inside", F.lit(False)).alias("inside")).mapInArrow(
+        _piece_rows, "file string, block long, line long, piece boolean, closes boolean, record string"
+    )
+    cut = written(cut, "csv_records")
+    pieces = cut.where("piece")
+    nth = Window.partitionBy("file").orderBy("block", "line")
+    closed = F.sum(F.col("closes").cast("long")).over(nth.rowsBetween(Window.unboundedPreceding, -1))
+    joined = (
+        pieces.withColumn("nth", F.coalesce(closed, F.lit(0)))
+        .groupBy("file", "nth")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "line", "record"))).alias("parts"))
+        .select("file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"),
+                F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
+    )
+    whole = cut.where("not piece").select("file", "block", "line", "record")
+    return whole.unionByName(joined).where("record <> ''")
+
+
+def split_catalogue_ranges(
+    spark: SparkSession, path: str | list[str], sample_size: int | None = None, schema: T.StructType = CATALOGUE
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`split_catalogue` for large files with quoted line breaks: the same rows and quarantine, read by byte ranges
+    (:func:`read_records`). Spark's CSV functions parse the records."""
+    records = written(read_records(spark, path), "csv_catalogue")
+    heads = records.groupBy("file").agg(F.min(F.struct("block", "line")).alias("place"))
+    named = records.join(heads, "file").withColumn("_head", F.struct("block", "line") == F.col("place"))
+    headers = named.where("_head").groupBy("record").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if not headers:
+        raise ValueError(f"{path} has no header")
+    if len(headers) > 1:
+        raise ValueError(f"{headers[1]['file']} has another header than {headers[0]['file']}")
+    names = next(csv.reader([headers[0]["record"]]))
+    absent = [f.name for f in schema if f.name not in names]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    at_any = [f"c{i}" for i in range(len(names) + 1)]
+    fields = F.from_csv(
+        F.concat("record", F.lit("," + LAST_FIELD)), ", ".join(f"{c} string" for c in at_any),
+        {"escape": QUOTE, "quote": QUOTE, "multiLine": "true"},
+    )
+    parsed = named.where("not _head").select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("line").alias("_row"), "record", fields.alias("f"))
+    # the mark follows the last field: one beyond the header's fields where all are there, further on where there are too many
+    fits = F.exists(F.array(*[F.col("f")[c] for c in at_any]), lambda c: F.coalesce(c == LAST_FIELD, F.lit(False)))
+    columns = [F.when(F.col("f")[c] != LAST_FIELD, F.col("f")[c]).alias(n) for c, n in zip(at_any, names)]
+    bad = parsed.where(~fits).select(F.col("_file").alias("file"), "record")
+    good = parsed.where(fits).select(*FIRST_ROWS, *columns)
+    typed = [_typed(f.name, f.dataType).alias(f.name) for f in schema]
+    if sample_size is None:
+        return good.select(*typed), bad
+    return good.select(*typed, *FIRST_ROWS).orderBy(*FIRST_ROWS).limit(sample_size).drop(*FIRST_ROWS), bad
+
+
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 LAST_FIELD = "\u0002"
 FIRST_ROWS = ("_file", "_block", "_row")
@@ -38,16 +168,18 @@ def split_catalogue(
     path: str | list[str],
     sample_size: int | None = None,
     schema: T.StructType = CATALOGUE,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, quarantine)`` of catalogue CSV files with a header, in any column order, with any extra columns.
 
     All files of one call have the same header: a file with another one is an error that names it. Rows with
     more fields than the header go to the quarantine as ``(file, record)``; missing fields at the end of a row are
     NULL. ``sample_size`` takes the first good rows in the order of the files. Quoted line breaks need
-    ``multi_line``, which gives every file to one task; pass False for files without them, so that large files
-    are split.
+    ``multi_line``: True gives every file to one task, "ranges" splits large files too (:func:`split_catalogue_ranges`).
+    Files without such breaks are also split with False.
     """
+    if multi_line == "ranges":
+        return split_catalogue_ranges(spark, path, sample_size, schema)
     names = spark.read.options(**CSV_OPTIONS).csv(path).columns
     absent = [f.name for f in schema if f.name not in names]
     if absent:
@@ -89,7 +221,7 @@ def read_catalogue(
     path: str | list[str],
     sample_size: int | None = None,
     schema: T.StructType = CATALOGUE,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """The rows of :func:`split_catalogue`, which also gives the records that are left out."""
     return split_catalogue(spark, path, sample_size, schema, multi_line)[0]
