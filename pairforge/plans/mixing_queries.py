@@ -10,6 +10,8 @@ from pairforge.operators.catalogue import drop_incomplete
 from pairforge.operators.thinning import thin_groups
 from pairforge.plans import fixtures as X
 from pairforge.session import scratch_path, written
+from pairforge.sources import images
+from pairforge.streaming import batches as SB
 
 WEIGHTS = (("pairs_a", "en", 3.0), ("pairs_b", "fr", 2.0), ("pairs_c", "de", 1.0), ("pairs_d", "es", 1.0))
 WORLD = 3
@@ -73,6 +75,54 @@ def e5(drop_last):
     return run
 
 
+def e5_stream(spark, sf):
+    """The shards as a stream of files, three at a time, batched in two runs: the second goes on where the first stopped."""
+    source, target, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("feed", "batches", "checkpoint"))
+    feed = written(M.shard_rows(_feed(spark, sf), WORLD).select("shard_idx", "style_id", "shard"), "sharded")
+    rows = feed.agg(F.max("shard_idx")).first()[0] + 1
+    for k in range(8):  # one file of each shard's next rows after the other
+        if k % 4 == 0 and k:
+            _run_batches(spark, source, target, checkpoint)
+        part = feed.where((F.col("shard_idx") >= rows * k // 8) & (F.col("shard_idx") < rows * (k + 1) // 8))
+        part.coalesce(1).write.mode("append").parquet(source)
+    _run_batches(spark, source, target, checkpoint)
+    return spark.read.parquet(target).select("shard", "shard_idx", "style_id", "batch_id", "pos_in_batch")
+
+
+PART_BYTES = 20_000
+
+
+def a6_prepared(spark, sf):
+    """Batches of the mix with their pictures, which are the pages; a reference is present, missing, remote or empty by its
+    id. Rows are given one by one, with whether their part of the batch stays in the bound."""
+    pages = X.table(spark, sf, "pages")
+    store = pages.select(
+        F.concat(F.lit("/img/"), F.col("page_id").cast("string"), F.lit(".png")).alias("path"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+    count = pages.agg(F.count(F.lit(1))).scalar()
+    sid = F.col("style_id")
+    path = (
+        F.when(sid % 7 == 0, F.lit("")).when(sid % 7 == 1, F.concat(F.lit("https://example.org/"), sid.cast("string")))
+        .when(sid % 7 == 2, F.concat(F.lit("img/none"), sid.cast("string"))).when(sid % 7 == 3, F.lit("img/../img/0.png"))
+        .otherwise(F.concat(F.lit("img/"), (sid % F.col("_n")).cast("string"), F.lit(".png")))
+    )
+    mixed = written(_mixed(spark, sf).select("draw", "global_dataset_name", "style_id", F.col("default_image").alias("query_text")), "mixed")
+    batches = B.assign_batches(mixed, BATCH).withColumn("_n", count).withColumn("target_image_path", path)
+    ready = images.prepare_batches(batches, store, text_cols=("query_text", "style_id"), max_bytes=PART_BYTES, hot_rows=50)
+    size = F.aggregate("rows", F.lit(0), lambda n, r: n + F.coalesce(F.length(r["image"]["bytes"]), F.lit(0)))
+    rows = ready.withColumn("in_bound", (size <= PART_BYTES) | (F.size("rows") == 1)).select("batch_id", "n_parts", "in_bound", F.inline("rows"))
+    return rows.select(
+        "batch_id", F.col("pos").alias("pos_in_batch"), "style_id", "query_text", "image_status",
+        F.when(F.col("image_status") == "ok", F.md5("image.bytes")).alias("content_md5"), "in_bound", (F.col("n_parts") > 1).alias("in_parts"),
+    )
+
+
+def _run_batches(spark, source, target, checkpoint):
+    stream = spark.readStream.schema("shard_idx long, style_id long, shard int").option("maxFilesPerTrigger", 3).parquet(source)
+    SB.run_stream_batches(stream.withColumn("shard", F.col("shard").cast("long")), target, checkpoint, BATCH, "shard_idx", "shard").awaitTermination()
+
+
 def c4(spark, sf):
     return B.batch_composition(_batched(spark, sf, False))
 
@@ -159,6 +209,8 @@ QUERIES = {
     "e4_written_shards": e4_written,
     "e5_batches": e5(False),
     "e5_batches_drop_last": e5(True),
+    "e5_stream_batches": e5_stream,
+    "a6_prepared_batch": a6_prepared,
     "c4_batch_composition": c4,
     "e6_chunks": e6,
     "e6_combine_chunks": e6_back,
@@ -283,3 +335,13 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY grp ORDER BY md5('thin42|' || event_id), event_id) - 1 AS ord FROM sized)
 SELECT event_id, grp, grp = -1 OR n = 1 OR ord < greatest(1, n - CAST(round_even(n * 0.5::DOUBLE, 0) AS BIGINT)) AS retained FROM placed"""
 SQL["e4_written_shards"] = SQL["e4_shards"]
+SQL["e5_stream_batches"] = f"""SELECT CAST(shard AS BIGINT) AS shard, shard_idx, style_id, shard_idx // {BATCH} AS batch_id, CAST(shard_idx % {BATCH} AS INTEGER) AS pos_in_batch
+FROM (SELECT *, count(*) OVER (PARTITION BY shard) AS len FROM ({SQL["e4_shards"]})) WHERE shard_idx < len - len % {BATCH}"""
+SQL["a6_prepared_batch"] = f"""WITH {_MIX},
+refs AS (
+  SELECT b.*, CASE WHEN style_id % 7 < 3 THEN NULL WHEN style_id % 7 = 3 THEN 0 ELSE style_id % (SELECT count(*) FROM pages) END AS page_id
+  FROM full_batches b)
+SELECT batch_id, pos_in_batch, style_id, c.default_image AS query_text,
+       CASE style_id % 7 WHEN 0 THEN 'empty' WHEN 1 THEN 'remote' ELSE CASE WHEN html <> '' THEN 'ok' ELSE 'missing' END END AS image_status,
+       CASE WHEN html <> '' THEN md5(html) END AS content_md5, true AS in_bound, true AS in_parts
+FROM refs JOIN catalogue c USING (style_id) LEFT JOIN pages USING (page_id)"""
