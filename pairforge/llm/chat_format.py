@@ -31,6 +31,15 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
+def escape_role(role: Column) -> Column:
+    """A role ends at the first line feed of its block, so its own line feeds are written as ``<\\n``."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("<\\n"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(role, F.lit("<\\n"), F.lit("\n")))
+
+
 def _blocks(turns: Column) -> Column:
     """Adjacent turns of one role as ``struct<role, texts>``."""
     size = F.size(turns)
@@ -59,7 +68,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
     empty = F.lit("")
     turn = F.struct("turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
     collected = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    safe = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
+    safe = F.transform("turns", lambda t: F.struct(escape_role(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     blocks = collected.select("conv_id", _let(safe, _blocks).alias("blocks"))
 
     def written(block: Column) -> Column:
@@ -96,7 +105,7 @@ def read_back(formatted: Column) -> Column:
         at = F.length(role) + 2
         body = F.substr(block, at, F.length(block) - at + 1 - len(END))
         texts = F.split(body, _pattern(NEXT), -1)
-        return F.transform(texts, lambda t: F.struct(unescape(role).alias("role"), unescape(t).alias("text")))
+        return F.transform(texts, lambda t: F.struct(unescape_role(role).alias("role"), unescape(t).alias("text")))
 
     return F.flatten(F.transform(_pieces(formatted, _pattern(START)), turns))
 

@@ -8,8 +8,8 @@ Occurrences of consecutive benchmark suffixes at consecutive places join into th
 The array is sparse: a training suffix is sorted only if its first word starts some benchmark suffix (and, if
 no searched suffix is a single word, also its second word follows there), since no other can match.
 
-Documents are never moved for the search. The benchmark comes to them in blocks of bounded size, one pass over
-the documents per block, so it may grow too.
+The benchmark comes to the documents in blocks of bounded size, so it may grow too: every block is a job of its own over the
+texts, which leaves only the matches and releases the block. With one block nothing else is moved.
 """
 
 from __future__ import annotations
@@ -171,7 +171,7 @@ _SPARK_MATCH = T.ArrayType(
 _MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("item_at", pa.int32()), ("start", pa.int32()), ("length", pa.int32())]))
 
 
-def _search(items, window: int, kept: list[str], first: bool):
+def _search(items, window: int, kept: list[str], hits_only: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = TestSuffixes(items.value, window)
         for batch in batches:
@@ -199,12 +199,11 @@ def _search(items, window: int, kept: list[str], first: bool):
                  for m in _longest(f)]
                 for f in found
             ]
-            if not first:
-                matches = [a + b for a, b in zip(batch.column("matches").to_pylist(), matches)]
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(n_words, pa.int64()), pa.array(matches, _MATCH_TYPE)],
                 names=[*kept, "n_words", "matches"],
             )
+            yield out.filter(pa.array([bool(m) for m in matches], pa.bool_())) if hits_only else out
 
     return run
 
@@ -235,17 +234,29 @@ def find_matches(
     frame = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("binary").alias("text")
     )
-    row = T.StructField("row", frame.schema["row"].dataType)
-    text, n_words = T.StructField("text", T.BinaryType()), T.StructField("n_words", T.LongType())
-    for block in range(blocks):
+    extra = [T.StructField("n_words", T.LongType()), T.StructField("matches", _SPARK_MATCH)]
+
+    def searched(texts: DataFrame, kept: list[str], block: int, hits_only: bool):
         part = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         items = spark.sparkContext.broadcast(sorted((r["item_id"], bytes(r["text"])) for r in part.collect()))  # about block_bytes
-        kept = [row, text] if block < blocks - 1 else [row]
-        frame = frame.mapInArrow(
-            _search(items, window, [f.name for f in kept], block == 0),
-            T.StructType([*kept, n_words, T.StructField("matches", _SPARK_MATCH)]),
-        )
-    return frame
+        schema = T.StructType([*(texts.schema[k] for k in kept), *extra])
+        return texts.mapInArrow(_search(items, window, kept, hits_only), schema), items
+
+    if blocks == 1:
+        return searched(frame, ["row"], 0, False)[0]
+    # rows get a number that is fixed by writing them, and each block's search leaves the numbers of the rows it matches
+    frame = written(frame.withColumn("place", F.monotonically_increasing_id()), "benchmark_texts")
+    counted = matched = None
+    for block in range(blocks):
+        hits, items = searched(frame.select("place", "text"), ["place"], block, block > 0)
+        hits = written(hits, "benchmark_matches")
+        items.destroy()
+        counted = hits if block == 0 else counted
+        matched = hits if block == 0 else matched.unionByName(hits)
+    joined = matched.where(F.size("matches") > 0).groupBy("place").agg(F.flatten(F.collect_list("matches")).alias("matches"))
+    known = counted.select("place", "n_words").join(joined, "place", "left")
+    none = F.array().cast(_SPARK_MATCH)
+    return frame.select("place", "row").join(known, "place").select("row", "n_words", F.coalesce("matches", none).alias("matches"))
 
 
 def _digest():

@@ -336,3 +336,14 @@ def test_recall_on_the_table(spark, sf_dir, name):
         true = set(np.argsort(apart, kind="stable")[:10].tolist())
         hits, total = hits + len(true & got[q]), total + 10
     assert hits >= 0.9 * total
+
+
+def test_roles_with_line_feeds_and_control_strings_come_back(table):
+    """The turns themselves, not their digest, which joins role and text by a line feed."""
+    from pairforge.llm import chat_format
+
+    odd = ["user\nx", "\n", "<\n", "<\\n", "\\n", "\\", "<|im_end|>", "<\\|", "<\\\\n|", "a\n\nb", "assistant", "", "<", "<<\n|"]
+    rows = [(7, i, role, text) for i, (role, text) in enumerate((r, t) for r in odd for t in ("hello", "\nx", "<|im_start|>\\", ""))]
+    chats = chat_format.format_chats(table(rows, "conv_id long, turn long, role string, text string"))
+    back = chats.select(chat_format.read_back(F.col("formatted")).alias("t")).first()["t"]
+    assert [(r["role"], r["text"]) for r in back] == [(role, text) for _, _, role, text in rows]
