@@ -1,9 +1,9 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the distinct hashed character n-grams of the lower-cased text. From a bounded sample of labelled texts
-Spark counts in how many texts of each class a feature occurs; the smoothed log ratio of the two shares is its scale r.
-A logistic regression on r / sqrt(number of features) then learns a weight per feature by gradient steps whose sums
-Spark computes over the partitions of the sample. A score only uses the text.
+Features are the distinct hashed character n-grams of the lower-cased text, which Spark takes from a bounded sample of
+labelled texts. One task counts in how many of them a feature occurs in each class; the smoothed log ratio of the two
+shares is its scale r. A logistic regression on r / sqrt(number of features) then learns a weight per feature by gradient
+steps in the same task, which returns the weights only. A score only uses the text, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ RATE, BIAS_RATE, MOMENTUM = 30.0, 1.0, 0.9
 SMOOTHING = 5.0  # texts, shared between the classes in proportion to their size
 _SLICE = 1 << 18
 _PARTS = 8
+_FEATURES = 1 << 20  # that a step handles at a time
 
 
 def features(text: str | None, orders=ORDERS, bits: int = BITS) -> Iterator[np.ndarray]:
@@ -110,29 +111,49 @@ def _pack(orders, bits: int):
     return run
 
 
-def _class_counts(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs = np.zeros((2, 1 << bits)), np.zeros(2)
-        for packed, toxic in rows(batches, "found", "toxic"):
-            docs[toxic] += 1
-            counts[toxic, np.frombuffer(packed, np.int32)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()]), pa.array([docs.tobytes()])], names=["counts", "docs"])
+def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights (scale times learnt weight) and bias from the features and classes (0 or 1) of texts of both classes."""
+    size, n = 1 << bits, np.bincount(toxic, minlength=2).astype(np.float64)
+    lengths = np.array([len(t) for t in texts])
+    norm, share = np.maximum(lengths, 1) ** -0.5, (0.5 / n)[toxic]
+    cuts = np.searchsorted(np.cumsum(lengths), np.arange(_FEATURES, lengths.sum() + _FEATURES, _FEATURES), "right")
+    slices = [(a, b) for a, b in zip([0, *cuts], [*cuts, len(texts)]) if a < b]
 
-    return run
+    def totals(values: np.ndarray, a: int, b: int) -> np.ndarray:
+        return np.bincount(np.concatenate(texts[a:b]), weights=np.repeat(values[a:b], lengths[a:b]), minlength=size)
 
+    counts = np.stack([sum(totals((toxic == kind).astype(np.float64), a, b) for a, b in slices) for kind in (0, 1)])
+    extra = SMOOTHING * n / n.mean()
+    shares = (counts + extra[:, None]) / (n + 2 * extra)[:, None]
+    ratio = np.log(shares[1] / shares[0])
+    learnt, bias, pace, side_pace = np.zeros(size), 0.0, np.zeros(size), 0.0
+    for _ in range(steps):
+        weights, total, side = ratio * learnt, np.zeros(size), 0.0
+        for a, b in slices:
+            sums = np.add.reduceat(np.append(weights[np.concatenate(texts[a:b])], 0.0), np.cumsum(lengths[a:b]) - lengths[a:b])
+            margin = bias + np.where(lengths[a:b] > 0, sums, 0.0) * norm[a:b]
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[a:b]) * share[a:b]
+            whole = np.zeros(len(texts))
+            whole[a:b] = error * norm[a:b]
+            total += totals(whole, a, b)
+            side += float(error.sum())
+        pace = MOMENTUM * pace + ratio * total
+        side_pace = MOMENTUM * side_pace + side
+        learnt = learnt - RATE * pace
+        bias -= BIAS_RATE * side_pace
+    return ratio * learnt, bias
 
-def _slopes(state, bits: int):
-    """Sum over a partition of the loss's slope: per weight and for the bias."""
 
+def _fit_rows(bits: int, steps: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, share = state.value
-        model, total, side = Model(weights, bias), np.zeros(1 << bits), 0.0
-        for packed, toxic in rows(batches, "found", "toxic"):
-            found = np.frombuffer(packed, np.int32)
-            error = (_chance(model.margin(found)) - toxic) * share[toxic]
-            total[found] += error / max(1, len(found)) ** 0.5
-            side += error
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()]), pa.array([side])], names=["total", "side"])
+        sample = sorted(rows(batches, "toxic", "found"))  # the order of sums, and so the result, does not hang on files
+        toxic, texts = np.array([t for t, _ in sample], np.int64), [np.frombuffer(f, np.int32) for _, f in sample]
+        n = np.bincount(toxic, minlength=2)
+        if n.all():
+            weights, bias = fit(texts, toxic, bits, steps)
+        else:
+            weights, bias = np.zeros(1 << bits), float(np.log((n[1] + 1) / (n[0] + 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([bias])], names=["weights", "bias"])
 
     return run
 
@@ -140,31 +161,15 @@ def _slopes(state, bits: int):
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, orders=ORDERS, bits: int = BITS, steps: int = STEPS) -> Model:
     """Fit on at most ``max_rows`` labelled documents of each class, none of them held out; both weigh the same.
 
-    Without a labelled text of both classes the model is a constant: the smoothed share of toxic texts. The driver
-    gets, per step, one vector of 2**bits from each of at most ``_PARTS`` partitions of the bounded sample.
+    Without a labelled text of both classes the model is a constant: the smoothed share of toxic texts. One task holds the
+    bounded sample, of each text at most 2**bits distinct features; the driver gets one vector of 2**bits weights.
     """
-    spark = docs.sparkSession
     packed = training_sample(docs, labels, max_rows).mapInArrow(_pack(orders, bits), "found binary, toxic int")
-    sample = written(packed, "toxic_sample").coalesce(_PARTS)
-    counts, n = np.zeros((2, 1 << bits)), np.zeros(2)
-    for r in sample.mapInArrow(_class_counts(bits), "counts binary, docs binary").collect():
-        counts += np.frombuffer(r["counts"]).reshape(2, -1)
-        n += np.frombuffer(r["docs"])
-    if not n.all():
-        return Model(np.zeros(1 << bits), float(np.log((n[1] + 1) / (n[0] + 1))), tuple(orders), bits)
-    extra = SMOOTHING * n / n.mean()
-    shares = (counts + extra[:, None]) / (n + 2 * extra)[:, None]
-    ratio = np.log(shares[1] / shares[0])
-    learnt, bias, pace, side_pace = np.zeros(1 << bits), 0.0, np.zeros(1 << bits), 0.0
-    for _ in range(steps):
-        state = spark.sparkContext.broadcast((ratio * learnt, bias, 0.5 / n))
-        parts = sample.mapInArrow(_slopes(state, bits), "total binary, side double").collect()
-        state.destroy()
-        pace = MOMENTUM * pace + ratio * sum(np.frombuffer(p["total"], np.float32).astype(np.float64) for p in parts)
-        side_pace = MOMENTUM * side_pace + sum(p["side"] for p in parts)
-        learnt = learnt - RATE * pace
-        bias -= BIAS_RATE * side_pace
-    return Model(ratio * learnt, float(bias), tuple(orders), bits)
+    sample = written(packed, "toxic_sample")
+    got = sample.coalesce(1).mapInArrow(_fit_rows(bits, steps), "weights binary, bias double").collect()
+    if not got:  # no sample, no partition
+        return Model(np.zeros(1 << bits), 0.0, tuple(orders), bits)
+    return Model(np.frombuffer(got[0]["weights"]), got[0]["bias"], tuple(orders), bits)
 
 
 def _score_rows(model, kept: list[str]):

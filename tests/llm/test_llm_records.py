@@ -347,3 +347,49 @@ def test_roles_with_line_feeds_and_control_strings_come_back(table):
     chats = chat_format.format_chats(table(rows, "conv_id long, turn long, role string, text string"))
     back = chats.select(chat_format.read_back(F.col("formatted")).alias("t")).first()["t"]
     assert [(r["role"], r["text"]) for r in back] == [(role, text) for _, _, role, text in rows]
+
+
+def plain_toxicity(texts, toxic, bits=12, steps=30):
+    """Dense rows, one gradient step after the other: scores of all texts."""
+    grams = [{sum_ for part in toxicity_nb.features(t, bits=bits) for sum_ in part.tolist()} for t in texts]
+    x = np.zeros((len(texts), 1 << bits))
+    for i, g in enumerate(grams):
+        x[i, list(g)] = 1
+    y = np.array(toxic, float)
+    n = np.array([(y == 0).sum(), (y == 1).sum()], float)
+    extra = 5.0 * n / n.mean()
+    shares = [(x[y == k].sum(0) + extra[k]) / (n[k] + 2 * extra[k]) for k in (0, 1)]
+    ratio = np.log(shares[1] / shares[0])
+    scaled = x * ratio / np.sqrt(np.maximum(x.sum(1), 1))[:, None]
+    weight, bias, pace, side = np.zeros(1 << bits), 0.0, np.zeros(1 << bits), 0.0
+    for _ in range(steps):
+        error = (1 / (1 + np.exp(-(scaled @ weight + bias))) - y) * np.where(y == 1, 0.5 / n[1], 0.5 / n[0])
+        pace, side = 0.9 * pace + scaled.T @ error, 0.9 * side + error.sum()
+        weight, bias = weight - 30.0 * pace, bias - side
+    return 1 / (1 + np.exp(-(scaled @ weight + bias)))
+
+
+@pytest.mark.parametrize("slice_size", [50, 1 << 20])
+def test_toxicity_scores_equal_plain_gradient_steps(table, monkeypatch, slice_size):
+    monkeypatch.setattr(toxicity_nb, "_FEATURES", slice_size)
+    rng = random.Random(12)
+    vocab = ["".join(rng.choice("abcdeé漢") for _ in range(rng.randint(2, 6))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(vocab[: 40 if i % 3 else 60]) for _ in range(rng.randint(0, 30)))) for i in range(90)]
+    marks = [(i, int(i % 3 == 0)) for i in range(90)]
+    import zlib
+
+    learnt = [i for i in range(90) if zlib.crc32(str(i).encode()) % 5]
+    docs = table(rows, "doc_id long, text string")
+    model = toxicity_nb.train(docs, table(marks, "doc_id long, toxic int"), bits=12)
+    got = {r["doc_id"]: r["score"] for r in toxicity_nb.score(docs, model).collect()}
+    want = plain_toxicity([rows[i][1] for i in learnt], [marks[i][1] for i in learnt])
+    assert all(abs(got[i] - s) < 2e-6 for i, s in zip(learnt, want))
+
+
+def test_toxicity_of_held_out_documents(spark):
+    """Accuracy on the documents that are never learnt from, on a given table."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity_nb.score(docs, toxicity_nb.train(docs, labels)).where("held_out").collect()}
+    marks = [(got[r["doc_id"]], r["toxic"]) for r in labels.collect() if r["doc_id"] in got]
+    assert len(marks) > 50 and sum(p == t for p, t in marks) >= 0.9 * len(marks)
