@@ -1,11 +1,14 @@
 """From raw documents to a mixed training set: five stages, each one operator of ``pairforge.llm``.
 
 A stage takes the documents that its predecessor kept and returns those it keeps; all but the last return the columns
-of ``documents``. ``run`` writes each stage's result as Parquet to the shared folder and reads it again.
+of ``documents``. Each stage's result is written as Parquet to the shared folder and read again, by the stage itself where
+whole documents pass through Python, else by ``run``.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +24,23 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _few_at_a_time(spark: SparkSession) -> None:
-    """Whole documents go to Python and back in batches, so a batch holds few. The session keeps the setting, since a
-    stage returns a table that is computed later."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+@contextmanager
+def _few_at_a_time(spark: SparkSession):
+    """Whole documents go to Python and back in batches, so a batch holds few. What is computed inside the block follows
+    the setting, which the session gets back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ARROW_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of these documents, scores below 0.5."""
-    _few_at_a_time(spark)
-    return toxicity_nb.remove_toxic(docs, toxicity_nb.train(docs, _read(spark, sf_dir, "labels")))
+    with _few_at_a_time(spark):
+        return written(toxicity_nb.remove_toxic(docs, toxicity_nb.train(docs, _read(spark, sf_dir, "labels"))), "corpus-toxicity")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,17 +84,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows with the same id and text are one, also without words. A row without id counts as larger than every id. Rows
     that share an id but not the text are one document: they stay or go together."""
-    _few_at_a_time(spark)
     keyed = _with_key(_one_of_equal_rows(docs))
-    found = tensor_minhash.near_components(keyed.select(F.col("_key").alias("doc_id"), "text"), size=NEAR_SHINGLE)
+    with _few_at_a_time(spark):
+        found = tensor_minhash.near_components(keyed.select(F.col("_key").alias("doc_id"), "text"), size=NEAR_SHINGLE)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return keyed.join(gone, keyed["_key"] == gone["_gone"], "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text."""
-    _few_at_a_time(spark)
-    return decontaminate.remove_contaminated(docs, _read(spark, sf_dir, "benchmark"))
+    with _few_at_a_time(spark):
+        return written(decontaminate.remove_contaminated(docs, _read(spark, sf_dir, "benchmark")), "corpus-decontamination")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -101,6 +111,9 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
+#: Stages that write their result themselves.
+STORED = {"toxicity", "decontamination"}
+
 #: The classifier is trained, which SQL cannot express; tests compare every stage with a plain version.
 ORACLE_SQL = None
 
@@ -108,5 +121,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"corpus-{name}")
+        docs = stage(spark, docs, sf_dir)
+        if name not in STORED:
+            docs = written(docs, f"corpus-{name}")
     return docs
