@@ -7,7 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.session import shared_dir
+from pairforge.session import shared_dir, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -66,3 +66,28 @@ def connected_components(
             )
         before = after
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+
+
+def merge_components(known: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(node, component)`` after new ``edges``, from the table ``known(node, component)`` of those before.
+
+    Old edges are not read: the new ones are drawn between the components of their ends, and only components that such
+    an edge touches are searched and renamed. Component names are the smallest node ids, as in
+    :func:`connected_components`, so the result equals a full computation over all edges. New nodes are added; a NULL end is
+    no edge. A lookup per new end and one renaming of the table are all that grows with ``known``.
+    """
+    ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
+    nodes = ends.select(F.col("a").alias("node")).unionByName(ends.select(F.col("b").alias("node"))).distinct()
+    own = written(
+        nodes.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("old"), F.col("component").isNull().alias("new")),
+        "components_touched",
+    )
+    drawn = (
+        ends.join(own.select(F.col("node").alias("a"), F.col("old").alias("u")), "a")
+        .join(own.select(F.col("node").alias("b"), F.col("old").alias("v")), "b")
+        .select("u", "v").where("u <> v").distinct()
+    )
+    renamed = connected_components(drawn, "u", "v").where("node <> component")
+    renamed = written(renamed.select(F.col("node").alias("old"), F.col("component").alias("to")), "components_renamed")
+    every = known.select("node", F.col("component").alias("old")).unionByName(own.where("new").select("node", "old"))
+    return every.join(renamed, "old", "left").select("node", F.coalesce("to", "old").alias("component"))

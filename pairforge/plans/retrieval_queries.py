@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.vectors import as_double, l2_normalize
 from pairforge.operators import retrieval as R
-from pairforge.operators.components import connected_components
+from pairforge.operators.components import connected_components, merge_components
 from pairforge.plans import fixtures as X
+from pairforge.session import written
 
 NDIM = 16
 SHARDS = 4
@@ -183,6 +184,15 @@ def h1(spark, sf):
     return connected_components(X.edges(spark, sf))
 
 
+def h1_incremental(spark, sf):
+    """The customers' edges in four deliveries, merged one after the other into the table of components."""
+    edges = X.edges(spark, sf)
+    known = spark.createDataFrame([], "node long, component long")
+    for k in range(4):
+        known = written(merge_components(known, edges.where(F.pmod(F.xxhash64("src"), F.lit(4)) == k)), "components")
+    return known.select("node", "component")
+
+
 def h1_uncut(spark, sf):
     """Seven long paths over all customers, whose keys have no gaps."""
     customers = X.table(spark, sf, "customer")
@@ -211,6 +221,7 @@ QUERIES = {
     "f9_random_baseline": f9,
     "h1_connected_components": h1,
     "h1_all_customers": h1_uncut,
+    "h1_incremental": h1_incremental,
 }
 
 _DOT = "list_dot_product(q.vec, t.vec)"
@@ -354,3 +365,4 @@ reach(node, other) AS (
   SELECT a, a FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other)
 SELECT node, min(other) AS component FROM reach GROUP BY node""",
 }
+SQL["h1_incremental"] = SQL["h1_connected_components"]

@@ -315,6 +315,17 @@ def c7(spark, sf):
     return rate.select("event_type", "n", F.round("elapsed", 6).alias("elapsed"), F.round("rate", 9).alias("rate"))
 
 
+def c7_stream(spark, sf):
+    """The running rate when the stream of events, in eight files, has ended."""
+    source, target = scratch_path(spark, "events"), scratch_path(spark, "rates")
+    events = X.table(spark, sf, "events")
+    events.repartition(8, "event_id").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    throughput.run_throughput(stream, target, scratch_path(spark, "rates-state"), ["event_type"]).awaitTermination()
+    rate = throughput.read_throughput(spark, target, ["event_type"])
+    return rate.select("event_type", "n", F.round("elapsed", 6).alias("elapsed"), F.round("rate", 9).alias("rate"))
+
+
 def j1(spark, sf):
     """The stream's good and quarantined rows, counted with their ids."""
     source = _write_lines(spark, sf)
@@ -397,6 +408,7 @@ QUERIES = {
     "k2_parser_registry": k2,
     "k2_parser_quarantine": k2_quarantine,
     "c7_throughput": c7,
+    "c7_stream_throughput": c7_stream,
     "j1_stream_ingest": j1,
     "j1_stream_dedupe": j1_dedupe,
     "j2_windowed_counts": j2,
@@ -496,6 +508,10 @@ SELECT 'pairs' AS global_dataset_name, kind AS problem, count(*) AS n FROM kinds
     "c7_throughput": """
 SELECT event_type, count(*) AS n, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS elapsed,
        round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0 END, 9) AS rate
+FROM events GROUP BY event_type""",
+    "c7_stream_throughput": """
+SELECT event_type, count(*) AS n, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS elapsed,
+       round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0 END, 9) AS rate
 FROM events GROUP BY event_type""",
     "j1_stream_ingest": f"""WITH {_LINES}
 SELECT 'good' AS kind, style_id AS id, trim('Find ' || master_category || ' ' || description, '{WHITESPACE}') AS query_text,

@@ -81,3 +81,27 @@ def read_windowed_counts(spark: SparkSession, target: str, kind: str = "event_ty
         .groupBy("window_start", "window_end", kind)
         .agg(F.max_by("n", "batch_id").alias("n"))
     )
+
+
+def run_throughput(events: DataFrame, target: str, checkpoint: str, by: list[str], ts: str = "ts") -> StreamingQuery:
+    """The running rate of a stream: the keys that a micro batch changed, below ``target/batch_id=...``, with rows so far and the
+    first and last event time; :func:`read_throughput` gives the rates.
+
+    The state is one row per key. Late rows count like others, since a rate is over all that was seen; a batch that is
+    replayed after a failure replaces its own folder.
+    """
+    seen = events.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    writer = seen.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.foreachBatch(store).start()
+
+
+def read_throughput(spark: SparkSession, target: str, by: list[str]) -> DataFrame:
+    """The latest ``(*by, n, elapsed, rate)`` of every key, as :func:`throughput` gives them for a table."""
+    latest = spark.read.parquet(target).groupBy(*by).agg(F.max_by(F.struct("n", "first", "last"), "batch_id").alias("of"))
+    micros = F.unix_micros(F.col("of.last").cast("timestamp")) - F.unix_micros(F.col("of.first").cast("timestamp"))
+    timed = latest.select(*by, F.col("of.n").alias("n"), (micros / 1e6).alias("elapsed"))
+    return timed.withColumn("rate", F.when(F.col("elapsed") > 0, F.col("n") / F.col("elapsed")).otherwise(F.lit(0.0)))

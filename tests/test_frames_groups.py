@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairforge.operators import frames as V
-from pairforge.operators.components import connected_components
+from pairforge.operators.components import connected_components, merge_components
 from pairforge.operators.thinning import on_even_grid, thin_groups
 
 
@@ -133,3 +133,17 @@ def test_components(spark, shape):
     df = spark.createDataFrame(edges, "src long, dst long")
     got = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert got == _roots(edges)
+
+
+def test_components_take_new_edges(spark):
+    """After each delivery the table equals a full computation over all edges so far."""
+    import random
+
+    rng = random.Random(4)
+    known, so_far = spark.createDataFrame([], "node long, component long"), []
+    for size in (12, 0, 15, 40):
+        new = [(rng.randint(0, 60), rng.choice([None, *range(60)])) for _ in range(size)]
+        so_far += new
+        known = merge_components(known, spark.createDataFrame(new, "src long, dst long")).checkpoint()
+        full = connected_components(spark.createDataFrame(so_far, "src long, dst long"))
+        assert sorted(map(tuple, known.select("node", "component").collect())) == sorted(map(tuple, full.collect()))
