@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,34 +25,50 @@ def split_is_complete(spark: SparkSession, root: str, split: str) -> bool:
     return fs.exists(path)
 
 
+@contextmanager
+def _staged(spark: SparkSession, root: str, splits: list[str]):
+    """A folder to write ``splits`` to. When the block ends well, each of them takes the place of its predecessor, also an
+    empty one, and is marked last; when it fails, the predecessors are as they were.
+
+    A split is replaced by a rename inside ``root``. If that is interrupted, the split has no marker and counts as incomplete.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        yield folder
+        for name in splits:
+            fresh, (marker, _) = hadoop(split_path(folder, name)), _marker(spark, root, name)
+            fs.delete(marker, False)
+            fs.delete(marker.getParent(), True)
+            if fs.exists(fresh):
+                fs.delete(hadoop(fresh, "_SUCCESS"), False)
+                if not fs.rename(fresh, marker.getParent()):
+                    raise OSError(f"cannot move {fresh.toString()} to its place")
+            fs.create(marker, True).close()
+    finally:
+        fs.delete(hadoop(folder), True)
+
+
 def write_split(records: DataFrame, root: str, split: str, skip_existing: bool = False) -> bool:
     """Write one split as JSON lines, keeping nulls; False when a committed split was left alone.
 
-    Tasks write in parallel and the commit protocol publishes the files together, so an interrupted
-    write leaves no marker and is repeated.
+    Tasks write in parallel to a staging folder, which takes the split's place when all have ended; until then the
+    former split stays. An interrupted write is repeated.
     """
-    if skip_existing and split_is_complete(records.sparkSession, root, split):
+    spark = records.sparkSession
+    if skip_existing and split_is_complete(spark, root, split):
         return False
-    records.write.mode("overwrite").option("ignoreNullFields", "false").json(split_path(root, split))
+    with _staged(spark, root, [split]) as folder:
+        records.write.option("ignoreNullFields", "false").json(split_path(folder, split))
     return True
 
 
 def write_splits(records: DataFrame, root: str, splits: list[str], split: str = "split") -> None:
-    """Several splits of one record type in a single pass; replaces only these splits, also by nothing."""
-    for name in splits:
-        path, fs = _marker(records.sparkSession, root, name)
-        fs.delete(path.getParent(), True)
-    (
-        records.where(F.col(split).isin(*splits))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
-        .partitionBy(split)
-        .json(root)
-    )
-    for name in splits:
-        path, fs = _marker(records.sparkSession, root, name)
-        fs.create(path, True).close()
+    """Several splits of one record type in a single pass; replaces only these splits, also by nothing, once the job that
+    writes them has ended."""
+    with _staged(records.sparkSession, root, splits) as folder:
+        records.where(F.col(split).isin(*splits)).write.option("ignoreNullFields", "false").partitionBy(split).json(folder)
 
 
 def read_split(spark: SparkSession, root: str, split: str, schema: T.StructType) -> DataFrame:

@@ -307,3 +307,23 @@ def test_throughput_without_elapsed_time(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS ts, 'a' AS k FROM range(3)")
     row = throughput.throughput(df, by=["k"]).first()
     assert (row["n"], row["rate"]) == (3, 0.0)
+
+
+@pytest.mark.parametrize("one", [True, False])
+def test_a_failed_job_leaves_the_old_splits(spark, tmp_path, one):
+    root = str(tmp_path / "sets")
+    old = spark.createDataFrame([(i, "val" if i % 2 else "test") for i in range(10)], "style_id long, split string")
+    sinks.write_splits(old, root, ["val", "test"])
+    failing = old.withColumn("style_id", F.when(F.col("style_id") == 7, F.raise_error(F.lit("broken off")).cast("long")).otherwise(100))
+    with pytest.raises(Exception, match="broken off"):
+        if one:
+            sinks.write_split(failing.drop("split"), root, "val")
+        else:
+            sinks.write_splits(failing, root, ["val", "test"])
+    schema = old.select("style_id").schema
+    for name, odd in (("val", 1), ("test", 0)):
+        assert sinks.split_is_complete(spark, root, name)
+        assert sorted(r["style_id"] for r in sinks.read_split(spark, root, name, schema).collect()) == list(range(odd, 10, 2))
+    assert sorted(os.listdir(root)) == ["split=test", "split=val"]
+    sinks.write_splits(old.where("style_id < 3"), root, ["val", "test"])
+    assert sorted(r["style_id"] for r in sinks.read_split(spark, root, "val", schema).collect()) == [1]
