@@ -1,9 +1,10 @@
 """Negative mining and candidate lists for evaluation queries.
 
-Three samplers share one output, ``negatives ARRAY<STRING>`` per query:
+Four samplers share one output, ``negatives ARRAY<STRING>`` per query:
 
 * uniform: N+1 distinct positions of the indexed universe per query, by arithmetic, then one
   equi-join on the position;
+* subset: the same with every set of positions equally likely, at a cost of N**2 comparisons a query;
 * pooled: a few shuffled heads of the universe; every query filters its pool in place;
 * rolling: consecutive windows of one shuffled universe, addressed by a closed form instead of a
   cursor.
@@ -72,6 +73,37 @@ def draw_positions(queries: DataFrame, query_id: str, size: Column, n: int, seed
     )
 
 
+def draw_subsets(queries: DataFrame, query_id: str, size: Column, n: int, seed: int = SEED) -> DataFrame:
+    """min(n, size) rows per query, as ``_k, idx``: a subset of the positions below ``size``, in random order.
+
+    Every subset is equally likely, and so is every order of it. For j from size - n to size - 1 a hashed number up to j
+    joins the subset, or j itself if that number is already in it (Bentley and Floyd, 1987): n steps whatever the
+    size, and never a rejected draw. One array of n numbers per query, built before the rows multiply.
+    """
+    wanted = F.least(F.lit(n).cast("long"), F.col("_size"))
+
+    def add(chosen: Column, k: Column) -> Column:
+        j = F.col("_size") - F.col("_wanted") + k
+        t = F.pmod(hash_long(query_id, k, seed=f"floyd{seed}"), j + 1)
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, t), j).otherwise(t)))
+
+    ks = F.sequence(F.lit(0).cast("long"), F.col("_wanted") - 1)
+    subsets = (
+        queries.withColumn("_size", size)
+        .where("_size > 0")
+        .withColumn("_wanted", wanted)
+        .withColumn("_chosen", F.aggregate(ks, F.array().cast("array<bigint>"), add))
+    )
+    ordered = F.sort_array(
+        F.transform("_chosen", lambda i: F.struct(hash_hex(query_id, i, seed=f"order{seed}").alias("h"), i.alias("idx")))
+    )
+    return (
+        subsets.withColumn("_ordered", ordered)
+        .select(*queries.columns, F.posexplode("_ordered").alias("_k", "_at"))
+        .select(*queries.columns, "_k", F.col("_at.idx").alias("idx"))
+    )
+
+
 def _drop_truth(paths: Column, truth: Column, n: int) -> Column:
     return F.slice(F.filter(paths, lambda p: ~p.eqNullSafe(truth)), 1, n)
 
@@ -83,16 +115,17 @@ def uniform_negatives(
     id_col: str = "style_id",
     truth: str = "default_image",
     seed: int = SEED,
+    draw=draw_positions,
 ) -> DataFrame:
     """``n`` distinct images other than the ground truth; all others when the universe is smaller.
 
     ``universe`` is an indexed universe. One spare position is drawn, so dropping the ground truth
-    leaves n without looking it up.
+    leaves n without looking it up. ``draw`` is :func:`draw_positions` or :func:`draw_subsets`.
     """
     # Rows with the same id share their draws. Spread before the rows multiply: with a broadcast universe
     # the lookup then needs no other exchange.
     ids = spread(queries.select(id_col).distinct(), id_col)
-    drawn = draw_positions(ids, id_col, _size(universe), n + 1, seed)
+    drawn = draw(ids, id_col, _size(universe), n + 1, seed)
     found = (
         drawn.join(universe, "idx")
         .groupBy(id_col)
@@ -106,6 +139,11 @@ def uniform_negatives(
     return queries.join(found, id_col, "left").withColumn("negatives", negatives).drop("_paths")
 
 
+def subset_negatives(queries: DataFrame, universe: DataFrame, n: int, *args, **options) -> DataFrame:
+    """:func:`uniform_negatives` of which every set of ``n`` images is equally likely."""
+    return uniform_negatives(queries, universe, n, *args, draw=draw_subsets, **options)
+
+
 def pool_heads(universe: DataFrame, n: int, num_pools: int = NUM_POOLS, seed: int = SEED) -> DataFrame:
     """Per pool, the first ``n + 1`` images of its own shuffle, as one array.
 
@@ -220,7 +258,7 @@ def candidate_lists(
     )
 
 
-SAMPLERS = {"uniform": uniform_negatives, "pooled": pooled_negatives, "rolling": rolling_negatives}
+SAMPLERS = {"uniform": uniform_negatives, "subset": subset_negatives, "pooled": pooled_negatives, "rolling": rolling_negatives}
 
 
 def mine_candidates(

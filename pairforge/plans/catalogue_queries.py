@@ -104,11 +104,14 @@ def _lists(sampler):
     return run
 
 
-def d3_big(spark, sf):
-    split = assign_splits(X.big_catalogue(spark, sf))
-    universe = N.index_universe(C.image_universe(X.big_catalogue(spark, sf)))
-    found = N.uniform_negatives(split.where("split <> 'train'"), universe, N.NUM_CANDIDATES - 1)
-    return found.select("style_id", F.explode("negatives").alias("path"))
+def _big_negatives(sampler):
+    def run(spark, sf):
+        split = assign_splits(X.big_catalogue(spark, sf))
+        universe = N.index_universe(C.image_universe(X.big_catalogue(spark, sf)))
+        found = N.SAMPLERS[sampler](split.where("split <> 'train'"), universe, N.NUM_CANDIDATES - 1)
+        return found.select("style_id", F.explode("negatives").alias("path"))
+
+    return run
 
 
 def b5(spark, sf):
@@ -162,7 +165,9 @@ QUERIES = {
     "d1_stratified_split": d1,
     "d2_random_split": d2,
     "d3_uniform_negatives": _negatives("uniform"),
-    "d3_uniform_negatives_100": d3_big,
+    "d3_uniform_negatives_100": _big_negatives("uniform"),
+    "d3_uniform_subsets": _negatives("subset"),
+    "d3_uniform_subsets_100": _big_negatives("subset"),
     "d4_pooled_negatives": _negatives("pooled"),
     "d5_rolling_negatives": _negatives("rolling"),
     "d6_candidate_lists": _lists("uniform"),
@@ -191,6 +196,24 @@ found AS (
 negatives AS (SELECT style_id, default_image, path FROM found WHERE place <= {n})"""
 
 
+def _subset_sql(n: int, prefix: str) -> str:
+    """Each step of the walk adds one position to every query's list."""
+    return f"""{prefix},
+size AS (SELECT count(*) AS u, least(count(*), {n + 1}) AS m FROM universe),
+walk AS (
+  SELECT style_id, default_image, u, m, 0 AS k, []::BIGINT[] AS chosen FROM queries, size
+  UNION ALL
+  SELECT style_id, default_image, u, m, k + 1,
+         list_append(chosen, CASE WHEN list_contains(chosen, t) THEN u - m + k ELSE t END)
+  FROM (SELECT *, ('0x' || substr(md5('floyd42|' || style_id || '|' || k), 1, 15))::BIGINT % (u - m + k + 1) AS t FROM walk WHERE k < m)),
+draws AS (SELECT style_id, default_image, unnest(chosen) AS idx FROM walk WHERE k = m),
+found AS (
+  SELECT d.style_id, d.default_image, v.path,
+         row_number() OVER (PARTITION BY d.style_id ORDER BY md5('order42|' || d.style_id || '|' || d.idx)) AS place
+  FROM draws d JOIN universe v USING (idx) WHERE v.path <> d.default_image),
+negatives AS (SELECT style_id, default_image, path FROM found WHERE place <= {n})"""
+
+
 def _pooled_sql(n: int, prefix: str) -> str:
     return f"""{prefix},
 size AS (SELECT count(*) AS u FROM universe),
@@ -281,6 +304,8 @@ SELECT style_id, CASE WHEN rk <= total - hold THEN 'train'
 FROM ranked, n""",
     "d3_uniform_negatives": f"WITH {_fast['uniform']} {NEGATIVE_ROWS}",
     "d3_uniform_negatives_100": f"WITH {_uniform_sql(N.NUM_CANDIDATES - 1, _big_universe)} {NEGATIVE_ROWS}",
+    "d3_uniform_subsets": f"WITH RECURSIVE {_subset_sql(FAST - 1, X.universe_sql())} {NEGATIVE_ROWS}",
+    "d3_uniform_subsets_100": f"WITH RECURSIVE {_subset_sql(N.NUM_CANDIDATES - 1, _big_universe)} {NEGATIVE_ROWS}",
     "d4_pooled_negatives": f"WITH {_fast['pooled']} {NEGATIVE_ROWS}",
     "d5_rolling_negatives": f"WITH {_fast['rolling']} {NEGATIVE_ROWS}",
     "d6_candidate_lists": f"WITH {_fast['uniform']} {LISTS} {LIST_ROWS}",

@@ -111,6 +111,28 @@ def test_uniform_negatives_cover_the_universe(spark):
     assert len(counts) == 50 and max(counts) < 3 * min(counts)
 
 
+def test_every_subset_is_equally_likely(spark):
+    """Seven positions, three of them: 35 sets and 42 ordered pairs, each as frequent as the next."""
+    queries = spark.range(14_000).withColumnRenamed("id", "style_id")
+    drawn = N.draw_subsets(queries, "style_id", F.lit(7).cast("long"), 3)
+    lists = drawn.groupBy("style_id").agg(F.sort_array(F.collect_list(F.struct("_k", "idx"))).alias("at"))
+    rows = [tuple(p["idx"] for p in r["at"]) for r in lists.collect()]
+    assert len(rows) == 14_000 and all(len(set(r)) == 3 for r in rows)
+    sets = Counter(frozenset(r) for r in rows)
+    assert len(sets) == math.comb(7, 3) and max(sets.values()) < 480 and min(sets.values()) > 320
+    pairs = Counter(r[:2] for r in rows)
+    assert len(pairs) == 42 and max(pairs.values()) < 410 and min(pairs.values()) > 260
+
+
+def test_subsets_of_small_universes(spark):
+    queries = spark.range(50).withColumnRenamed("id", "style_id")
+    for size, n in ((0, 3), (1, 3), (3, 3), (5, 3)):
+        drawn = N.draw_subsets(queries, "style_id", F.lit(size).cast("long"), n).collect()
+        got = Counter(r["style_id"] for r in drawn)
+        assert set(got.values()) == ({min(size, n)} if size else set())
+        assert all(0 <= r["idx"] < size for r in drawn)
+
+
 def _cursor_windows(universe, n_queries, width):
     """The sequential rule: take the next window; wrap to the start when it would reach the end."""
     at, out = 0, []
