@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from pairforge.functions.images import resize_plan
 from pairforge.functions.text import WHITESPACE
 from pairforge.operators import catalogue as C
 from pairforge.plans import build
@@ -11,7 +15,7 @@ from pairforge.plans import catalogue_queries as CQ
 from pairforge.plans import fixtures as X
 from pairforge.session import scratch_path, written
 from pairforge.sources import conform as S
-from pairforge.sources import files, hub, images, registry, schemas, sinks
+from pairforge.sources import files, hub, image_headers, images, locations, ranged_lines, registry, schemas, sinks
 from pairforge.streaming import dedupe, ingest, throughput
 
 
@@ -309,6 +313,69 @@ def k2_quarantine(spark, sf):
     return bad.groupBy("global_dataset_name", "problem").agg(F.count_distinct("file", "line_number").alias("n"))
 
 
+def k2_source(spark, sf):
+    """The lines through the registered source, in ranges of a fortieth of their bytes."""
+    path = _write_lines(spark, sf)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    parsed = ranged_lines.parse_pairs(ranged_lines.ranged_lines(spark, path, size // 40 + 1))
+    read = written(parsed.withColumn("range", F.spark_partition_id()), "ranged_pairs")
+    many = read.agg(F.count_distinct("range") > 10).scalar()
+    return read.where("problem is null").select(*schemas.TRAIN.fieldNames(), many.alias("in_many_ranges"))
+
+
+def k2_stream(spark, sf):
+    """The same lines as a stream, good and bad, with the number of places they start at."""
+    target = scratch_path(spark, "ranged-stream")
+    lines = ranged_lines.ranged_lines(spark, _write_lines(spark, sf), 1 << 20, stream=True)
+    (
+        ranged_lines.parse_pairs(lines).writeStream.format("parquet").option("path", target)
+        .option("checkpointLocation", scratch_path(spark, "ranged-state")).trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.parquet(target).groupBy(F.coalesce("problem", F.lit("good")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("file", "start").alias("places"),
+        F.coalesce(F.sum(F.when(F.col("problem").isNull(), F.col("style_id"))), F.lit(0)).alias("ids"),
+    )
+
+
+def _header(kind: str, width: int, height: int) -> bytes:
+    """The first bytes of an image file, as far as its size; without pixels."""
+    png = b"\x89PNG\r\n\x1a\n" + struct.pack(">I", 13) + b"IHDR" + struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    frame = struct.pack(">HBHHB", 11, 8, height, width, 1) + b"\x01\x11\x00"
+    app = b"\xff\xe1" + struct.pack(">H", 60_002) + b"\xff\xc0" * 30_000  # looks like frames inside
+    return {
+        "png": png + b"\0" * 4,
+        "jpg": b"\xff\xd8\xff\xc0" + frame + b"\xff\xd9",
+        "long": b"\xff\xd8" + app * 2 + b"\xff\xff\xff\xc2" + frame,
+        "cut": png[:20],
+        "text": b"not an image",
+    }[kind]
+
+
+def b14_files(spark, sf):
+    """Sizes of image files, read from their headers, and the plan for them. Parts of equal size share a file."""
+    root = scratch_path(spark, "image-files")
+    kind = F.get(F.array(*[F.lit(k) for k in ("png", "jpg", "long", "cut", "text")]), (F.col("p_partkey") % 5).cast("int"))
+    parts = X.image_sizes(spark, sf).select(
+        "p_partkey", kind.alias("kind"), "width", "height",
+        F.format_string("%s %dx%d.img", kind, F.col("width").cast("int"), F.col("height").cast("int")).alias("name"),
+    )
+
+    def write(batches):
+        system, folder = locations.open_location(root)
+        system.create_dir(folder)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with system.open_output_stream(f"{folder}/{row['name']}") as out:
+                    out.write(_header(row["kind"], row["width"], row["height"]))
+            yield pa.RecordBatch.from_arrays([batch.column("name")], names=["name"])
+
+    shapes = parts.select("name", "kind", "width", "height").distinct()
+    shapes.mapInArrow(write, "name string").agg(F.count(F.lit(1))).collect()
+    sizes = image_headers.read_image_headers(spark, root).withColumn("name", F.element_at(F.split("path", "/"), -1))
+    found = parts.select("p_partkey", "name").join(written(sizes.drop("path"), "image_sizes"), "name")
+    return found.select("p_partkey", "format", "status", "width", "height", *resize_plan("width", "height"))
+
+
 def c7(spark, sf):
     events = X.table(spark, sf, "events")
     rate = throughput.throughput(events, by=["event_type"])
@@ -407,6 +474,9 @@ QUERIES = {
     "a9_resolution_violations": a9_violations,
     "k2_parser_registry": k2,
     "k2_parser_quarantine": k2_quarantine,
+    "k2_ranged_source": k2_source,
+    "k2_ranged_stream": k2_stream,
+    "b14_file_sizes": b14_files,
     "c7_throughput": c7,
     "c7_stream_throughput": c7_stream,
     "j1_stream_ingest": j1,
@@ -505,6 +575,23 @@ parts AS (
 SELECT global_dataset_name, count(*) AS n, CAST(sum(style_id) AS BIGINT) AS ids, max(style_id) AS last_id FROM parts GROUP BY 1""",
     "k2_parser_quarantine": f"""WITH {_LINES}
 SELECT 'pairs' AS global_dataset_name, kind AS problem, count(*) AS n FROM kinds WHERE kind <> 'good' GROUP BY kind""",
+    "k2_ranged_source": f"""WITH {_LINES}
+SELECT 'Find ' || master_category AS instruction_text, description AS query_text, CAST(NULL AS VARCHAR) AS query_image_path,
+       default_image AS target_image_path, 'retrieval' AS task_category, style_id, true AS in_many_ranges FROM kinds WHERE kind = 'good'""",
+    "k2_ranged_stream": f"""WITH {_LINES}
+SELECT kind, count(*) AS n, count(*) AS places, CAST(coalesce(sum(style_id) FILTER (WHERE kind = 'good'), 0) AS BIGINT) AS ids
+FROM kinds GROUP BY kind""",
+    "b14_file_sizes": """WITH files AS (
+  SELECT p_partkey, p_partkey % 5 AS kind, CAST(64 + p_size * 37 AS INTEGER) AS w, CAST(64 + (p_partkey % 50) * 29 AS INTEGER) AS h FROM part),
+sizes AS (
+  SELECT p_partkey, CASE kind WHEN 0 THEN 'png' WHEN 3 THEN 'png' WHEN 4 THEN NULL ELSE 'jpeg' END AS format,
+         CASE kind WHEN 3 THEN 'damaged' WHEN 4 THEN 'unknown' ELSE 'ok' END AS status,
+         CASE WHEN kind < 3 THEN w END AS width, CASE WHEN kind < 3 THEN h END AS height FROM files)
+SELECT *, CAST(CASE WHEN greatest(width, height) <= 1344 THEN width WHEN width > height THEN 1344
+                    ELSE floor(width * 1344 / height) END AS INTEGER) AS new_width,
+       CAST(CASE WHEN greatest(width, height) <= 1344 THEN height WHEN width > height THEN floor(height * 1344 / width)
+                 WHEN width IS NOT NULL THEN 1344 END AS INTEGER) AS new_height
+FROM sizes""",
     "c7_throughput": """
 SELECT event_type, count(*) AS n, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS elapsed,
        round(CASE WHEN max(ts) > min(ts) THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0 END, 9) AS rate
