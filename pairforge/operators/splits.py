@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairforge.functions.keys import BUCKET_DIGITS, SEED, hash_hex
+from pairforge.functions.keys import BUCKET_DIGITS, HOT_ROWS, SEED, hash_hex, ordered_index
 from pairforge.session import written
 
 VAL_RATIO = 0.1
@@ -27,52 +27,70 @@ def _ceil_share(count: str, share: Fraction) -> str:
     return f"(({count} * {share.numerator} + {share.denominator - 1}) div {share.denominator})"
 
 
-def _apportion(classes: DataFrame, size: str, target: str, total: str, out: str) -> DataFrame:
+def _apportion(classes: DataFrame, size: str, target: str, total: str, out: str, hot_rows: int | None) -> DataFrame:
     """Share ``target`` out over the classes in proportion to ``size`` by largest remainders.
 
-    Products are decimals, so large classes do not overflow. Ties go to the first class by name.
+    Products are decimals, so large classes do not overflow. Ties go to the first class by name. With ``hot_rows``, more
+    classes than that are cut at splitters of their own order, so no task ranks them all.
     """
     product = f"(cast({size} as decimal(19,0)) * cast({target} as decimal(19,0)))"
-    whole = Window.partitionBy(F.lit(0))
-    by_remainder = whole.orderBy(F.desc("_rest"), "category")
-    return (
-        classes.withColumn("_floor", F.expr(f"if({total} = 0, 0L, {product} div {total})"))
-        .withColumn("_rest", F.expr(f"if({total} = 0, cast(0 as decimal(38,0)), {product} % {total})"))
-        .withColumn("_left", F.col(target) - F.sum("_floor").over(whole))
-        .withColumn("_turn", F.row_number().over(by_remainder))
-        .withColumn(out, F.col("_floor") + F.expr("if(_turn <= _left, 1L, 0L)"))
-        .drop("_floor", "_rest", "_left", "_turn")
+    shared = classes.withColumn("_floor", F.expr(f"if({total} = 0, 0L, {product} div {total})")).withColumn(
+        "_rest", F.expr(f"if({total} = 0, cast(0 as decimal(38,0)), {product} % {total})")
     )
+    if hot_rows is None:
+        whole = Window.partitionBy(F.lit(0))
+        by_remainder = whole.orderBy(F.desc("_rest"), "category")
+        placed = shared.withColumn("_left", F.col(target) - F.sum("_floor").over(whole)).withColumn(
+            "_turn", F.row_number().over(by_remainder) - 1
+        )
+    else:
+        order = F.struct((-F.col("_rest")).alias("rest"), "category")
+        shared = written(shared.withColumn("_order", order), "class_shares")
+        placed = ordered_index(shared, [], "_order", "_turn", hot_rows).drop("_order").withColumn(
+            "_left", F.col(target) - shared.agg(F.sum("_floor")).scalar()
+        )
+    return placed.withColumn(out, F.col("_floor") + F.expr("if(_turn < _left, 1L, 0L)")).drop(
+        "_floor", "_rest", "_left", "_turn"
+    )
+
+
+def _overall(table: DataFrame, hot_rows: int | None, **columns: Column) -> DataFrame:
+    """Add aggregates over all classes: a window, or one row per aggregate when the classes are many."""
+    if hot_rows is None:
+        whole = Window.partitionBy(F.lit(0))
+        return table.select("*", *[c.over(whole).alias(name) for name, c in columns.items()])
+    table = written(table, "classes")
+    return table.select("*", *[table.agg(c).scalar().alias(name) for name, c in columns.items()])
 
 
 def split_quotas(
-    class_sizes: DataFrame, val_ratio=VAL_RATIO, test_ratio=TEST_RATIO, stratify: bool | None = None
+    class_sizes: DataFrame, val_ratio=VAL_RATIO, test_ratio=TEST_RATIO, stratify: bool | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows per class and split from a ``(category, n)`` table: one row per class.
 
     The held-out share is rounded up, then its test half is rounded up. ``stratify=None`` checks
     whether every class can be represented (two members, as many slots as classes, in both steps) and
     falls back to a random split over the whole table when it cannot; True and False force one way.
+    Give ``hot_rows`` when one task could not sort all classes; the quotas are the same.
     """
     val, test = Fraction(str(val_ratio)), Fraction(str(test_ratio))
-    whole = Window.partitionBy(F.lit(0))
     q = (
-        class_sizes.withColumn("total", F.sum("n").over(whole))
-        .withColumn("classes", F.count(F.lit(1)).over(whole))
-        .withColumn("smallest", F.min("n").over(whole))
+        _overall(class_sizes, hot_rows, total=F.sum("n"), classes=F.count(F.lit(1)), smallest=F.min("n"))
         .withColumn("n_hold", F.expr(_ceil_share("total", val + test)))
         .withColumn("n_train", F.expr("total - n_hold"))
         .withColumn("n_test", F.expr(_ceil_share("n_hold", test / (val + test))))
         .withColumn("n_val", F.expr("n_hold - n_test"))
     )
-    q = _apportion(q, "n", "n_train", "total", "train")
+    q = _apportion(q, "n", "n_train", "total", "train", hot_rows)
     q = q.withColumn("hold", F.expr("n - train"))
-    q = _apportion(q, "hold", "n_val", "n_hold", "val")
+    q = _apportion(q, "hold", "n_val", "n_hold", "val", hot_rows)
     q = q.withColumn("test", F.expr("hold - val"))
     if stratify is None:
+        q = _overall(q, hot_rows, smallest_hold=F.min("hold"))
         feasible = (
             (F.col("smallest") >= 2)
-            & (F.min("hold").over(whole) >= 2)
+            & (F.col("smallest_hold") >= 2)
             & (F.least("n_train", "n_val", "n_test") >= F.col("classes"))
         )
     else:
@@ -82,14 +100,17 @@ def split_quotas(
     )
 
 
-def _can_stratify(histogram: DataFrame, val_ratio, test_ratio) -> bool:
+def _count_classes(histogram: DataFrame):
+    """Rows, classes and the smallest class: one row, which reaches the driver."""
+    sizes = histogram.groupBy("category").agg(F.sum("n").alias("n"))
+    return sizes.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")).first()
+
+
+def _can_stratify(found, val_ratio, test_ratio) -> bool:
     """Whether all classes have two rows and no split has fewer rows than there are classes.
 
-    One row reaches the driver. Tables that fail, such as those with a class per row, are cut as one class and
-    never rank their classes.
+    Tables that fail, such as those with a class per row, are cut as one class and never rank their classes.
     """
-    sizes = histogram.groupBy("category").agg(F.sum("n").alias("n"))
-    found = sizes.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.min("n").alias("smallest")).first()
     if not found["classes"]:
         return True
     val, test = Fraction(str(val_ratio)), Fraction(str(test_ratio))
@@ -119,11 +140,11 @@ def split_histogram(
     return written(keys.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("n")), "split_histogram")
 
 
-def _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits) -> DataFrame:
+def _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits, hot_rows=None) -> DataFrame:
     """Per class, the (hash, id) key of the last train row and of the last train-or-val row."""
     keys = _split_keys(df, id_col, category, seed, digits)
     quotas = split_quotas(
-        histogram.groupBy("category").agg(F.sum("n").alias("n")), val_ratio, test_ratio, stratify
+        histogram.groupBy("category").agg(F.sum("n").alias("n")), val_ratio, test_ratio, stratify, hot_rows
     )
     # Without stratification all classes form one pool with the overall sizes.
     pooled = quotas.select(
@@ -186,20 +207,26 @@ def assign_splits(
     seed: int = SEED,
     digits: int = BUCKET_DIGITS,
     histogram: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``split`` in {train, val, test}.
 
-    Rows with the same id stay in one split; the quotas are exact when ids are unique. A histogram of the same rows from :func:`split_histogram` saves the first of three passes.
+    Up to ``hot_rows`` classes are ranked in one task, more are not. Rows with the same id stay in one split; the quotas are exact when ids are unique. A histogram of the same rows from :func:`split_histogram` saves the first of three passes.
     """
     if histogram is None:
         histogram = split_histogram(df, id_col, category, seed, digits)
-    if stratify is None and not _can_stratify(histogram, val_ratio, test_ratio):
-        stratify = False
+    many = False
+    if stratify is not False:
+        found = _count_classes(histogram)
+        many = found["classes"] > hot_rows
+        if stratify is None and not _can_stratify(found, val_ratio, test_ratio):
+            stratify = False
     if stratify is False:
         category = None
         histogram = histogram.groupBy(F.lit("").alias("category"), "bucket").agg(F.sum("n").alias("n"))
+    several = hot_rows if many and stratify is not False else None
     cuts = written(
-        _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits), "split_cuts"
+        _split_cuts(df, histogram, id_col, category, val_ratio, test_ratio, stratify, seed, digits, several), "split_cuts"
     )
     key = F.struct(hash_hex(id_col, seed=seed).alias("h"), F.col(id_col).alias("id"))
     keyed = df.withColumn("_category", _class(category))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairforge.operators import catalogue as C
 from pairforge.operators import negatives as N
-from pairforge.operators.splits import assign_splits
+from pairforge.operators.splits import assign_splits, split_quotas
 
 
 def _catalogue(spark, n, categories=3, hot=False, images=None):
@@ -46,6 +46,17 @@ def test_quotas(spark, n, categories, hot):
         assert (got["train", c], got["val", c], got["test", c]) == (train[c], val[c], held[c] - val[c])
 
 
+@pytest.mark.parametrize("stratify", [None, True])
+def test_quotas_of_many_classes(spark, stratify):
+    """40 classes, of which 7 may be ranked in one task: cut at splitters, the splits are the same."""
+    df = _catalogue(spark, 1200, 40, True)
+    want = {r["style_id"]: r["split"] for r in assign_splits(df, digits=1, stratify=stratify).collect()}
+    got = {r["style_id"]: r["split"] for r in assign_splits(df, digits=1, stratify=stratify, hot_rows=7).collect()}
+    assert got == want
+    sizes = df.groupBy(F.col("master_category").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(split_quotas(sizes, hot_rows=7).collect()) == sorted(split_quotas(sizes).collect())
+
+
 def test_falls_back_to_a_random_split(spark):
     """A class with a single member cannot be stratified."""
     df = _catalogue(spark, 100).withColumn(
