@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from pairforge.session import scratch_path
 from pairforge.sources import files, ranged_lines as R, registry, schemas
