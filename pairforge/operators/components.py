@@ -7,7 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.session import shared_dir, written
+from pairforge.session import drop_path, written, written_at
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,24 +40,21 @@ def connected_components(
     """``(node, component)`` with the smallest node id as component, by alternating stars.
 
     Neighbour lists are never collected: a node's smallest neighbour is an aggregate that is joined
-    back to the edges. Every round is checkpointed to the shared folder, so lineage stays short and a
-    lost executor does not undo it. Runs until the stars settle, unless the caller sets ``max_rounds``, beyond
-    which it raises. (Kiveris et al., Connected Components in MapReduce, 2014.)
+    back to the edges. Every round is a table in the shared folder, so lineage stays short and a lost executor
+    does not undo it; a round's predecessor is dropped. Runs until the stars settle, unless the caller sets
+    ``max_rounds``, beyond which it raises. (Kiveris et al., Connected Components in MapReduce, 2014.)
     """
     spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     nodes = ends.select(F.col("a").alias("node")).unionByName(ends.select(F.col("b").alias("node"))).distinct()
-    current = (
-        ends.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-        .checkpoint()
+    current, path = written_at(
+        ends.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars"
     )
     before = _fingerprint(current)
     for _ in count() if max_rounds is None else range(max_rounds):
-        current = _small_star(_large_star(current)).checkpoint()
+        earlier = path
+        current, path = written_at(_small_star(_large_star(current)), "stars")
+        drop_path(spark, earlier)
         after = _fingerprint(current)
         if after == before:
             stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))

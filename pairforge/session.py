@@ -70,8 +70,13 @@ def scratch_scope(spark: SparkSession):
     finally:
         _scope.reset(token)
         for path in paths:
-            location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+            drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it; one that is gone already is no error."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -81,11 +86,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     table's real size: a join against the result is broadcast only when that size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and stays a shuffle join otherwise.
     """
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the path: for tables that their maker drops, such as those of finished rounds."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     with _shuffle_files_dropped(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

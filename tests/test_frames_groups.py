@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pairforge.operators import frames as V
 from pairforge.operators.components import connected_components, merge_components
 from pairforge.operators.thinning import on_even_grid, thin_groups
+from pairforge.session import shared_dir
 
 
 def _natural(name):
@@ -135,6 +137,14 @@ def test_components(spark, shape):
     assert got == _roots(edges)
 
 
+def test_components_drop_finished_rounds(spark):
+    folder = Path(shared_dir(spark)) / "pairforge"
+    before = set(folder.glob("stars-*"))
+    found = connected_components(spark.createDataFrame([(i, i + 1) for i in range(100)], "src long, dst long"))
+    assert len(set(folder.glob("stars-*")) - before) == 1
+    assert found.where("component <> 0").isEmpty() and found.count() == 101
+
+
 def test_components_take_new_edges(spark):
     """After each delivery the table equals a full computation over all edges so far."""
     import random
