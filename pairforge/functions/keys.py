@@ -5,10 +5,10 @@ aggregate), the counts are summed into bucket offsets, and only the rows of one
 together. How the buckets are made decides the bound:
 
 * hash order: a bucket is a prefix of the hash of a unique id, so buckets are even whatever the data
-  looks like;
+  looks like; the prefix grows with the row count, so a bucket stays below ``hot_rows`` rows;
 * a natural order: groups above ``hot_rows`` are cut at splitters taken from a hash-chosen subset of
-  their own keys, so a group that holds a third of the table still spreads over many tasks. The
-  splitters only balance the work, the index is exact.
+  their own keys, one per ``hot_rows`` rows, so a group that holds a third of the table still spreads over
+  many tasks. The splitters only balance the work, the index is exact.
 
 Ids must be unique. ``with_row_id`` makes them so for sources without a key.
 """
@@ -20,12 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairforge.session import shared_dir, written
+from pairforge.session import written
 
 SEED = 42
-BUCKET_DIGITS = 3  # hex digits of the hash: 4096 buckets
+BUCKET_DIGITS = 3  # hex digits of the hash at least: 4096 buckets
 HOT_ROWS = 1_000_000
-MAX_SPLITTERS = 256
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -49,11 +48,10 @@ def hash_long(*cols, seed: int | str = SEED, digits: int = 15) -> Column:
 
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """A unique id for rows without one, fixed by a reliable checkpoint so retries cannot change it."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint()
+    """A unique id for rows without one, fixed by a written table so retries cannot change it.
+
+    The table lies below the shared folder; ``session.scratch_scope`` drops it with the job that needed it."""
+    return written(df.withColumn(name, F.monotonically_increasing_id()), "row_ids")
 
 
 def bucketed_index(
@@ -102,18 +100,27 @@ def bucketed_index(
     return joined.select(*result)
 
 
+def bucket_digits(df: DataFrame, hot_rows: int = HOT_ROWS) -> Column:
+    """Hex digits that keep a bucket of hashes near ``hot_rows`` rows: a subquery that counts ``df`` when it is used."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    return F.greatest(F.lit(BUCKET_DIGITS), F.ceil(F.log(16.0, n / F.lit(hot_rows))).cast("int"))
+
+
 def hash_index(
     df: DataFrame,
     id_cols: Sequence[str],
     group_by: Sequence[str] = (),
     seed: int | str = SEED,
     out: str = "idx",
-    digits: int = BUCKET_DIGITS,
+    digits: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Dense index in hash order of a unique id: a reproducible shuffle."""
+    """Dense index in hash order of a unique id: a reproducible shuffle. ``digits`` fixes the number of buckets, which
+    otherwise follows the row count; the index is the same."""
+    length = bucket_digits(df, hot_rows) if digits is None else F.lit(digits)
     hashed = df.withColumn("_ix_hash", hash_hex(*id_cols, seed=seed))
     indexed = bucketed_index(
-        hashed, F.substring("_ix_hash", 1, digits), ["_ix_hash", *id_cols], group_by, out
+        hashed, F.substring("_ix_hash", F.lit(1), length), ["_ix_hash", *id_cols], group_by, out
     )
     return indexed.drop("_ix_hash")
 
@@ -147,10 +154,11 @@ def splitters(
 ) -> DataFrame:
     """Cut points for the hot groups.
 
-    A group of n rows gets min(256, n / hot_rows) cut points out of about 32 times as many keys,
-    chosen by hash. Only those keys are sorted, so no task sees the whole group.
+    A group of n rows gets n / hot_rows cut points out of about 32 times as many keys, chosen by hash.
+    Only those keys are sorted, so no task sees the whole group. All cut points together are as many as
+    the table has millions of rows (at the default), and reach the rows by one join on the group.
     """
-    wanted = hot.withColumn("_ix_cuts", F.least(F.lit(MAX_SPLITTERS), F.ceil(F.col("_ix_n") / hot_rows)))
+    wanted = hot.withColumn("_ix_cuts", F.ceil(F.col("_ix_n") / hot_rows))
     chance = F.col("_ix_cuts") * 32 / F.col("_ix_n") * float(1 << 32)
     keys = df.select(_grouping(group_by), F.col(key).alias("_ix_cut"))
     chosen = keys.join(wanted, "_ix_group").where(hash_long("_ix_cut", seed=f"cut{seed}", digits=8) < chance)
@@ -163,6 +171,21 @@ def splitters(
     )
 
 
+def _steps(cuts: DataFrame) -> DataFrame:
+    """Every ``_ix_step``-th splitter of a group, about the square root of their number, as ``_ix_heads``."""
+    stepped = cuts.withColumn("_ix_step", F.ceil(F.sqrt(F.size("_ix_splitters"))).cast("int"))
+    return stepped.withColumn("_ix_heads", F.expr("filter(_ix_splitters, (s, i) -> i % _ix_step = 0)"))
+
+
+def _part(key: str) -> Column:
+    """Number of splitters up to the key. The heads tell the run of splitters that it falls into, so a row is compared with
+    about twice the square root of their number."""
+    upto = lambda cuts: F.size(F.filter(cuts, lambda s: s <= F.col(key)))
+    skipped = F.greatest(upto("_ix_heads") - 1, F.lit(0)) * F.col("_ix_step")
+    inside = upto(F.slice("_ix_splitters", skipped + 1, F.col("_ix_step")))
+    return F.when(F.col("_ix_step").isNull(), 0).otherwise(skipped + inside)
+
+
 def ordered_index(
     df: DataFrame,
     group_by: Sequence[str],
@@ -179,17 +202,14 @@ def ordered_index(
     if hot.isEmpty():
         within = Window.partitionBy("_ix_group").orderBy(key)
         return grouped.withColumn(out, F.row_number().over(within).cast("long") - 1).drop("_ix_group")
-    cuts = written(splitters(df, hot, group_by, key, hot_rows), "splitters")
-    located = grouped.join(cuts, "_ix_group", "left").withColumn(
-        "_ix_part",
-        F.coalesce(F.size(F.filter("_ix_splitters", lambda s: s <= F.col(key))), F.lit(0)),
-    )
+    cuts = written(_steps(splitters(df, hot, group_by, key, hot_rows)), "splitters")
+    located = grouped.join(cuts, "_ix_group", "left").withColumn("_ix_part", _part(key))
     located = located.select(*df.columns, "_ix_part")
     return bucketed_index(located, F.col("_ix_part"), [key], group_by, out).drop("_ix_part")
 
 
 def first_by_hash(
-    df: DataFrame, n: int, id_cols: Sequence[str], seed: int | str = SEED, digits: int = BUCKET_DIGITS
+    df: DataFrame, n: int, id_cols: Sequence[str], seed: int | str = SEED, digits: int | None = None
 ) -> DataFrame:
     """The ``n`` rows with the smallest hash, without sorting or moving the table.
 
@@ -199,7 +219,8 @@ def first_by_hash(
     if n <= 0:
         return df.limit(0)
     key = F.struct(hash_hex(*id_cols, seed=seed).alias("h"), *[F.col(c) for c in id_cols])
-    keys = df.select(key.alias("_ix_key")).withColumn("_ix_bucket", F.substring("_ix_key.h", 1, digits))
+    length = bucket_digits(df) if digits is None else F.lit(digits)
+    keys = df.select(key.alias("_ix_key")).withColumn("_ix_bucket", F.substring("_ix_key.h", F.lit(1), length))
     sizes = keys.groupBy("_ix_bucket").agg(F.count(F.lit(1)).alias("_ix_n"))
     upto = Window.partitionBy(F.lit(0)).orderBy("_ix_bucket").rowsBetween(Window.unboundedPreceding, 0)
     cut = (

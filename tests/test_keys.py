@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from pairforge.functions import keys as K
 from pairforge.functions.joins import salted_lookup
+from pairforge.session import scratch_scope, shared_dir
 
 
 def _h(*parts, seed=42):
@@ -98,3 +100,38 @@ def test_salted_lookup_equals_join(spark, how):
     got = salted_lookup(rows, table, "k", ["id"], how, hot_rows=20).select("id", "k", "v")
     want = rows.join(table, "k", how).select("id", "k", "v")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3, 10_000])
+def test_hash_buckets_follow_the_row_count(spark, hot_rows):
+    df = spark.range(5000)
+    digits = df.limit(1).select(K.bucket_digits(df, hot_rows)).first()[0]
+    assert digits == {1: 4, 3: 3, 10_000: 3}[hot_rows]
+    got = {r["id"]: r["idx"] for r in K.hash_index(df, ["id"], hot_rows=hot_rows).collect()}
+    assert got == {i: at for at, i in enumerate(sorted(range(5000), key=lambda i: (_h(i), i)))}
+    assert spark.range(0).agg(K.bucket_digits(spark.range(0))).first()[0] == 3
+    assert K.hash_index(spark.range(0), ["id"]).collect() == []
+
+
+def test_more_than_256_splitters(spark):
+    df = spark.range(12_000).select(F.when(F.col("id") % 4 > 0, "hot").alias("g"), F.format_string("%06d", "id").alias("k"))
+    hot = K.hot_groups(df, ["g"], 20)
+    cuts = {r["_ix_group"]["g"]: r["_ix_splitters"] for r in K.splitters(df, hot, ["g"], "k", hot_rows=20).collect()}
+    assert set(cuts) == {None, "hot"} and len(cuts["hot"]) > 256
+    steps = K._steps(K.splitters(df, hot, ["g"], "k", hot_rows=20)).where("_ix_group.g is not null")
+    parts = df.where("g is not null").crossJoin(steps.drop("_ix_group")).select("k", K._part("k").alias("part"))
+    assert all(r["part"] == sum(c <= r["k"] for c in cuts["hot"]) for r in parts.collect())
+    got = {}
+    for r in K.ordered_index(df, ["g"], "k", hot_rows=20).collect():
+        got.setdefault(r["g"], {})[r["k"]] = r["idx"]
+    for members in got.values():
+        assert [members[k] for k in sorted(members)] == list(range(len(members)))
+
+
+def test_row_ids_go_with_their_scope(spark):
+    folder = Path(shared_dir(spark)) / "pairforge"
+    before = set(folder.glob("row_ids-*"))
+    with scratch_scope(spark):
+        assert K.with_row_id(spark.range(10)).count() == 10
+        assert len(set(folder.glob("row_ids-*")) - before) == 1
+    assert set(folder.glob("row_ids-*")) == before
