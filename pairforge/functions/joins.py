@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from pairforge.functions.keys import HOT_ROWS
 from pairforge.session import written
 
+BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(table: DataFrame, counted: DataFrame | None = None, max_rows: int | None = None) -> DataFrame:
+    """``table`` for the small side of a join: with more than ``max_rows`` rows it is never broadcast.
+
+    Spark compares the size of files with its threshold, and packed paths and indexes are a tenth of what the driver holds
+    to broadcast them. ``counted`` names a written table with the rows to count, if ``table`` itself is dear to count.
+    """
+    n = (table if counted is None else counted).count()
+    return table.hint("merge") if n > (BROADCAST_ROWS if max_rows is None else max_rows) else table
+
 
 def salted_lookup(
     rows: DataFrame,

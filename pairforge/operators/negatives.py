@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairforge.functions.joins import bounded_broadcast
 from pairforge.functions.keys import SEED, hash_hex, hash_index, hash_long
 from pairforge.functions.text import instruction_text
 from pairforge.operators.catalogue import TASK_CATEGORY, strict_long
@@ -123,11 +124,11 @@ def uniform_negatives(
     leaves n without looking it up. ``draw`` is :func:`draw_positions` or :func:`draw_subsets`.
     """
     # Rows with the same id share their draws. Spread before the rows multiply: with a broadcast universe
-    # the lookup then needs no other exchange.
+    # the lookup then needs no other exchange. A large universe is not broadcast.
     ids = spread(queries.select(id_col).distinct(), id_col)
     drawn = draw(ids, id_col, _size(universe), n + 1, seed)
     found = (
-        drawn.join(universe, "idx")
+        drawn.join(bounded_broadcast(universe), "idx")
         .groupBy(id_col)
         .agg(
             F.transform(
@@ -225,7 +226,7 @@ def rolling_negatives(
     m = F.greatest(F.lit(1), F.expr(f"(_size + {width - 1}) div {width}") - 1)
     found = (
         placed.withColumn("_window", F.pmod(F.col("_r") + F.col("_start"), m))
-        .join(windows, "_window")
+        .join(bounded_broadcast(windows, counted=universe), "_window")
         .select(id_col, "_paths")
     )
     paths = F.coalesce(F.col("_paths"), F.array().cast("array<string>"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -122,6 +123,21 @@ def test_uniform_negatives_cover_the_universe(spark):
     assert len(counts) == 50 and max(counts) < 3 * min(counts)
 
 
+def _broadcast_keys(df):
+    return re.findall(r"BroadcastHashJoin \[(\w+)#", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("images", [2000, 150_000])
+def test_large_universes_are_not_broadcast(spark, images):
+    """The files of 150,000 images are smaller than Spark's threshold, what the driver would hold of them is not bounded by it."""
+    universe = N.index_universe(spark.range(images).select(F.concat(F.lit("img/"), F.col("id").cast("string")).alias("path")))
+    queries = _catalogue(spark, 40, 1).withColumn("split", F.lit("val"))
+    for found, key in ((N.uniform_negatives(queries, universe, 5), "idx"), (N.rolling_negatives(queries, universe, 5), "_window")):
+        assert (key in _broadcast_keys(found)) == (images < 100_000)
+        rows = found.collect()
+        assert len(rows) == 40 and all(len(set(r["negatives"]) - {r["default_image"]}) == 5 for r in rows)
+
+
 def test_every_subset_is_equally_likely(spark):
     """Seven positions, three of them: 35 sets and 42 ordered pairs, each as frequent as the next."""
     queries = spark.range(14_000).withColumnRenamed("id", "style_id")
