@@ -79,28 +79,36 @@ def draw_subsets(queries: DataFrame, query_id: str, size: Column, n: int, seed:
 
     Every subset is equally likely, and so is every order of it. For j from size - n to size - 1 a hashed number up to j
     joins the subset, or j itself if that number is already in it (Bentley and Floyd, 1987): n steps whatever the
-    size, and never a rejected draw. One array of n numbers per query, built before the rows multiply.
+    size, and never a rejected draw. The numbers are hashed once per step; numbers that are all distinct are the subset, as the
+    first to give way would repeat an earlier one. Only lists with a repeat are walked step by step.
     """
     wanted = F.least(F.lit(n).cast("long"), F.col("_size"))
+    first = F.col("_size") - F.col("_wanted")
 
-    def add(chosen: Column, k: Column) -> Column:
-        j = F.col("_size") - F.col("_wanted") + k
-        t = F.pmod(hash_long(query_id, k, seed=f"floyd{seed}"), j + 1)
-        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, t), j).otherwise(t)))
+    def number(k: Column) -> Column:
+        return F.pmod(hash_long(query_id, k, seed=f"floyd{seed}"), first + k + 1)
+
+    def add(chosen: Column, t: Column) -> Column:
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, t), first + F.size(chosen)).otherwise(t)))
 
     ks = F.sequence(F.lit(0).cast("long"), F.col("_wanted") - 1)
-    subsets = (
+    drawn = (
         queries.withColumn("_size", size)
         .where("_size > 0")
         .withColumn("_wanted", wanted)
-        .withColumn("_chosen", F.aggregate(ks, F.array().cast("array<bigint>"), add))
+        .withColumn("_numbers", F.transform(ks, number))
+    )
+    walked = F.aggregate("_numbers", F.array().cast("array<bigint>"), add)
+    subsets = drawn.withColumn(
+        "_chosen", F.when(F.size(F.array_distinct("_numbers")) == F.col("_wanted"), F.col("_numbers")).otherwise(walked)
     )
     ordered = F.sort_array(
         F.transform("_chosen", lambda i: F.struct(hash_hex(query_id, i, seed=f"order{seed}").alias("h"), i.alias("idx")))
     )
+    # Outer, though no list is empty: for the inner form Spark adds a filter on the list below it, which draws every list again.
     return (
         subsets.withColumn("_ordered", ordered)
-        .select(*queries.columns, F.posexplode("_ordered").alias("_k", "_at"))
+        .select(*queries.columns, F.posexplode_outer("_ordered").alias("_k", "_at"))
         .select(*queries.columns, "_k", F.col("_at.idx").alias("idx"))
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pairforge.operators import catalogue as C
 from pairforge.operators import negatives as N
 from pairforge.operators.splits import assign_splits, split_quotas
+from pairforge.session import spread
 
 
 def _catalogue(spark, n, categories=3, hot=False, images=None):
@@ -151,6 +152,33 @@ def test_every_subset_is_equally_likely(spark):
     assert len(pairs) == 42 and max(pairs.values()) < 410 and min(pairs.values()) > 260
 
 
+@pytest.mark.parametrize("size,n", [(1, 4), (12, 12), (30, 20), (400, 40), (10**12, 40)])
+def test_subsets_equal_the_walk(spark, size, n):
+    """Floyd's walk step by step, in plain Python: repeated numbers, chains of them, and lists without any."""
+    def number(i, k, below):
+        return int(hashlib.md5(f"floyd42|{i}|{k}".encode()).hexdigest()[:15], 16) % below
+
+    drawn = N.draw_subsets(spark.range(60).withColumnRenamed("id", "style_id"), "style_id", F.lit(size).cast("long"), n)
+    got = {}
+    for r in sorted(drawn.collect(), key=lambda r: r["_k"]):
+        got.setdefault(r["style_id"], []).append(r["idx"])
+    for i in range(60):
+        chosen, wanted = [], min(size, n)
+        for k in range(wanted):
+            t = number(i, k, size - wanted + k + 1)
+            chosen.append(size - wanted + k if t in chosen else t)
+        assert got[i] == sorted(chosen, key=lambda j: hashlib.md5(f"order42|{i}|{j}".encode()).hexdigest())
+
+
+def test_subsets_are_drawn_once_and_in_many_tasks(spark):
+    queries = spark.range(2000).selectExpr("id % 500 AS style_id")
+    drawn = N.draw_subsets(queries, "style_id", F.lit(5000).cast("long"), 20)
+    plan = drawn._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("floyd42") == 1 and plan.toString().count("order42") == 1
+    tasks = spread(queries.distinct(), "style_id").select(F.spark_partition_id()).collect()
+    assert len(set(tasks)) == 9
+
+
 def test_subsets_of_small_universes(spark):
     queries = spark.range(50).withColumnRenamed("id", "style_id")
     for size, n in ((0, 3), (1, 3), (3, 3), (5, 3)):
