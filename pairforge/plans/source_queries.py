@@ -45,16 +45,22 @@ def a1_texts(spark, sf):
     return files.read_catalogue(spark, path)
 
 
+FILE_BYTES, RANGE_BYTES = 256 << 20, 64 << 20
+
+
 def _ranged(spark, sf, table, rows):
-    """``rows`` as one CSV file, read by byte ranges of a fortieth of it, and the number of its ranges."""
+    """``rows`` as one CSV file per ``FILE_BYTES`` of fields, read by byte ranges of a fortieth of all, ``RANGE_BYTES`` at most,
+    and whether these are many."""
     path = scratch_path(spark, f"{table}-ranges-csv")
-    _write_csv(rows.coalesce(1), path)
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in rows.columns), F.lit(0).cast("long"))
+    length = rows.agg(F.sum(width)).first()[0] or 0
+    _write_csv(rows.coalesce(length // FILE_BYTES + 1), path)
     size = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).agg(F.sum("length")).first()[0]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", size // 40 + 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", min(size // 40 + 1, RANGE_BYTES))
     try:
         rows = written(files.split_catalogue_ranges(spark, path)[0], "ranged")
-        ranges = files.read_records(spark, path).agg(F.count_distinct("block")).first()[0]
+        ranges = files.read_records(spark, path).agg(F.count_distinct("file", "block")).first()[0]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     return rows.withColumn("in_many_ranges", F.lit(ranges > 20))
@@ -68,7 +74,7 @@ def a1_split(spark, sf):
 
 
 def a1_split_texts(spark, sf):
-    """One file of all documents; many texts are longer than a byte range."""
+    """All documents, in one file as long as they are few; then many texts are longer than a byte range."""
     return _ranged(spark, sf, "texts", X.catalogue(spark, sf))
 
 

@@ -130,7 +130,8 @@ def split_catalogue_ranges(
     (:func:`read_records`). Spark's CSV functions parse the records."""
     records = written(read_records(spark, path), "csv_catalogue")
     heads = records.groupBy("file").agg(F.min(F.struct("block", "line")).alias("place"))
-    named = records.join(heads, "file").withColumn("_head", F.struct("block", "line") == F.col("place"))
+    # one short row per file, of which the driver's listing holds more; a join by file would put all of a file into one task
+    named = records.join(F.broadcast(heads), "file").withColumn("_head", F.struct("block", "line") == F.col("place"))
     headers = named.where("_head").groupBy("record").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
     if not headers:
         raise ValueError(f"{path} has no header")

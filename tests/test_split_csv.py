@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from pairforge.plans import source_queries
 from pairforge.sources import files
 
 HEADER = ["style_id", "description", "default_image", "master_category"]
@@ -64,6 +65,32 @@ def test_ranges_equal_the_plain_reader(spark, ranges, tmp_path):
     assert rows_of(whole[1].select("record")) == rows_of(cut[1].select("record")) and cut[1].count() == 12 - 2
 
 
+def test_records_of_a_file_stay_in_their_ranges(spark, ranges, tmp_path):
+    """Also where Spark takes the first records of all files for a large table, no task gets a whole file."""
+    rows = odd_rows(4, 200)
+    path = write(tmp_path / "catalogue.csv", rows)
+    ranges(2000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        good = files.split_catalogue_ranges(spark, path)[0]
+        plan = good._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["style_id"] for r in good.collect()) == list(range(200))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [file" in plan and "SortMergeJoin" not in plan
+
+
+def test_large_fixtures_have_several_files(spark, ranges, monkeypatch, tmp_path):
+    """The file that a query reads by ranges is not written by one task, whatever its size."""
+    monkeypatch.setattr(source_queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(source_queries, "FILE_BYTES", 3000, raising=False)
+    rows = spark.createDataFrame(odd_rows(5, 200), "style_id long, description string, default_image string, master_category string")
+    got = source_queries._ranged(spark, None, "odd", rows.repartition(9)).collect()
+    assert sorted((r["style_id"], r["description"]) for r in got) == sorted((r["style_id"], r["description"]) for r in rows.collect())
+    assert all(r["in_many_ranges"] for r in got)
+    assert len(list((tmp_path / "odd-ranges-csv").glob("*.csv"))) == 9
+
+
 def test_ranges_report_bad_files(spark, ranges, tmp_path):
     ranges(200)
     with pytest.raises(ValueError, match="odd number of quotes"):
